@@ -163,3 +163,19 @@ def class_weights(train: DataFrame, label: str = TARGET) -> dict[str, float]:
         "balanced_1": n / (2 * pos) if pos else 1.0,
         "scale_pos_weight": neg / pos if pos else 1.0,
     }
+
+
+def class_weight_table(rows: DataFrame, groups: Sequence[str], label: str = TARGET) -> DataFrame:
+    """``class_weights`` as a table, one row per group (say, per fold)."""
+    n, pos = F.count(label).cast("double"), F.coalesce(F.sum(label), F.lit(0)).cast("double")
+    counted = rows.groupBy(*groups).agg(n.alias("n"), pos.alias("pos"))
+    two, one = F.lit(2.0), F.lit(1.0)
+    neg = F.col("n") - F.col("pos")
+    return counted.select(
+        *groups,
+        F.col("n").cast("bigint").alias("rows"),
+        F.col("pos").cast("bigint").alias("positives"),
+        F.coalesce(F.try_divide(F.col("n"), two * neg), one).alias("balanced_0"),
+        F.coalesce(F.try_divide(F.col("n"), two * F.col("pos")), one).alias("balanced_1"),
+        F.coalesce(F.try_divide(neg, F.col("pos")), one).alias("scale_pos_weight"),
+    )
