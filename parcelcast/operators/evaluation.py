@@ -6,6 +6,7 @@ Rows are first reduced to one row per distinct score; all curves are running tot
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -216,9 +217,8 @@ def calibration_table(df: DataFrame, n_bins: int = 10, label: str = TARGET, scor
     """Mean score and observed rate per quantile bin; a score equal to an edge falls below it."""
     table = score_table(df, (), label, score)
     probs = {f"e{i}": i / n_bins for i in range(1, n_bins)}
-    edges = exact_quantiles(df, [], score, probs).select(F.array(*probs).alias("edges"))
-    inner = edges.scalar()
-    bin_id = F.size(F.filter(inner, lambda e: e < F.col("score")))
+    edges = exact_quantiles(df, [], score, probs).select(F.struct(*probs).alias("edges")).scalar()
+    bin_id = reduce(lambda a, b: a + b, [(edges[e] < F.col("score")).cast("int") for e in probs])
     binned = table.withColumn("bin", bin_id).groupBy("bin").agg(
         ratio(F.sum(F.col("score") * F.col("n")), F.sum("n")).alias("mean_predicted_probability"),
         ratio(F.sum("pos"), F.sum("n")).alias("observed_late_rate"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from parcelcast.contracts import ContractError, MODEL_FEATURES, ORDER_KEY, TARGET
 from parcelcast.operators.evaluation import SCORE, ranking_metrics
@@ -21,28 +21,26 @@ def native_importance(model: PipelineModel) -> DataFrame:
     values = model.stages[-1].featureImportances.toArray().tolist()
     if len(names) != len(values):
         raise ContractError("feature names and importances differ in length")
-    from pyspark.sql import SparkSession
-
-    spark = SparkSession.getActiveSession()
-    return spark.createDataFrame(list(zip(names, values)), "feature string, importance double").orderBy(
+    return SparkSession.active().createDataFrame(list(zip(names, values)), "feature string, importance double").orderBy(
         F.desc("importance"), "feature"
     )
 
 
-def shuffled_pairs(df: DataFrame, repeat: int, seed: int, columns: Sequence[str]) -> DataFrame:
-    """Each row with the columns of another row, paired by a seeded random permutation.
+def shuffled_pairs(df: DataFrame, repeats: int, seed: int, columns: Sequence[str]) -> DataFrame:
+    """For each repeat, every row with the columns of another row, paired by a seeded random permutation.
 
-    Rows and donors are ranked by two independent hashes of the id and joined on the rank, which is a
-    permutation whatever the data's layout.
+    Rows and donors are ordered by two independent hashes of the id within each repeat.  Both orders hold the
+    same number of rows per repeat, so joining on the overall position pairs them within the repeat.
     """
-    def rank_by(role: str, rows: DataFrame) -> DataFrame:
-        return global_rank(rows, [F.xxhash64(F.lit(f"{seed}:{repeat}:{role}"), F.col(ORDER_KEY)), ORDER_KEY], "_rank")
+    def ranked(role: str, rows: DataFrame) -> DataFrame:
+        copies = rows.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+        key = F.xxhash64(F.lit(f"{seed}:{role}"), F.col("repeat"), F.col(ORDER_KEY))
+        return global_rank(copies, ["repeat", key, ORDER_KEY], "_rank")
 
-    rows = rank_by("row", df)
-    donors = rank_by("donor", df.select(ORDER_KEY, *columns)).select(
+    donors = ranked("donor", df.select(ORDER_KEY, *columns)).select(
         "_rank", *[F.col(c).alias(f"donor__{c}") for c in columns]
     )
-    return rows.join(donors, "_rank").drop("_rank").withColumn("repeat", F.lit(repeat))
+    return ranked("row", df).join(donors, "_rank").drop("_rank")
 
 
 def permutation_importance(
@@ -51,15 +49,13 @@ def permutation_importance(
 ) -> DataFrame:
     """Loss of average precision when one raw feature is shuffled: mean and deviation over repeats.
 
-    For each repeat every row is written once per feature with that feature taken from its donor, so all
-    variants are scored in one pass and all their metrics come from one grouped job.
+    Each row is scored once per repeat and feature, with that feature taken from its donor: all variants go
+    through one pass, and all their metrics come from one grouped job.
     """
     columns = list(columns)
     base = rows.select(ORDER_KEY, TARGET, *columns)
     baseline = ranking_metrics(score_rows(model, base)).select("pr_auc").scalar()
-    pairs = shuffled_pairs(base, 0, seed, columns)
-    for repeat in range(1, n_repeats):
-        pairs = pairs.unionByName(shuffled_pairs(base, repeat, seed, columns))
+    pairs = shuffled_pairs(base, n_repeats, seed, columns)
 
     def variant(c: str) -> Column:
         return F.when(F.col("feature") == c, F.col(f"donor__{c}")).otherwise(F.col(c)).alias(c)

@@ -5,6 +5,7 @@ Fitted values are a handful of numbers per feature, read on the driver; applying
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -13,13 +14,13 @@ from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, Vec
 from pyspark.sql import Column, DataFrame, functions as F
 
 from parcelcast.contracts import CATEGORICAL_FEATURES, MODEL_FEATURES, NUMERIC_FEATURES, TARGET, require_columns
-from parcelcast.functions.expressions import flag_count, present
-from parcelcast.operators.ordering import exact_quantiles, melt_numeric
+from parcelcast.functions.expressions import present
+from parcelcast.operators.ordering import describe_values, melt_numeric
 
 
 @dataclass(frozen=True)
 class NumericFit:
-    """Training medians, means and deviations after imputation, and the features that had gaps."""
+    """Training medians, the features that had gaps, and mean and deviation after imputation."""
 
     medians: dict[str, float]
     gaps: list[str] = field(default_factory=list)
@@ -35,14 +36,29 @@ def indicator(column: str) -> str:
     return f"missingindicator_{column}"
 
 
-def fit_medians(train: DataFrame, columns: Sequence[str] = tuple(NUMERIC_FEATURES)) -> NumericFit:
-    """Exact medians of all columns in one job; a column without any value is left out."""
+def fit_numeric(train: DataFrame, columns: Sequence[str] = tuple(NUMERIC_FEATURES)) -> NumericFit:
+    """Exact medians and the moments after imputation, from one distribution summary of all columns.
+
+    Filling g gaps with the median m shifts count, mean and squared deviations in closed form, so the imputed
+    table is never scanned.  A column without any value is left out; a constant one keeps scale 1.
+    """
     columns = list(columns)
-    rows = exact_quantiles(melt_numeric(train, [], columns), ["feature"], "value", {"m": 0.5}).collect()
-    found = {r.feature: r.m for r in rows}
-    medians = {c: found[c] for c in columns if c in found}
-    gaps = train.agg(*[flag_count(~present(c)).alias(c) for c in medians]).first()
-    return NumericFit(medians, [c for c in medians if gaps[c] > 0])
+    rows = train.count()
+    summary = {r.feature: r for r in describe_values(melt_numeric(train, [], columns), ["feature"], "value").collect()}
+    found = [c for c in columns if c in summary]
+    medians = {c: summary[c]["median"] for c in found}
+    gaps = [c for c in found if summary[c]["count"] < rows]
+    means, scales = {}, {}
+    for c in found:
+        n, mean, std, m = summary[c]["count"], summary[c]["mean"], summary[c]["std"] or 0.0, medians[c]
+        g = rows - n
+        means[c] = (n * mean + g * m) / rows
+        squares = std * std * (n - 1) + n * (mean - means[c]) ** 2 + g * (m - means[c]) ** 2
+        scales[c] = math.sqrt(squares / rows) if summary[c]["min"] < summary[c]["max"] else 1.0
+    for c in gaps:
+        share = (rows - summary[c]["count"]) / rows
+        means[indicator(c)], scales[indicator(c)] = share, math.sqrt(share * (1.0 - share))
+    return NumericFit(medians, gaps, means, scales)
 
 
 def imputed(fit: NumericFit) -> dict[str, Column]:
@@ -55,26 +71,11 @@ def median_impute(df: DataFrame, fit: NumericFit) -> DataFrame:
     return df.withColumns(imputed(fit))
 
 
-def fit_scales(train: DataFrame, fit: NumericFit) -> NumericFit:
-    """Mean and population deviation of each imputed column and flag; a constant column keeps scale 1."""
-    columns = imputed(fit)
-    stats = train.agg(*[
-        e for name, c in columns.items()
-        for e in (F.avg(c).alias(f"{name}__mean"), F.stddev_pop(c).alias(f"{name}__std"))
-    ]).first()
-    means = {name: stats[f"{name}__mean"] for name in columns}
-    scales = {name: stats[f"{name}__std"] or 1.0 for name in columns}
-    return NumericFit(fit.medians, fit.gaps, means, scales)
-
-
-def scaled(fit: NumericFit) -> dict[str, Column]:
-    return {
-        name: (c - F.lit(fit.means[name])) / F.lit(fit.scales[name]) for name, c in imputed(fit).items()
-    }
-
-
 def standard_scale(df: DataFrame, fit: NumericFit) -> DataFrame:
-    return df.withColumns(scaled(fit))
+    """Imputed columns as (x - mean) / population deviation."""
+    return df.withColumns({
+        name: (c - F.lit(fit.means[name])) / F.lit(fit.scales[name]) for name, c in imputed(fit).items()
+    })
 
 
 def fit_modes(train: DataFrame, columns: Sequence[str] = tuple(CATEGORICAL_FEATURES)) -> dict[str, str]:
@@ -122,7 +123,7 @@ def build_preprocessor(train: DataFrame) -> PipelineModel:
     Other columns are left out of the feature vector.
     """
     require_columns(train, MODEL_FEATURES, "training rows")
-    fit = fit_scales(train, fit_medians(train))
+    fit = fit_numeric(train)
     modes = fit_modes(train)
     projection = _projection(fit, modes)
     filled = projection.transform(train)

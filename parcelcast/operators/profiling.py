@@ -312,7 +312,7 @@ def availability_profile(tables: Sequence[DataFrame]) -> DataFrame:
     """The availability registry with the number of present values of each column found in the tables."""
     counts = schema_report({str(i): df for i, df in enumerate(tables)}).select("column", "present")
     registry = availability_registry(tables[0].sparkSession)
-    return registry.join(counts, "column", "left")
+    return registry.join(counts, "column", "left").withColumn("present", F.coalesce("present", F.lit(0)))
 
 
 def join_strategy_profile(tables: dict[str, DataFrame]) -> DataFrame:

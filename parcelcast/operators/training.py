@@ -8,6 +8,7 @@ import time
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
@@ -242,24 +243,30 @@ def fit_and_score(train: DataFrame, rows: DataFrame, config: ModelConfig, prepro
 _KEPT = [ORDER_KEY, PREDICTION_TS, TARGET, SCORE]
 
 
+def side_by_side(spark: SparkSession, work: Callable, tasks: Sequence, parallelism: int) -> list:
+    """Run driver-side steps in threads; each step is a chain of distributed jobs of its own."""
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(work), tasks))
+
+
 def train_compare(
-    train: DataFrame, validation: DataFrame, configs: Sequence[ModelConfig] | None = None
+    train: DataFrame, validation: DataFrame, configs: Sequence[ModelConfig] | None = None, parallelism: int = 4
 ) -> tuple[DataFrame, dict[str, PipelineModel], DataFrame]:
     """Fit each model on train and rank them by average precision on validation.
 
     Returns the ranking, the fitted models, and the validation scores of all models.
     """
     preprocessor = build_preprocessor(train)
-    models, parts, seconds = {}, [], []
-    for config in configs or model_registry():
-        model, scored, spent = fit_and_score(train, validation, config, preprocessor)
-        models[config.config_id] = model
-        seconds.append((config.config_id, config.family, float(spent)))
-        parts.append(scored.select(F.lit(config.config_id).alias("model"), *_KEPT))
-    scores = parts[0]
-    for part in parts[1:]:
-        scores = scores.unionByName(part)
-    scores = materialize(scores)
+    configs = list(configs or model_registry())
+    fitted = side_by_side(
+        train.sparkSession, lambda c: fit_and_score(train, validation, c, preprocessor), configs, parallelism
+    )
+    models = {c.config_id: model for c, (model, _, _) in zip(configs, fitted)}
+    seconds = [(c.config_id, c.family, float(spent)) for c, (_, _, spent) in zip(configs, fitted)]
+    parts = [
+        scored.select(F.lit(c.config_id).alias("model"), *_KEPT) for c, (_, scored, _) in zip(configs, fitted)
+    ]
+    scores = materialize(reduce(DataFrame.unionByName, parts))
     timing = train.sparkSession.createDataFrame(seconds, "model string, family string, fit_seconds double")
     ranking = classification_metrics(scores, groups=["model"]).join(timing, "model")
     return ranking.orderBy(F.desc("pr_auc"), "model"), models, scores
@@ -291,21 +298,10 @@ def fold_metrics(fold_scores: DataFrame) -> DataFrame:
 
 
 def cross_validate(
-    ranked: DataFrame, folds: Sequence[Fold], config: ModelConfig, preprocessors: dict[int, PipelineModel] | None = None
-) -> tuple[DataFrame, list[tuple[str, int, float]]]:
-    """Out-of-fold scores of one configuration and the seconds of each fit."""
-    position = F.col("row_num")
-    parts, seconds = [], []
-    for fold in folds:
-        train, validation = ranked.filter(fold.in_train(position)), ranked.filter(fold.in_validation(position))
-        shared = (preprocessors or {}).get(fold.number)
-        _, scored, spent = fit_and_score(train, validation, config, shared)
-        parts.append(scored.select(*_KEPT, F.lit(fold.number).alias("fold")))
-        seconds.append((config.config_id, fold.number, float(spent)))
-    oof = parts[0]
-    for part in parts[1:]:
-        oof = oof.unionByName(part)
-    return oof, seconds
+    ranked: DataFrame, folds: Sequence[Fold], config: ModelConfig, parallelism: int = 4
+) -> tuple[DataFrame, DataFrame]:
+    """(fold metrics, out-of-fold scores) of one configuration."""
+    return run_search(ranked, folds, [config], parallelism)
 
 
 def run_search(
@@ -313,26 +309,28 @@ def run_search(
 ) -> tuple[DataFrame, DataFrame]:
     """(fold metrics, out-of-fold scores) of all configurations.
 
-    Each fold's preprocessing is fitted once; configurations run side by side in driver threads, and every
-    fit is itself a distributed job.
+    Each fold's preprocessing is fitted once and shared by the configurations; the (configuration, fold) fits
+    run side by side.  Every fit sees rows up to its fold's train end only.
     """
-    position = F.col("row_num")
-    preprocessors = {f.number: build_preprocessor(ranked.filter(f.in_train(position))) for f in folds}
-
-    def one(config: ModelConfig):
-        oof, seconds = cross_validate(ranked, folds, config, preprocessors)
-        named = oof.select(F.lit(config.config_id).alias("config_id"), F.lit(config.family).alias("model_family"), "*")
-        return named, seconds
+    spark, position = ranked.sparkSession, F.col("row_num")
+    trains = {f.number: ranked.filter(f.in_train(position)) for f in folds}
+    fitted = side_by_side(spark, lambda f: build_preprocessor(trains[f.number]), folds, parallelism)
+    preprocessors = {f.number: p for f, p in zip(folds, fitted)}
+
+    def one(task: tuple[ModelConfig, Fold]):
+        config, fold = task
+        _, scored, spent = fit_and_score(
+            trains[fold.number], ranked.filter(fold.in_validation(position)), config, preprocessors[fold.number]
+        )
+        named = scored.select(
+            F.lit(config.config_id).alias("config_id"), F.lit(config.family).alias("model_family"), *_KEPT,
+            F.lit(fold.number).alias("fold"),
+        )
+        return named, (config.config_id, fold.number, float(spent))
 
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        done = list(pool.map(inheritable_thread_target(one), configs))
-    scores = done[0][0]
-    for part, _ in done[1:]:
-        scores = scores.unionByName(part)
-    scores = materialize(scores)
-    timing = ranked.sparkSession.createDataFrame(
-        [row for _, seconds in done for row in seconds], "config_id string, fold int, fit_seconds double"
-    )
+    done = side_by_side(spark, one, [(c, f) for c in configs for f in folds], parallelism)
+    scores = materialize(reduce(DataFrame.unionByName, [part for part, _ in done]))
+    timing = spark.createDataFrame([row for _, row in done], "config_id string, fold int, fit_seconds double")
     return fold_metrics(scores).join(timing, ["config_id", "fold"]), scores
 
 

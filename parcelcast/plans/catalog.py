@@ -78,11 +78,14 @@ def _shared(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Dat
 
 
 def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles rounded for comparison, timestamps without a zone."""
+    """Doubles rounded for comparison, timestamps without a zone.
+
+    Rounding to 12 digits first removes the last-bit noise that would tip an exact decimal tie either way.
+    """
     def column(f: T.StructField):
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c.cast("double"), digits)
+            c = F.round(F.round(c.cast("double"), 12), digits)
         elif isinstance(f.dataType, T.TimestampType):
             c = c.cast("timestamp_ntz")
         return c.alias(f.name)
@@ -590,9 +593,14 @@ def _(d: Data):
     )
 
 
+def _numbers_as_doubles(table: DataFrame) -> DataFrame:
+    """Counts that an outer join may leave empty, as doubles like all other numeric features."""
+    return table.withColumns({c: F.col(c).cast("double") for c in K.NUMERIC_FEATURES})
+
+
 @query("feature_table")
 def _(d: Data):
-    return jobs.build_features(d.spark, d.sf_dir)
+    return _numbers_as_doubles(jobs.build_features(d.spark, d.sf_dir))
 
 
 @query("validate_features")
@@ -612,7 +620,7 @@ def _(d: Data):
 
 @query("model_matrix")
 def _(d: Data):
-    return features.model_matrix(d.features)
+    return _numbers_as_doubles(features.model_matrix(d.features))
 
 
 @query("features_job")
@@ -762,14 +770,13 @@ def _(d: Data):
 
 @query("median_impute")
 def _(d: Data):
-    fit = preprocessing.fit_medians(d.part("train"), IMPUTED)
+    fit = preprocessing.fit_numeric(d.part("train"), IMPUTED)
     return preprocessing.median_impute(d.features, fit).select("order_id", *fit.outputs)
 
 
 @query("standard_scale")
 def _(d: Data):
-    train = d.part("train")
-    fit = preprocessing.fit_scales(train, preprocessing.fit_medians(train, IMPUTED))
+    fit = preprocessing.fit_numeric(d.part("train"), IMPUTED)
     return preprocessing.standard_scale(d.features, fit).select("order_id", *fit.outputs)
 
 
@@ -885,7 +892,7 @@ def _(d: Data):
     development = d.split.filter(F.col("split") != "test")
     folds = splits.fold_bounds(development.count())
     config = training.search_configs(quick=True)[0]
-    return training.cross_validate(development, folds, config)[0]
+    return training.cross_validate(development, folds, config)[1]
 
 
 @query("summarize_search")

@@ -12,8 +12,8 @@ ORACLES: dict[str, str] = {}
 
 
 def r(expr: str, name: str) -> str:
-    """A double result rounded like the query's (and without a negative zero)."""
-    return f"round(CAST({expr} AS DOUBLE), 6) + CAST(0 AS DOUBLE) AS {name}"
+    """A double result rounded like the query's: to 12 digits, then as a decimal to 6."""
+    return f"CAST(round(CAST(CAST({expr} AS DOUBLE) AS DECIMAL(30, 12)), 6) AS DOUBLE) AS {name}"
 
 
 def div(a: str, b: str) -> str:
@@ -328,7 +328,7 @@ put("geo_variation", "geolocation", (
     "count(DISTINCT geolocation_lng) AS unique_lng, count(DISTINCT geolocation_city) AS unique_city, "
     "count(DISTINCT geolocation_state) AS unique_state FROM geolocation GROUP BY 1 ORDER BY rows DESC, 1 LIMIT 20"))
 put("registries", "orders_raw reviews", (
-    "SELECT v.\"column\", v.role, v.available_at_prediction, c.present FROM (VALUES "
+    "SELECT v.\"column\", v.role, v.available_at_prediction, coalesce(c.present, 0) AS present FROM (VALUES "
     + ", ".join(f"('{c}', '{role}', {str(a).lower()})" for c, role, a, _ in K.AVAILABILITY_REGISTRY)
     + ") v(\"column\", role, available_at_prediction) LEFT JOIN ("
     + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count({c}) AS present FROM {t}"
@@ -455,7 +455,7 @@ put("order_base", "order_base", (
     "SELECT order_id, prediction_timestamp, " + rounded([*_CALENDAR, *_LAGS], _INT_FEATURES) + ", late_delivery FROM order_base"))
 put("validated_join", "orders_cleaned customers", (
     "SELECT customer_id, order_id, customer_state FROM orders_cleaned LEFT JOIN customers USING (customer_id)"))
-_MODEL = rounded(K.MODEL_FEATURES, _INT_FEATURES | set(K.CATEGORICAL_FEATURES))
+_MODEL = rounded(K.MODEL_FEATURES, set(K.CATEGORICAL_FEATURES))
 put("feature_table", "features", f"SELECT order_id, prediction_timestamp, {_MODEL}, late_delivery FROM features")
 put("validate_features", "features orders_cleaned", (
     "SELECT 'order_id_is_unique' AS rule, count(*) - count(DISTINCT order_id) AS violations FROM features UNION ALL "
