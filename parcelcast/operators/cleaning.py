@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from parcelcast.contracts import ContractError, TARGET
 from parcelcast.functions.expressions import days_between, flag_count, hours_between, pct
 from parcelcast.operators.ordering import describe_values
-from parcelcast.operators.profiling import _rows_from_aggregate
+from parcelcast.operators.profiling import _rows_from_aggregate, repeated_rows
 
 
 def status_cohorts(orders: DataFrame) -> DataFrame:
@@ -141,8 +141,8 @@ def largest_anomalies(orders: DataFrame, anomaly: str, n: int = 20) -> DataFrame
 def invariant_check(cleaned: DataFrame) -> DataFrame:
     """Violations per rule of the cleaned population; zero everywhere when it is sound.
 
-    Uniqueness needs the orders grouped by id; that one aggregate also carries the row-wise counts, so the
-    whole check is a single pass.
+    Only the uniqueness rule shuffles, and only the id; the row-wise rules are one aggregate without a shuffle
+    of rows.
     """
     late, delay = F.col(TARGET), F.col("delivery_delay_days")
     broken = {
@@ -158,16 +158,10 @@ def invariant_check(cleaned: DataFrame) -> DataFrame:
         "late_means_positive_delay": (late == 1) & ~F.coalesce(delay > 0, F.lit(False)),
         "on_time_means_no_positive_delay": (late == 0) & ~F.coalesce(delay <= 0, F.lit(False)),
     }
-    agg = (
-        cleaned.groupBy("order_id")
-        .agg(F.count(F.lit(1)).alias("_n"), *[flag_count(cond).alias(rule) for rule, cond in broken.items()])
-        .agg(
-            F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("order_id_is_unique"),
-            *[F.coalesce(F.sum(rule), F.lit(0)).alias(rule) for rule in broken],
-        )
-    )
-    return _rows_from_aggregate(
-        agg, [{"rule": F.lit(r), "violations": F.col(r)} for r in ["order_id_is_unique", *broken]]
+    agg = cleaned.agg(*[flag_count(cond).alias(rule) for rule, cond in broken.items()])
+    unique = repeated_rows(cleaned, ["order_id"]).select(F.lit("order_id_is_unique").alias("rule"), "violations")
+    return unique.unionByName(
+        _rows_from_aggregate(agg, [{"rule": F.lit(r), "violations": F.col(r)} for r in broken])
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from parcelcast.contracts import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from parcelcast.functions.expressions import pct, ratio
-from parcelcast.operators.ordering import exact_quantiles, melt_numeric
+from parcelcast.operators.ordering import COLUMN_ID, exact_quantiles, melt_numeric, named_columns
 
 SHARE_FLOOR = 1e-6
 MISSING_VALUE = "__MISSING__"
@@ -27,18 +27,21 @@ def psi_from_shares(bins: DataFrame, reference_share: str, comparison_share: str
     return bins.groupBy(*groups).agg(F.sum(psi_term(F.col(reference_share), F.col(comparison_share))).alias("psi"))
 
 
-def _index_per_feature(counts: DataFrame, sizes: DataFrame, missing_bin: Column) -> DataFrame:
-    """Index and missing shares from (feature, bin, reference, comparison) counts."""
-    size = F.struct("reference_rows", "comparison_rows")
-    n = sizes.select(size.alias("s")).scalar()
+def _index_per_feature(
+    counts: DataFrame, key: Sequence[str], sizes: DataFrame, missing_bin: Column, binned: Column
+) -> DataFrame:
+    """Index and missing shares from (key, bin, reference, comparison) counts; unbinned keys have index 0."""
+    n = sizes.select(F.struct("reference_rows", "comparison_rows").alias("s")).scalar()
     shares = counts.select(
-        "feature",
+        *key,
         missing_bin.alias("is_missing"),
         "reference",
         "comparison",
-        psi_term(ratio("reference", n["reference_rows"]), ratio("comparison", n["comparison_rows"])).alias("term"),
+        F.when(
+            binned, psi_term(ratio("reference", n["reference_rows"]), ratio("comparison", n["comparison_rows"]))
+        ).otherwise(F.lit(0.0)).alias("term"),
     )
-    return shares.groupBy("feature").agg(
+    return shares.groupBy(*key).agg(
         F.sum("term").alias("psi"),
         pct(F.coalesce(F.sum(F.when(F.col("is_missing"), F.col("reference"))), F.lit(0)),
             n["reference_rows"]).alias("reference_missing_pct"),
@@ -77,8 +80,8 @@ def numeric_psi(
     columns = list(columns)
     sided = _sided(reference.select(*columns), comparison.select(*columns))
     probs = {f"e{i}": i / bins for i in range(bins + 1)}
-    quantiles = exact_quantiles(melt_numeric(reference, [], columns), ["feature"], "value", probs, accuracy)
-    edges = quantiles.select("feature", F.array_distinct(F.array(*probs)).alias("edges"))
+    quantiles = exact_quantiles(melt_numeric(reference, [], columns), [COLUMN_ID], "value", probs, accuracy)
+    edges = quantiles.select(COLUMN_ID, F.array_distinct(F.array(*probs)).alias("edges"))
     long = melt_numeric(sided, ["is_reference"], columns)
     x = F.when(~F.isnan("value"), F.col("value"))
     inner = F.slice("edges", F.lit(2), F.greatest(F.size("edges") - F.lit(2), F.lit(0)))
@@ -86,18 +89,13 @@ def numeric_psi(
         F.lit(1) + F.size(F.filter(inner, lambda e: e < x))
     )
     # one row of at most ``bins + 1`` edges for each column asked for
-    binned = long.join(F.broadcast(edges), "feature", "left")
-    counts = binned.groupBy("feature", bin_id.alias("bin"), F.coalesce(F.size("edges"), F.lit(0)).alias("n_edges")).agg(
-        *_side_counts()
-    )
-    per_feature = _index_per_feature(counts, _sizes(sided), F.col("bin") == _MISSING_BIN)
-    flat = edges.filter(F.size("edges") >= 3).select("feature", F.lit(True).alias("binned"))
-    return per_feature.join(F.broadcast(flat), "feature", "left").select(
-        "feature",
-        F.when(F.col("binned"), F.col("psi")).otherwise(F.lit(0.0)).alias("psi"),
-        "reference_missing_pct",
-        "comparison_missing_pct",
+    binned = long.join(F.broadcast(edges), COLUMN_ID, "left")
+    has_bins = F.coalesce(F.size("edges") >= 3, F.lit(False))
+    counts = binned.groupBy(COLUMN_ID, bin_id.alias("bin"), has_bins.alias("has_bins")).agg(*_side_counts())
+    shifts = _index_per_feature(
+        counts, [COLUMN_ID], _sizes(sided), F.col("bin") == _MISSING_BIN, F.col("has_bins")
     )
+    return named_columns(shifts, columns)
 
 
 def categorical_psi(reference: DataFrame, comparison: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -107,7 +105,9 @@ def categorical_psi(reference: DataFrame, comparison: DataFrame, columns: Sequen
     texts = sided.select("is_reference", *[F.col(c).cast("string").alias(c) for c in columns])
     long = texts.unpivot(["is_reference"], columns, "feature", "value")
     counts = long.groupBy("feature", F.coalesce("value", F.lit(MISSING_VALUE)).alias("value")).agg(*_side_counts())
-    return _index_per_feature(counts, _sizes(sided), F.col("value") == MISSING_VALUE)
+    return _index_per_feature(
+        counts, ["feature"], _sizes(sided), F.col("value") == MISSING_VALUE, F.lit(True)
+    )
 
 
 def drift_flag(psi: Column | str) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from parcelcast.contracts import SIGNAL_FEATURES, TARGET
 from parcelcast.functions.expressions import as_column, flag_count, month_of
 from parcelcast.operators.ordering import (
-    describe_values, exact_quantiles, melt_numeric, null_safe_match, value_counts_table,
+    COLUMN_ID, describe_columns, exact_quantiles, melt_numeric, named_columns, null_safe_match, value_counts_table,
 )
 
 # Weekday names, Monday first.
@@ -73,21 +73,20 @@ def same_state_late_rate(features: DataFrame) -> DataFrame:
 
 
 def describe_by_target(features: DataFrame, columns: Sequence[str], target: str = TARGET) -> DataFrame:
-    long = melt_numeric(features, [target], columns)
-    return describe_values(long, ["feature", target], "value")
+    return describe_columns(features, columns, [target])
 
 
 def numeric_signal_summary(features: DataFrame, columns: Sequence[str] = tuple(SIGNAL_FEATURES)) -> DataFrame:
     """Class means of each signal and their difference, in one pass over the table."""
     late, on_time = F.col(TARGET) == 1, F.col(TARGET) == 0
-    long = melt_numeric(features, [TARGET], columns)
-    means = long.groupBy("feature").agg(
+    means = melt_numeric(features, [TARGET], columns).groupBy(COLUMN_ID).agg(
         F.avg(F.when(on_time, F.col("value"))).alias("on_time_mean"),
         F.avg(F.when(late, F.col("value"))).alias("late_mean"),
         flag_count(F.col("value").isNull()).alias("missing"),
     )
     difference = F.col("late_mean") - F.col("on_time_mean")
-    return means.withColumn("mean_difference_late_minus_on_time", difference).orderBy(
+    named = named_columns(means, columns)
+    return named.withColumn("mean_difference_late_minus_on_time", difference).orderBy(
         F.desc(F.abs("mean_difference_late_minus_on_time")), "feature"
     )
 
@@ -115,7 +114,7 @@ def histogram(df: DataFrame, column: str, bins: int, low: float | None = None, h
 
 def boxplot_stats(features: DataFrame, columns: Sequence[str], target: str = TARGET) -> DataFrame:
     """Quartiles, whiskers at the last value within 1.5 IQR, and the number of outliers by target."""
-    groups = ["feature", target]
+    groups = [COLUMN_ID, target]
     long = melt_numeric(features, [target], columns)
     counts = value_counts_table(long, groups, "value")
     quartiles = exact_quantiles(long, groups, "value", {"q25": 0.25, "median": 0.5, "q75": 0.75})
@@ -125,12 +124,13 @@ def boxplot_stats(features: DataFrame, columns: Sequence[str], target: str = TAR
         "high_fence": F.col("q75") + (F.col("q75") - F.col("q25")) * F.lit(1.5),
     }))
     inside = F.col("v").between(F.col("low_fence"), F.col("high_fence"))
-    return (
+    boxes = (
         counts.join(fences, null_safe_match(counts, fences, groups))
-        .groupBy(counts["feature"], counts[target], "q25", "median", "q75")
+        .groupBy(counts[COLUMN_ID], counts[target], "q25", "median", "q75")
         .agg(
             F.min(F.when(inside, F.col("v"))).alias("whisker_low"),
             F.max(F.when(inside, F.col("v"))).alias("whisker_high"),
             F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("outliers"),
         )
     )
+    return named_columns(boxes, columns)

@@ -17,8 +17,8 @@ from parcelcast.contracts import (
 from parcelcast.functions.expressions import (
     cycle, days_between, equal_flag, flag_count, haversine_km, hours_between, safe_divide,
 )
-from parcelcast.operators.ordering import exact_quantiles, melt_numeric
-from parcelcast.operators.profiling import _rows_from_aggregate
+from parcelcast.operators.ordering import quantile_columns
+from parcelcast.operators.profiling import _rows_from_aggregate, repeated_rows
 
 ZIP = "geolocation_zip_code_prefix"
 LAT, LNG = "geolocation_lat", "geolocation_lng"
@@ -26,8 +26,7 @@ LAT, LNG = "geolocation_lat", "geolocation_lng"
 
 def _median_point(points: DataFrame) -> DataFrame:
     """Median latitude and longitude per zip prefix; both axes go through one exact-quantile job."""
-    long = melt_numeric(points, [ZIP], [LAT, LNG], "axis")
-    medians = exact_quantiles(long, [ZIP, "axis"], "value", {"m": 0.5})
+    medians = quantile_columns(points, [LAT, LNG], {"m": 0.5}, [ZIP], "axis")
     return medians.groupBy(ZIP).agg(
         F.max(F.when(F.col("axis") == LAT, F.col("m"))).alias("latitude"),
         F.max(F.when(F.col("axis") == LNG, F.col("m"))).alias("longitude"),
@@ -46,21 +45,54 @@ def geo_lookup_raw(geolocation: DataFrame) -> DataFrame:
     return _median_point(geolocation)
 
 
-def order_item_features(items: DataFrame) -> DataFrame:
-    require_columns(
-        items, ["order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"], "order_items"
+_ITEM_COLUMNS = ["order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"]
+
+
+def _per_product(items: DataFrame) -> DataFrame:
+    """Order lines reduced to (order, product).
+
+    Distinct products become a plain count of these rows, which spares the row expansion of a distinct
+    aggregate, and the lines of a hot order are combined before the shuffle.
+    """
+    return items.groupBy("order_id", "product_id").agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.count("order_item_id").alias("item_ids"),
+        F.sum("price").alias("price"),
+        F.count("price").alias("price_n"),
+        F.max("price").alias("top_price"),
+        F.sum("freight_value").alias("freight"),
     )
-    totals = items.groupBy("order_id").agg(
-        F.count("order_item_id").alias("item_count"),
-        F.countDistinct("product_id").alias("unique_products"),
-        F.countDistinct("seller_id").alias("seller_count"),
-        F.coalesce(F.sum("price"), F.lit(0.0)).alias("total_price"),
-        F.coalesce(F.sum("freight_value"), F.lit(0.0)).alias("total_freight"),
-        F.avg("price").alias("mean_item_price"),
-        F.max("price").alias("max_item_price"),
+
+
+def _item_aggregates(distinct_products: Column) -> dict[str, Column]:
+    price, freight = F.coalesce(F.sum("price"), F.lit(0.0)), F.coalesce(F.sum("freight"), F.lit(0.0))
+    return {
+        "item_count": F.sum("item_ids"),
+        "unique_products": distinct_products,
+        "total_price": price,
+        "total_freight": freight,
+        "mean_item_price": safe_divide(F.sum("price"), F.sum("price_n")),
+        "max_item_price": F.max("top_price"),
+        "order_total_value": price + freight,
+        "freight_ratio": safe_divide(freight, price + freight),
+    }
+
+
+def _per_seller(items: DataFrame) -> DataFrame:
+    return items.groupBy("order_id", "seller_id").agg(F.count(F.lit(1)).alias("lines"))
+
+
+def order_item_features(items: DataFrame) -> DataFrame:
+    """Counts, values and freight share per order."""
+    require_columns(items, _ITEM_COLUMNS, "order_items")
+    totals = _per_product(items).groupBy("order_id").agg(
+        *[c.alias(name) for name, c in _item_aggregates(F.count("product_id")).items()]
     )
-    return totals.withColumn("order_total_value", F.col("total_price") + F.col("total_freight")).withColumn(
-        "freight_ratio", safe_divide("total_freight", "order_total_value")
+    sellers = _per_seller(items).groupBy("order_id").agg(F.count("seller_id").alias("seller_count"))
+    joined = totals.join(sellers, totals["order_id"].eqNullSafe(sellers["order_id"])).drop(sellers["order_id"])
+    return joined.select(
+        "order_id", "item_count", "unique_products", "seller_count", "total_price", "total_freight",
+        "mean_item_price", "max_item_price", "order_total_value", "freight_ratio",
     )
 
 
@@ -124,31 +156,34 @@ def enriched_products(products: DataFrame, translation: DataFrame) -> DataFrame:
     )
 
 
+def _with_product(lines: DataFrame, products: DataFrame, translation: DataFrame) -> DataFrame:
+    joined = lines.join(enriched_products(products, translation), "product_id", "left")
+    return joined.withColumn("category", F.coalesce("product_category_name_english", F.lit("unknown")))
+
+
 def product_enrichment(items: DataFrame, products: DataFrame, translation: DataFrame) -> DataFrame:
     """Order lines with their product's attributes; an untranslated category is 'unknown'."""
-    lines = items.select("order_id", "product_id").join(enriched_products(products, translation), "product_id", "left")
-    return lines.withColumn("category", F.coalesce("product_category_name_english", F.lit("unknown")))
+    return _with_product(items.select("order_id", "product_id"), products, translation)
 
 
-def _per_category(lines: DataFrame, category: str) -> DataFrame:
-    """Order lines reduced to (order, category): a small table all product features can be built from."""
-    return lines.groupBy("order_id", category).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("product_weight_g").alias("weight"), F.count("product_weight_g").alias("weight_n"),
-        F.sum("product_volume_cm3").alias("volume"), F.count("product_volume_cm3").alias("volume_n"),
-        F.sum("product_photos_qty").alias("photos"), F.count("product_photos_qty").alias("photos_n"),
-    )
+def _weighted(lines: DataFrame) -> list[Column]:
+    """Sums and counts of the product attributes over lines that stand for ``lines`` items each."""
+    sums = []
+    for name, column in (("weight", "product_weight_g"), ("volume", "product_volume_cm3"), ("photos", "product_photos_qty")):
+        sums.append(F.sum(F.col(column) * F.col("lines")).alias(name))
+        sums.append(F.sum(F.when(F.col(column).isNotNull(), F.col("lines"))).alias(f"{name}_n"))
+    return [F.sum("lines").alias("n"), *sums]
 
 
-def _product_aggregates() -> list[Column]:
-    return [
-        safe_divide(F.sum("weight"), F.sum("weight_n")).alias("mean_product_weight_g"),
-        F.coalesce(F.sum("weight"), F.lit(0.0)).alias("total_product_weight_g"),
-        safe_divide(F.sum("volume"), F.sum("volume_n")).alias("mean_product_volume_cm3"),
-        F.coalesce(F.sum("volume"), F.lit(0.0)).alias("total_product_volume_cm3"),
-        F.count("category").alias("category_count"),
-        safe_divide(F.sum("photos"), F.sum("photos_n")).alias("mean_product_photos"),
-    ]
+def _product_aggregates() -> dict[str, Column]:
+    return {
+        "mean_product_weight_g": safe_divide(F.sum("weight"), F.sum("weight_n")),
+        "total_product_weight_g": F.coalesce(F.sum("weight"), F.lit(0.0)),
+        "mean_product_volume_cm3": safe_divide(F.sum("volume"), F.sum("volume_n")),
+        "total_product_volume_cm3": F.coalesce(F.sum("volume"), F.lit(0.0)),
+        "category_count": F.count("category"),
+        "mean_product_photos": safe_divide(F.sum("photos"), F.sum("photos_n")),
+    }
 
 
 def _dominant(category: str) -> Column:
@@ -156,31 +191,49 @@ def _dominant(category: str) -> Column:
     return F.min(F.struct((-F.col("n")).alias("rank"), F.col(category).alias("name")))["name"]
 
 
+def _pairs_with_product(items: DataFrame, products: DataFrame, translation: DataFrame) -> DataFrame:
+    pairs = items.groupBy("order_id", "product_id").agg(F.count(F.lit(1)).alias("lines"))
+    return _with_product(pairs, products, translation)
+
+
 def order_product_features(items: DataFrame, products: DataFrame, translation: DataFrame) -> DataFrame:
-    per_category = _per_category(product_enrichment(items, products, translation), "category")
-    return per_category.groupBy("order_id").agg(*_product_aggregates())
+    lines = _pairs_with_product(items, products, translation)
+    per_category = lines.groupBy("order_id", "category").agg(*_weighted(lines))
+    return per_category.groupBy("order_id").agg(*[c.alias(n) for n, c in _product_aggregates().items()])
 
 
 def dominant_category(items: DataFrame, products: DataFrame, translation: DataFrame) -> DataFrame:
-    lines = product_enrichment(items, products, translation)
-    per_category = lines.groupBy("order_id", "category").agg(F.count(F.lit(1)).alias("n"))
+    lines = _pairs_with_product(items, products, translation)
+    per_category = lines.groupBy("order_id", "category").agg(F.sum("lines").alias("n"))
     return per_category.groupBy("order_id").agg(_dominant("category").alias("dominant_product_category"))
 
 
 def dominant_category_eda(items: DataFrame, products: DataFrame, translation: DataFrame) -> DataFrame:
     """Exploratory variant: an untranslated category is a group of its own, placed last on ties."""
-    lines = product_enrichment(items, products, translation)
+    lines = _pairs_with_product(items, products, translation)
     name = F.col("product_category_name_english")
-    per_category = lines.groupBy("order_id", name).agg(F.count(F.lit(1)).alias("n"))
+    per_category = lines.groupBy("order_id", name).agg(F.sum("lines").alias("n"))
     best = F.min(F.struct((-F.col("n")).alias("rank"), name.isNull().alias("untranslated"), name.alias("name")))
     return per_category.groupBy("order_id").agg(best["name"].alias("dominant_category"))
 
 
-def all_product_features(items: DataFrame, products: DataFrame, translation: DataFrame) -> DataFrame:
-    per_category = _per_category(product_enrichment(items, products, translation), "category")
-    return per_category.groupBy("order_id").agg(
-        *_product_aggregates(), _dominant("category").alias("dominant_product_category")
+def order_line_features(items: DataFrame, products: DataFrame, translation: DataFrame) -> DataFrame:
+    """Item and product features with the dominant category from one scan of the lines.
+
+    (order, product) -> (order, category) -> order: each step combines map-side and shuffles less than the
+    one before it.
+    """
+    lines = _with_product(_per_product(items), products, translation)
+    per_category = lines.groupBy("order_id", "category").agg(
+        *_weighted(lines),
+        F.count("product_id").alias("products"), F.sum("item_ids").alias("item_ids"), F.sum("price").alias("price"),
+        F.sum("price_n").alias("price_n"), F.max("top_price").alias("top_price"), F.sum("freight").alias("freight"),
     )
+    aggregates = {
+        **_item_aggregates(F.sum("products")), **_product_aggregates(),
+        "dominant_product_category": _dominant("category"),
+    }
+    return per_category.groupBy("order_id").agg(*[c.alias(n) for n, c in aggregates.items()])
 
 
 def _located(entities: DataFrame, prefix: str, lookup: DataFrame) -> DataFrame:
@@ -229,17 +282,9 @@ def _distances(lines, orders, customers, sellers, lookup) -> DataFrame:
     )
 
 
-def distance_features(
-    items: DataFrame, orders: DataFrame, customers: DataFrame, sellers: DataFrame, lookup: DataFrame
-) -> DataFrame:
-    """Distance summary per order.
-
-    Lines are first counted per (order, seller): repeated sellers are located once, and a hot order is
-    combined before the shuffle.
-    """
-    pairs = items.groupBy("order_id", "seller_id").agg(F.count(F.lit(1)).alias("lines"))
-    rows = _distances(pairs, orders, customers, sellers, lookup)
-    by_state = rows.groupBy("order_id", "seller_state").agg(
+def _seller_aggregates(pairs: DataFrame) -> DataFrame:
+    by_state = pairs.groupBy("order_id", "seller_state").agg(
+        F.count("seller_id").alias("sellers"),
         F.sum(F.col("distance_km") * F.col("lines")).alias("km"),
         F.sum(F.when(F.col("distance_km").isNotNull(), F.col("lines"))).alias("km_lines"),
         F.max("distance_km").alias("far"),
@@ -249,6 +294,7 @@ def distance_features(
         F.sum("lines").alias("lines"),
     )
     return by_state.groupBy("order_id").agg(
+        F.sum("sellers").alias("seller_count"),
         F.count("seller_state").alias("seller_state_count"),
         safe_divide(F.sum("km"), F.sum("km_lines")).alias("mean_distance_km"),
         F.max("far").alias("max_distance_km"),
@@ -258,6 +304,23 @@ def distance_features(
     )
 
 
+def order_seller_features(
+    items: DataFrame, orders: DataFrame, customers: DataFrame, sellers: DataFrame, lookup: DataFrame
+) -> DataFrame:
+    """Seller count and distance summary per order.
+
+    Lines are first counted per (order, seller): repeated sellers are located once, and a hot order is
+    combined before the shuffle.
+    """
+    return _seller_aggregates(_distances(_per_seller(items), orders, customers, sellers, lookup))
+
+
+def distance_features(
+    items: DataFrame, orders: DataFrame, customers: DataFrame, sellers: DataFrame, lookup: DataFrame
+) -> DataFrame:
+    return order_seller_features(items, orders, customers, sellers, lookup).drop("seller_count")
+
+
 def calendar_features(ts: Column) -> dict[str, Column]:
     month, weekday, hour = F.month(ts), F.weekday(ts), F.hour(ts)  # weekday: Monday is 0
     month_sin, month_cos = cycle(month - F.lit(1), 12)
@@ -334,14 +397,14 @@ def feature_table(
 ) -> DataFrame:
     """The 44-column table: id, prediction moment, 41 features and the target."""
     lookup = geo_lookup(geolocation)
+    require_columns(order_items, _ITEM_COLUMNS, "order_items")
     parts = [
-        order_item_features(order_items),
+        order_line_features(order_items, products, category_translation),
         order_payment_features(payments),
-        all_product_features(order_items, products, category_translation),
         orders_cleaned.select("order_id", "customer_id")
         .join(customers.select("customer_id", "customer_state"), "customer_id", "left")
         .select("order_id", "customer_state"),
-        distance_features(order_items, orders_cleaned, customers, sellers, lookup),
+        order_seller_features(order_items, orders_cleaned, customers, sellers, lookup),
     ]
     table = order_base(orders_cleaned)
     for part in parts:
@@ -361,16 +424,8 @@ def validate_features(features: DataFrame, expected_rows: int | None = None) ->
         "prediction_timestamp_present": F.col(PREDICTION_TS).isNull(),
         "promise_is_not_negative": promise < 0,
     }
-    agg = (
-        features.groupBy(ORDER_KEY)
-        .agg(F.count(F.lit(1)).alias("_n"), *[flag_count(c).alias(r) for r, c in broken.items()])
-        .agg(
-            F.coalesce(F.sum("_n"), F.lit(0)).alias("_rows"),
-            F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("order_id_is_unique"),
-            *[F.coalesce(F.sum(r), F.lit(0)).alias(r) for r in broken],
-        )
-    )
-    rows = [{"rule": F.lit(r), "violations": F.col(r)} for r in ["order_id_is_unique", *broken]]
+    agg = features.agg(F.count(F.lit(1)).alias("_rows"), *[flag_count(c).alias(r) for r, c in broken.items()])
+    rows = [{"rule": F.lit(r), "violations": F.col(r)} for r in broken]
     rows += [
         {"rule": F.lit("contract_columns_present"), "violations": F.lit(len(missing)).cast("bigint")},
         {"rule": F.lit("no_forbidden_feature_registered"), "violations": F.lit(len(registered)).cast("bigint")},
@@ -379,7 +434,8 @@ def validate_features(features: DataFrame, expected_rows: int | None = None) ->
     if expected_rows is not None:
         rows.append({"rule": F.lit("row_count_as_expected"),
                      "violations": F.abs(F.col("_rows") - F.lit(expected_rows))})
-    return _rows_from_aggregate(agg, rows)
+    unique = repeated_rows(features, [ORDER_KEY]).select(F.lit("order_id_is_unique").alias("rule"), "violations")
+    return unique.unionByName(_rows_from_aggregate(agg, rows))
 
 
 def leakage_audit(table: DataFrame) -> DataFrame:

@@ -140,8 +140,22 @@ def exact_quantiles(
 QUARTILES = {"q25": 0.25, "median": 0.5, "q75": 0.75}
 
 
-def describe_values(df: DataFrame, groups: Sequence[str], value: Column | str) -> DataFrame:
-    """count, mean, sample std, min, quartiles and max per group."""
+def describe_values(
+    df: DataFrame, groups: Sequence[str], value: Column | str, accuracy: int | None = None
+) -> DataFrame:
+    """count, mean, sample std, min, quartiles and max per group.
+
+    ``accuracy`` takes the quartiles from Spark's mergeable sketch, see ``exact_quantiles``.
+    """
+    if accuracy:
+        x = as_column(value).cast("double")
+        sketch = F.percentile_approx(x, list(QUARTILES.values()), accuracy)
+        stats = df.filter(present(value)).groupBy(*groups).agg(
+            F.count(F.lit(1)).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+            F.min(x).alias("min"), F.max(x).alias("max"), sketch.alias("_q"),
+        )
+        quartiles = [F.col("_q")[i].alias(name) for i, name in enumerate(QUARTILES)]
+        return stats.filter(F.col("count") > 0).select(*groups, "count", "mean", "std", "min", *quartiles, "max")
     ranked = running_totals(
         value_counts_table(df, groups, value), groups, ["v"], ["n"], {"nv": F.col("n") * F.col("v")}
     ).withColumn("_mean", F.col("all_nv") / F.col("all_n").cast("double"))
@@ -168,7 +182,37 @@ def describe_values(df: DataFrame, groups: Sequence[str], value: Column | str) -
     )
 
 
-def melt_numeric(df: DataFrame, ids: Sequence[str], columns: Sequence[str], name: str = "feature") -> DataFrame:
-    """Long form (ids, name, value) of numeric columns; a narrow step without a shuffle."""
-    doubles = df.select(*ids, *[F.col(c).cast("double").alias(c) for c in columns])
-    return doubles.unpivot(list(ids), list(columns), name, "value")
+COLUMN_ID = "column_id"
+
+
+def melt_numeric(df: DataFrame, ids: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Long form (ids, column_id, value) of numeric columns, a narrow step without a shuffle.
+
+    The column is a number, not its name: the long rows are what the quantile operators shuffle and write.
+    """
+    values = F.array(*[F.col(c).cast("double") for c in columns])
+    return df.select(*ids, F.posexplode(values).alias(COLUMN_ID, "value"))
+
+
+def named_columns(long: DataFrame, columns: Sequence[str], name: str = "feature") -> DataFrame:
+    """Put names in place of the ids of ``melt_numeric``, once the rows are aggregated."""
+    names = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col(COLUMN_ID) + F.lit(1))
+    return long.select(names.alias(name), *[c for c in long.columns if c != COLUMN_ID])
+
+
+def describe_columns(
+    df: DataFrame, columns: Sequence[str], groups: Sequence[str] = (), name: str = "feature",
+    accuracy: int | None = None,
+) -> DataFrame:
+    """``describe_values`` of several numeric columns in one job."""
+    long = melt_numeric(df, groups, columns)
+    return named_columns(describe_values(long, [*groups, COLUMN_ID], "value", accuracy), columns, name)
+
+
+def quantile_columns(
+    df: DataFrame, columns: Sequence[str], probs: dict[str, float], groups: Sequence[str] = (),
+    name: str = "feature", accuracy: int | None = None,
+) -> DataFrame:
+    """``exact_quantiles`` of several numeric columns in one job."""
+    long = melt_numeric(df, groups, columns)
+    return named_columns(exact_quantiles(long, [*groups, COLUMN_ID], "value", probs, accuracy), columns, name)

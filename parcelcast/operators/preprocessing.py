@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from parcelcast.contracts import CATEGORICAL_FEATURES, MODEL_FEATURES, NUMERIC_FEATURES, TARGET, require_columns
 from parcelcast.functions.expressions import present
-from parcelcast.operators.ordering import describe_values, melt_numeric
+from parcelcast.operators.ordering import describe_columns
 
 
 @dataclass(frozen=True)
@@ -36,7 +36,9 @@ def indicator(column: str) -> str:
     return f"missingindicator_{column}"
 
 
-def fit_numeric(train: DataFrame, columns: Sequence[str] = tuple(NUMERIC_FEATURES)) -> NumericFit:
+def fit_numeric(
+    train: DataFrame, columns: Sequence[str] = tuple(NUMERIC_FEATURES), accuracy: int | None = None
+) -> NumericFit:
     """Exact medians and the moments after imputation, from one distribution summary of all columns.
 
     Filling g gaps with the median m shifts count, mean and squared deviations in closed form, so the imputed
@@ -44,7 +46,7 @@ def fit_numeric(train: DataFrame, columns: Sequence[str] = tuple(NUMERIC_FEATURE
     """
     columns = list(columns)
     rows = train.count()
-    summary = {r.feature: r for r in describe_values(melt_numeric(train, [], columns), ["feature"], "value").collect()}
+    summary = {r.feature: r for r in describe_columns(train, columns, accuracy=accuracy).collect()}
     found = [c for c in columns if c in summary]
     medians = {c: summary[c]["median"] for c in found}
     gaps = [c for c in found if summary[c]["count"] < rows]

@@ -11,7 +11,7 @@ from parcelcast.contracts import (
     AVAILABILITY_REGISTRY, CLEANING_RULES, JOIN_STRATEGY, LIFECYCLE_RULES, ORDER_TIMESTAMPS,
 )
 from parcelcast.functions.expressions import flag_count, pct
-from parcelcast.operators.ordering import describe_values, melt_numeric
+from parcelcast.operators.ordering import describe_columns, describe_values
 
 
 def _stacked(parts: Sequence[DataFrame]) -> DataFrame:
@@ -87,6 +87,13 @@ def duplicate_report(tables: dict[str, DataFrame]) -> DataFrame:
     return _stacked(parts).orderBy(F.desc("exact_duplicate_rows"), "dataset")
 
 
+def repeated_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row: how many rows share their key with an earlier row."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(
+        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("violations")
+    )
+
+
 def key_check(df: DataFrame, columns: Sequence[str], table: str) -> DataFrame:
     """Is the column set a key?  NULLs count as one key value."""
     return (
@@ -172,7 +179,7 @@ def top_entities(child: DataFrame, key: str, n: int = 10) -> DataFrame:
 
 
 def numeric_describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return describe_values(melt_numeric(df, [], columns, "column"), ["column"], "value")
+    return describe_columns(df, columns, name="column")
 
 
 def numeric_sanity(df: DataFrame, columns: Sequence[str]) -> DataFrame:

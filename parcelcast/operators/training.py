@@ -132,16 +132,17 @@ def resolved_configs(ranked: DataFrame, folds: Sequence[Fold], configs: Sequence
     )
 
 
-def _weight_column(train: DataFrame, family: str, params: dict) -> Column:
-    weights = class_weights(train)
-    late = F.col(TARGET) == 1
+def _weights(train: DataFrame, family: str, params: dict) -> tuple[float, float, float]:
+    """(weight of on-time rows, weight of late rows, total weight)."""
+    w = class_weights(train)
     if family == "xgboost":
         asked = params.get("scale_pos_weight", 1.0)
-        scale = weights["scale_pos_weight"] if asked == "auto" else float(asked)
-        return F.when(late, F.lit(scale)).otherwise(F.lit(1.0))
-    if family in ("logistic_regression", "linear") and params.get("class_weight") is None:
-        return F.lit(1.0)
-    return F.when(late, F.lit(weights["balanced_1"])).otherwise(F.lit(weights["balanced_0"]))
+        on_time, late = 1.0, (w["scale_pos_weight"] if asked == "auto" else float(asked))
+    elif family in ("logistic_regression", "linear") and params.get("class_weight") is None:
+        on_time, late = 1.0, 1.0
+    else:
+        on_time, late = w["balanced_0"], w["balanced_1"]
+    return on_time, late, on_time * (w["rows"] - w["positives"]) + late * w["positives"]
 
 
 def _tree_depth(leaves: int) -> int:
@@ -173,7 +174,7 @@ def build_estimator(config: ModelConfig, total_weight: float):
         return GBTClassifier(
             **common, maxIter=p.get("max_iter", 220), stepSize=p["learning_rate"],
             maxDepth=_tree_depth(p["max_leaf_nodes"]), minInstancesPerNode=p["min_samples_leaf"],
-            validationIndicatorCol=_HELD_BACK, seed=SEED,
+            validationIndicatorCol=_HELD_BACK, validationTol=1e-7, seed=SEED,
         )
     if family == "xgboost":
         return GBTClassifier(
@@ -202,14 +203,14 @@ def fit_model(train: DataFrame, config: ModelConfig, preprocessor: PipelineModel
     to choose the model.
     """
     preprocessor = preprocessor or build_preprocessor(train)
-    weighted = train.withColumn(_WEIGHT, _weight_column(train, config.family, config.params))
+    on_time, late, total = _weights(train, config.family, config.params)
+    weighted = train.withColumn(_WEIGHT, F.when(F.col(TARGET) == 1, F.lit(late)).otherwise(F.lit(on_time)))
     if config.family in ("hist_gradient_boosting", "boosting"):
         bounds = train.agg(F.min("row_num").alias("lo"), F.max("row_num").alias("hi")).first()
         cut = bounds["lo"] + int((bounds["hi"] - bounds["lo"] + 1) * 0.9)
         weighted = weighted.withColumn(_HELD_BACK, F.col("row_num") >= F.lit(cut))
     kept = ["features", TARGET, _WEIGHT, *([_HELD_BACK] if _HELD_BACK in weighted.columns else [])]
     vectors = preprocessor.transform(weighted).select(*kept)
-    total = weighted.agg(F.sum(_WEIGHT).alias("w")).first()["w"]
     model = build_estimator(config, total).fit(vectors)
     return PipelineModel([*preprocessor.stages, model])
 

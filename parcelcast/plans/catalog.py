@@ -128,9 +128,9 @@ class Data:
 
     @property
     def split(self) -> DataFrame:
-        """Ranked and split feature table."""
-        return _shared(self.spark, self.sf_dir, "split", lambda: splits.chronological_split(
-            jobs.build_features(self.spark, self.sf_dir)))
+        """Feature table with positions and splits."""
+        return _shared(self.spark, self.sf_dir, "split", lambda: materialize(
+            jobs.split_features(self.spark, self.sf_dir)))
 
     @property
     def features(self) -> DataFrame:

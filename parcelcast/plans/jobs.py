@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from parcelcast.contracts import MODEL_FEATURES, ORDER_KEY, PREDICTION_TS, TARGET
+from parcelcast.contracts import ORDER_KEY, PREDICTION_TS, TARGET
 from parcelcast.operators import cleaning, drift, evaluation, features, importance, scoring, splits, training
 from parcelcast.operators.evaluation import SCORE
-from parcelcast.session import materialize
+from parcelcast.session import materialize, scratch_path
 from parcelcast.sources import files, standins
 
 FEATURE_INPUTS = ("customers", "order_items", "payments", "products", "sellers", "geolocation", "category_translation")
@@ -26,13 +26,27 @@ def build_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.feature_table(cleaned_orders(spark, sf_dir), **tables)
 
 
+def split_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature table with ``row_num`` and ``split``.
+
+    Positions are worked out on (moment, id) alone and joined back on the id, so the wide rows are never
+    range-partitioned.
+    """
+    keys = cleaned_orders(spark, sf_dir).select(ORDER_KEY, F.col("order_approved_at").alias(PREDICTION_TS))
+    positions = splits.chronological_split(keys).select(ORDER_KEY, "row_num", "split")
+    return build_features(spark, sf_dir).join(positions, ORDER_KEY)
+
+
 def features_job(spark: SparkSession, sf_dir: str, output: str | None = None) -> DataFrame:
-    """Build, check and split the features; write them by split when ``output`` is given."""
-    split = splits.chronological_split(build_features(spark, sf_dir))
-    cleaning.raise_on_violations(features.validate_features(split.drop("split", "row_num")))
-    if output:
-        files.write_parquet(split, output, ["split"])
-    return split
+    """Build, write, check and return the split feature table.
+
+    It is written once, by split, to ``output`` or to the shared folder; everything later reads the copy.
+    """
+    path = output or scratch_path(spark, "features")
+    files.write_parquet(split_features(spark, sf_dir), path, ["split"])
+    written = files.read_parquet(spark, path)
+    cleaning.raise_on_violations(features.validate_features(written.drop("split", "row_num")))
+    return written
 
 
 def baseline_job(split: DataFrame, configs: Sequence[training.ModelConfig] | None = None):
