@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import json
+import math
 import time
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -30,6 +31,7 @@ SEED = 42
 _WEIGHT = "_weight"
 _HELD_BACK = "_held_back"
 UNLIMITED_DEPTH = 30  # the deepest tree Spark grows
+ROWS_PER_TASK = 100_000  # smaller training sets are read by fewer tasks; each fit runs many short jobs over them
 
 
 @dataclass(frozen=True)
@@ -132,8 +134,8 @@ def resolved_configs(ranked: DataFrame, folds: Sequence[Fold], configs: Sequence
     )
 
 
-def _weights(train: DataFrame, family: str, params: dict) -> tuple[float, float, float]:
-    """(weight of on-time rows, weight of late rows, total weight)."""
+def _weights(train: DataFrame, family: str, params: dict) -> tuple[float, float, float, int]:
+    """(weight of on-time rows, weight of late rows, total weight, rows)."""
     w = class_weights(train)
     if family == "xgboost":
         asked = params.get("scale_pos_weight", 1.0)
@@ -142,7 +144,7 @@ def _weights(train: DataFrame, family: str, params: dict) -> tuple[float, float,
         on_time, late = 1.0, 1.0
     else:
         on_time, late = w["balanced_0"], w["balanced_1"]
-    return on_time, late, on_time * (w["rows"] - w["positives"]) + late * w["positives"]
+    return on_time, late, on_time * (w["rows"] - w["positives"]) + late * w["positives"], int(w["rows"])
 
 
 def _tree_depth(leaves: int) -> int:
@@ -203,14 +205,15 @@ def fit_model(train: DataFrame, config: ModelConfig, preprocessor: PipelineModel
     to choose the model.
     """
     preprocessor = preprocessor or build_preprocessor(train)
-    on_time, late, total = _weights(train, config.family, config.params)
+    on_time, late, total, rows = _weights(train, config.family, config.params)
     weighted = train.withColumn(_WEIGHT, F.when(F.col(TARGET) == 1, F.lit(late)).otherwise(F.lit(on_time)))
     if config.family in ("hist_gradient_boosting", "boosting"):
         bounds = train.agg(F.min("row_num").alias("lo"), F.max("row_num").alias("hi")).first()
         cut = bounds["lo"] + int((bounds["hi"] - bounds["lo"] + 1) * 0.9)
         weighted = weighted.withColumn(_HELD_BACK, F.col("row_num") >= F.lit(cut))
     kept = ["features", TARGET, _WEIGHT, *([_HELD_BACK] if _HELD_BACK in weighted.columns else [])]
-    vectors = preprocessor.transform(weighted).select(*kept)
+    # coalesce never adds partitions, so a large table keeps its own
+    vectors = preprocessor.transform(weighted).select(*kept).coalesce(max(1, math.ceil(rows / ROWS_PER_TASK)))
     model = build_estimator(config, total).fit(vectors)
     return PipelineModel([*preprocessor.stages, model])
 
