@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from parcelcast.contracts import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from parcelcast.functions.expressions import pct, ratio
-from parcelcast.operators.ordering import COLUMN_ID, exact_quantiles, melt_numeric, named_columns
+from parcelcast.operators.ordering import COLUMN_ID, exact_quantiles, melt_numeric, named_columns, with_scalar
 
 SHARE_FLOOR = 1e-6
 MISSING_VALUE = "__MISSING__"
@@ -31,9 +31,10 @@ def _index_per_feature(
     counts: DataFrame, key: Sequence[str], sizes: DataFrame, missing_bin: Column, binned: Column
 ) -> DataFrame:
     """Index and missing shares from (key, bin, reference, comparison) counts; unbinned keys have index 0."""
-    n = sizes.select(F.struct("reference_rows", "comparison_rows").alias("s")).scalar()
-    shares = counts.select(
+    n = F.col("_size")
+    shares = with_scalar(counts, "_size", sizes).select(
         *key,
+        "_size",
         missing_bin.alias("is_missing"),
         "reference",
         "comparison",
@@ -41,13 +42,14 @@ def _index_per_feature(
             binned, psi_term(ratio("reference", n["reference_rows"]), ratio("comparison", n["comparison_rows"]))
         ).otherwise(F.lit(0.0)).alias("term"),
     )
-    return shares.groupBy(*key).agg(
+    summed = shares.groupBy(*key, "_size").agg(
         F.sum("term").alias("psi"),
         pct(F.coalesce(F.sum(F.when(F.col("is_missing"), F.col("reference"))), F.lit(0)),
             n["reference_rows"]).alias("reference_missing_pct"),
         pct(F.coalesce(F.sum(F.when(F.col("is_missing"), F.col("comparison"))), F.lit(0)),
             n["comparison_rows"]).alias("comparison_missing_pct"),
     )
+    return summed.drop("_size")
 
 
 def _sided(reference: DataFrame, comparison: DataFrame) -> DataFrame:

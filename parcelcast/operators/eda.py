@@ -10,6 +10,7 @@ from parcelcast.contracts import SIGNAL_FEATURES, TARGET
 from parcelcast.functions.expressions import as_column, flag_count, month_of
 from parcelcast.operators.ordering import (
     COLUMN_ID, describe_columns, exact_quantiles, melt_numeric, named_columns, null_safe_match, value_counts_table,
+    with_scalar,
 )
 
 # Weekday names, Monday first.
@@ -100,14 +101,18 @@ def histogram(df: DataFrame, column: str, bins: int, low: float | None = None, h
     rows = df.filter(x.isNotNull())
     if low is not None and high is not None:
         rows = rows.filter(x.between(F.lit(float(low)), F.lit(float(high))))
-    limits = rows.agg(F.struct(F.min(column).alias("lo"), F.max(column).alias("hi")).alias("range")).scalar()
-    width = (limits["hi"] - limits["lo"]) / F.lit(float(bins))
-    position = F.coalesce(F.floor(F.try_divide(x - limits["lo"], width)), F.lit(0)).cast("int")
-    counted = rows.groupBy(F.least(position, F.lit(bins - 1)).alias("bin")).agg(F.count(F.lit(1)).alias("orders"))
+    limits = rows.agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
+    low_edge, width = F.col("_range.lo"), (F.col("_range.hi") - F.col("_range.lo")) / F.lit(float(bins))
+    position = F.coalesce(F.floor(F.try_divide(x - low_edge, width)), F.lit(0)).cast("int")
+    counted = (
+        with_scalar(rows.select(column), "_range", limits)
+        .groupBy(F.least(position, F.lit(bins - 1)).alias("bin"))
+        .agg(F.count(F.lit(1)).alias("orders"))
+    )
     all_bins = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    return all_bins.join(counted, "bin", "left").select(
+    return with_scalar(all_bins.join(counted, "bin", "left"), "_range", limits).select(
         "bin",
-        (limits["lo"] + width * F.col("bin")).alias("bin_start"),
+        (low_edge + width * F.col("bin")).alias("bin_start"),
         F.coalesce("orders", F.lit(0)).cast("bigint").alias("orders"),
     )
 

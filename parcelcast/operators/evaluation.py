@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from parcelcast.contracts import ContractError, PREDICTION_TS, SEGMENT_BANDS, TARGET
 from parcelcast.functions.expressions import month_of, ratio, upper_closed_band
-from parcelcast.operators.ordering import exact_quantiles, running_totals
+from parcelcast.operators.ordering import exact_quantiles, running_totals, with_scalar
 from parcelcast.operators.profiling import _rows_from_aggregate
 
 SCORE = "probability"
@@ -217,9 +217,9 @@ def calibration_table(df: DataFrame, n_bins: int = 10, label: str = TARGET, scor
     """Mean score and observed rate per quantile bin; a score equal to an edge falls below it."""
     table = score_table(df, (), label, score)
     probs = {f"e{i}": i / n_bins for i in range(1, n_bins)}
-    edges = exact_quantiles(df, [], score, probs).select(F.struct(*probs).alias("edges")).scalar()
-    bin_id = reduce(lambda a, b: a + b, [(edges[e] < F.col("score")).cast("int") for e in probs])
-    binned = table.withColumn("bin", bin_id).groupBy("bin").agg(
+    bin_id = reduce(lambda a, b: a + b, [(F.col("edges")[e] < F.col("score")).cast("int") for e in probs])
+    edged = with_scalar(table, "edges", exact_quantiles(df, [], score, probs))
+    binned = edged.withColumn("bin", bin_id).groupBy("bin").agg(
         ratio(F.sum(F.col("score") * F.col("n")), F.sum("n")).alias("mean_predicted_probability"),
         ratio(F.sum("pos"), F.sum("n")).alias("observed_late_rate"),
     )

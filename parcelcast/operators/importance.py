@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from parcelcast.contracts import ContractError, MODEL_FEATURES, ORDER_KEY, TARGET
 from parcelcast.operators.evaluation import SCORE, ranking_metrics
-from parcelcast.operators.ordering import global_rank
+from parcelcast.operators.ordering import global_rank, with_scalar
 from parcelcast.operators.preprocessing import feature_names
 from parcelcast.operators.profiling import seeded_sample
 from parcelcast.operators.training import SEED, score_rows
@@ -75,15 +75,15 @@ def permutation_importance(
 
 def linear_contributions(df: DataFrame, weights: dict[str, float], key: str = ORDER_KEY) -> DataFrame:
     """Contributions w * (x - mean x) of a linear score in long form; a missing value contributes nothing."""
-    means = df.agg(F.struct(*[F.avg(c).alias(c) for c in weights]).alias("m")).scalar()
+    means = df.agg(*[F.avg(c).alias(c) for c in weights])
     parts = F.array(*[
         F.struct(
             F.lit(c).alias("feature"),
-            F.coalesce(F.lit(w) * (F.col(c).cast("double") - means[c]), F.lit(0.0)).alias("contribution"),
+            F.coalesce(F.lit(w) * (F.col(c).cast("double") - F.col("_means")[c]), F.lit(0.0)).alias("contribution"),
         )
         for c, w in weights.items()
     ])
-    return df.select(key, F.explode(parts).alias("p")).select(key, "p.*")
+    return with_scalar(df, "_means", means).select(key, F.explode(parts).alias("p")).select(key, "p.*")
 
 
 def global_attribution(contributions: DataFrame) -> DataFrame:

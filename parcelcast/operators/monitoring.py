@@ -10,6 +10,7 @@ from parcelcast.contracts import PREDICTION_TS
 from parcelcast.functions.expressions import flag_count, month_of, ratio
 from parcelcast.operators.drift import drift_flag, numeric_psi
 from parcelcast.operators.evaluation import SCORE, ranking_metrics
+from parcelcast.operators.ordering import with_scalar
 from parcelcast.operators.scoring import BANDS
 
 
@@ -49,18 +50,19 @@ def score_drift(reference: DataFrame, log: DataFrame, score: str = SCORE) -> Dat
     """Live scores against the reference: means, review and missing rates, and the stability index."""
     ref = reference.select(F.col(score).alias("score"))
     live = log.filter(~F.col("failed"))
-    psi = numeric_psi(ref, live.select("score"), ["score"]).select("psi").scalar()
-    ref_mean = ref.agg(F.avg("score").alias("m")).scalar()
     row = live.agg(
         F.count(F.lit(1)).alias("predictions"),
         F.avg("score").alias("live_score_mean"),
         F.avg(F.col("requires_review").cast("double")).alias("review_rate"),
         ratio(F.sum("missing_features"), F.count(F.lit(1))).alias("missing_per_prediction"),
     )
+    row = with_scalar(row, "_ref", ref.agg(F.avg("score").alias("mean")))
+    row = with_scalar(row, "_shift", numeric_psi(ref, live.select("score"), ["score"]).select("psi"))
     return row.select(
-        "predictions", "live_score_mean", ref_mean.alias("reference_score_mean"),
-        (F.col("live_score_mean") - ref_mean).alias("score_mean_shift"),
-        "review_rate", "missing_per_prediction", psi.alias("score_psi"), drift_flag(psi).alias("drift_flag"),
+        "predictions", "live_score_mean", F.col("_ref.mean").alias("reference_score_mean"),
+        (F.col("live_score_mean") - F.col("_ref.mean")).alias("score_mean_shift"),
+        "review_rate", "missing_per_prediction", F.col("_shift.psi").alias("score_psi"),
+        drift_flag("_shift.psi").alias("drift_flag"),
     )
 
 

@@ -18,6 +18,11 @@ from parcelcast.session import materialize
 _ROW_BITS = (1 << 33) - 1  # low bits of monotonically_increasing_id: the position in its partition
 
 
+def with_scalar(df: DataFrame, name: str, one_row: DataFrame) -> DataFrame:
+    """Add the single row of ``one_row`` as a struct column; it is computed once, no join takes place."""
+    return df.withColumn(name, one_row.select(F.struct("*").alias(name)).scalar())
+
+
 def null_safe_match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 

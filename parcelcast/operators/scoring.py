@@ -12,7 +12,7 @@ from parcelcast.contracts import (
 )
 from parcelcast.functions.expressions import as_column, present, upper_closed_band
 from parcelcast.operators.evaluation import F1_RULE, RECALL_RULE, SCORE
-from parcelcast.operators.ordering import exact_quantiles, global_rank
+from parcelcast.operators.ordering import exact_quantiles, global_rank, with_scalar
 
 BANDS = ("low", "medium", "high", "critical")
 SCORE_QUANTILES = {"q05": 0.05, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q80": 0.8, "q90": 0.9, "q95": 0.95, "q99": 0.99}
@@ -127,33 +127,32 @@ def choose_threshold(rules: DataFrame) -> DataFrame:
 def monitoring_reference(scored: DataFrame, label: str = TARGET, score: str = SCORE) -> DataFrame:
     """Rows, prevalence and score distribution that live traffic is compared with."""
     s = F.col(score).try_cast("double")
-    q = score_quantiles(scored, score).select(F.struct(*SCORE_QUANTILES).alias("q")).scalar()
     basics = scored.agg(
         F.count(F.lit(1)).alias("rows"),
         F.avg(label).alias("prevalence"),
         F.avg(F.when(present(s), s)).alias("score_mean"),
         F.stddev_samp(F.when(present(s), s)).alias("score_std"),
     )
-    return basics.select("*", *[q[name].alias(name) for name in SCORE_QUANTILES])
+    return with_scalar(basics, "_q", score_quantiles(scored, score)).select(*basics.columns, "_q.*")
 
 
 def deployment_config(
     scored: DataFrame, rules: DataFrame, candidate: str, family: str, fingerprint: str
 ) -> DataFrame:
     """The nested deployment record as one row."""
-    bands = band_thresholds(scored).select(F.struct("low_max", "medium_max", "high_max").alias("b")).scalar()
-    chosen = choose_threshold(rules).select(F.struct("action_threshold", "action_threshold_rule").alias("c")).scalar()
-    reference = monitoring_reference(scored)
-    return reference.select(
+    limits = band_thresholds(scored).select("low_max", "medium_max", "high_max")
+    chosen = choose_threshold(rules)
+    record = with_scalar(with_scalar(monitoring_reference(scored), "bands", limits), "chosen", chosen)
+    return record.select(
         F.struct(
             F.lit(candidate).alias("candidate"), F.lit(family).alias("family"), F.lit(fingerprint).alias("sha256"),
             F.lit(len(MODEL_FEATURES)).alias("feature_count"),
         ).alias("model"),
         F.struct(
             F.lit(False).alias("calibrated_probability"),
-            F.struct(*[bands[n].alias(n) for n in ("low_max", "medium_max", "high_max")]).alias("bands"),
-            chosen["action_threshold"].alias("action_threshold"),
-            chosen["action_threshold_rule"].alias("action_threshold_rule"),
+            "bands",
+            "chosen.action_threshold",
+            "chosen.action_threshold_rule",
         ).alias("risk_score"),
         F.struct(
             "rows", "prevalence", "score_mean", "score_std", F.struct(*SCORE_QUANTILES).alias("score_quantiles")
