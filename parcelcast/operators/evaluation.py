@@ -105,7 +105,9 @@ def _rates(tp: Column, fp: Column, tn: Column, fn: Column) -> dict[str, Column]:
 _CELLS = ("tp", "fp", "tn", "fn")
 
 
-def _cells_at(table: DataFrame, groups: Sequence[str], thresholds: Sequence[float], extra: Sequence[Column] = ()) -> DataFrame:
+def _cells_at(
+    table: DataFrame, groups: Sequence[str], thresholds: Sequence[float], extra: Sequence[Column] = ()
+) -> DataFrame:
     """Confusion cells for all thresholds in one pass: one row per group and threshold position."""
     cells = [
         F.struct(F.lit(float(t)).alias("threshold"), *[c.alias(k) for k, c in _confusion(t).items()])
@@ -132,7 +134,9 @@ def threshold_table(df: DataFrame, thresholds: Sequence[float] = TABLE_THRESHOLD
     return classification_metrics(df, list(thresholds))
 
 
-def confusion_matrix(df: DataFrame, threshold: float = DEFAULT_THRESHOLD, label: str = TARGET, score: str = SCORE) -> DataFrame:
+def confusion_matrix(
+    df: DataFrame, threshold: float = DEFAULT_THRESHOLD, label: str = TARGET, score: str = SCORE
+) -> DataFrame:
     """Two rows (actual class) by two columns (predicted class); empty cells are 0."""
     agg = score_table(df, (), label, score).agg(*[c.alias(k) for k, c in _confusion(threshold).items()])
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))

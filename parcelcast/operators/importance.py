@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from parcelcast.contracts import ContractError, MODEL_FEATURES, ORDER_KEY, TARGET
-from parcelcast.operators.evaluation import SCORE, ranking_metrics
+from parcelcast.operators.evaluation import ranking_metrics
 from parcelcast.operators.ordering import global_rank, with_scalar
 from parcelcast.operators.preprocessing import feature_names
 from parcelcast.operators.profiling import seeded_sample

@@ -74,7 +74,8 @@ def split_invariants(split: DataFrame) -> DataFrame:
         .agg(F.count(F.when(F.col("late_start"), F.lit(1))).alias("violations"))
         .select(F.lit("splits_are_in_time_order").alias("rule"), "violations")
     )
-    outside = split.agg(F.count(F.when(~F.coalesce(F.col("split").isin(*SPLITS), F.lit(False)), F.lit(1))).alias("violations"))
+    known = F.coalesce(F.col("split").isin(*SPLITS), F.lit(False))
+    outside = split.agg(F.count(F.when(~known, F.lit(1))).alias("violations"))
     return shared.unionByName(ordered).unionByName(
         outside.select(F.lit("every_row_has_a_split").alias("rule"), "violations")
     )

@@ -11,7 +11,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier,
@@ -31,7 +31,7 @@ SEED = 42
 _WEIGHT = "_weight"
 _HELD_BACK = "_held_back"
 UNLIMITED_DEPTH = 30  # the deepest tree Spark grows
-ROWS_PER_TASK = 100_000  # smaller training sets are read by fewer tasks; each fit runs many short jobs over them
+ROWS_PER_TASK = 100_000  # a regression's iterations get at least this many rows per task
 
 
 @dataclass(frozen=True)
@@ -212,12 +212,27 @@ def fit_model(train: DataFrame, config: ModelConfig, preprocessor: PipelineModel
         cut = bounds["lo"] + int((bounds["hi"] - bounds["lo"] + 1) * 0.9)
         weighted = weighted.withColumn(_HELD_BACK, F.col("row_num") >= F.lit(cut))
     kept = ["features", TARGET, _WEIGHT, *([_HELD_BACK] if _HELD_BACK in weighted.columns else [])]
-    # coalesce never adds partitions, so a large table keeps its own
-    vectors = preprocessor.transform(weighted).select(*kept).coalesce(max(1, math.ceil(rows / ROWS_PER_TASK)))
-    model = build_estimator(config, total).fit(vectors)
+    # every iteration reads the vectors again; lost blocks are recomputed
+    vectors = preprocessor.transform(weighted).select(*kept).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = build_estimator(config, total).fit(_gathered(vectors, rows, config.family))
+    finally:
+        vectors.unpersist()
     return PipelineModel([*preprocessor.stages, model])
 
 
+def _gathered(vectors: DataFrame, rows: int, family: str) -> DataFrame:
+    """Fewer, larger tasks for a regression on a small table, whose many iterations are very short jobs.
+
+    The vectors are computed and kept in their own partitions; ``coalesce`` never adds partitions, so a large
+    table is left as it is.
+    """
+    if family not in ("logistic_regression", "linear"):
+        return vectors
+    vectors.count()
+    return vectors.coalesce(max(1, math.ceil(rows / ROWS_PER_TASK)))
+
+
 def positive_probability(scored: DataFrame) -> Column:
     """Score of the late class; only binary models are accepted."""
     column = vector_to_array(F.col("probability"))

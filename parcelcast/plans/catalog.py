@@ -65,11 +65,6 @@ EXPECTED_FILES = ["customer.parquet", "events.parquet", "lineitem.parquet", "ord
 _SHARED: dict[tuple[str, str, str], DataFrame] = {}
 
 
-def forget_shared() -> None:
-    """Drop the shared tables, so that the next query builds its own (used by the bench)."""
-    _SHARED.clear()
-
-
 def _shared(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _SHARED:

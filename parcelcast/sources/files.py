@@ -7,19 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from parcelcast.contracts import ContractError
+from parcelcast.functions.expressions import nan_to_null
 
 TIMESTAMP_TEXT = "yyyy-MM-dd HH:mm:ss"
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Header CSV with an explicit schema; unreadable cells become NULL."""
-    return (
+    """Header CSV with an explicit schema; unreadable cells and NaN become NULL."""
+    rows = (
         spark.read.schema(schema)
         .option("header", True)
         .option("timestampFormat", TIMESTAMP_TEXT)
         .option("mode", "PERMISSIVE")
         .csv(path)
     )
+    return rows.withColumns({
+        f.name: nan_to_null(f.name) for f in schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))
+    })
 
 
 def write_csv(df: DataFrame, path: str) -> str:

@@ -1,5 +1,5 @@
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from parcelcast import contracts as K
 from parcelcast.operators import cleaning, eda, profiling
@@ -91,3 +91,10 @@ def test_metadata_round_trip(spark, tmp_path):
     record = spark.sql("SELECT 'c' AS candidate, named_struct('low', 0.25D, 'rows', 3L) AS body")
     path = files.write_metadata(record, str(tmp_path / "m"))
     assert files.read_metadata(spark, path, record.schema).first() == record.first()
+
+
+def test_csv_nan_and_bad_cells_become_null(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("order_id,price\n1,2.5\n2,NaN\n3,soon\n4,\n")
+    schema = T.StructType([T.StructField("order_id", T.LongType()), T.StructField("price", T.DoubleType())])
+    rows = files.read_csv(spark, str(tmp_path / "x.csv"), schema).orderBy("order_id").collect()
+    assert [r.price for r in rows] == [2.5, None, None, None]

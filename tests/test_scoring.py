@@ -65,7 +65,7 @@ def test_deployment_record(spark, oof):
     rules = spark.createDataFrame(
         [("best_oof_f1", 0.55), ("maximize_precision_subject_to_recall>=0.50", 0.50)],
         "threshold_rule string, threshold double")
-    r = scoring.deployment_config(oof, rules, "xgboost_03", "xgboost", "a" * 64).first()
+    r = scoring.deployment_config(oof, rules, "candidate_03", "xgboost", "a" * 64).first()
     assert r.risk_score.action_threshold == 0.50
     b = r.risk_score.bands
     assert b.low_max < b.medium_max < b.high_max and b.low_max == pytest.approx(0.475)

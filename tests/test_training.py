@@ -6,7 +6,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from parcelcast import contracts as K
-from parcelcast.operators import importance, preprocessing, splits, training
+from parcelcast.operators import evaluation, importance, preprocessing, profiling, splits, training
+from parcelcast.plans import jobs
 
 
 @pytest.fixture(scope="module")
@@ -121,3 +122,24 @@ def test_linear_attribution(spark):
     df = spark.createDataFrame([(1, 1.0, None), (2, 3.0, 4.0)], "order_id bigint, a double, b double")
     rows = importance.global_attribution(importance.linear_contributions(df, {"a": 2.0, "b": 1.0})).collect()
     assert [(r.feature, r.mean_absolute_contribution) for r in rows] == [("a", 2.0), ("b", 0.0)]
+
+
+def test_baseline_and_deployment_jobs(ranked, tmp_path):
+    split = ranked.withColumn("split", F.when(F.col("row_num") <= 280, "train").when(F.col("row_num") <= 340, "validation").otherwise("test"))
+    configs = [training.ModelConfig("tree", "tree", {"max_depth": 3, "min_samples_leaf": 5}), training.ModelConfig("prior", "baseline")]
+    ranking, best, metrics, matrices = jobs.baseline_job(split, configs)
+    assert [r.model for r in ranking.collect()] == ["tree", "prior"]
+    assert [r.evaluation for r in metrics.collect()] == ["default_threshold", "validation_tuned_threshold"]
+    assert all(sum((r.pred_on_time, r.pred_late)) > 0 for r in matrices.collect())
+    path = training.save_model(best, str(tmp_path / "model"))
+    oof = training.score_rows(best, split.filter("split = 'validation'"))
+    record = jobs.deployment_job(
+        ranked.sparkSession, path, oof, evaluation.operating_thresholds(oof), configs[0], str(tmp_path / "config")).first()
+    assert len(record.model.sha256) == 64 and record.monitoring_reference["rows"] == 60
+    assert 0 <= record.risk_score.action_threshold <= 1
+
+
+def test_samples(ranked):
+    assert importance.attribution_sample(ranked, 50).count() == 50
+    assert importance.attribution_sample(ranked).count() == 400  # fewer rows than asked for: all of them
+    assert profiling.sample_rows(ranked, 5).count() == 5
