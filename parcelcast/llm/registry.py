@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from parcelcast.llm import nbsvm, toxicity
+from parcelcast.llm import htmltext, nbsvm, toxicity
 
 
 def queries() -> dict:
-    return {"op5_toxicity": toxicity.op5_toxicity, "op10_quality": nbsvm.op10_quality}
+    return {"op2_html_text": htmltext.op2_html_text, "op5_toxicity": toxicity.op5_toxicity, "op10_quality": nbsvm.op10_quality}
 
 
 def oracle_sql() -> dict[str, str]:
