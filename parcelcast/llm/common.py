@@ -80,7 +80,7 @@ def text_column(batch: pa.RecordBatch, name: str = "text") -> pa.Array:
 class Words:
     """The words of some texts: byte ranges, 64-bit hashes, and the first word of each text."""
 
-    def __init__(self, texts: pa.Array, lower: bool = False):
+    def __init__(self, texts: pa.Array, lower: bool = False, end_marks: bool = False):
         offsets = _offsets(texts)
         raw = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)[offsets[0]: offsets[-1]]
         offsets = offsets - offsets[0]
@@ -94,6 +94,13 @@ class Words:
         edges = offsets[:-1][offsets[:-1] < len(raw)]
         before[edges] = False
         first = inside & ~before
+        if end_marks:  # a full stop or comma between an ASCII letter and the end of a word begins a word
+            last = np.empty_like(inside)
+            last[:-1] = ~inside[1:] | first[1:]
+            if len(last):
+                last[-1] = True
+            letter = ((raw | np.uint8(32)) - np.uint8(97)) < 26
+            first[1:] |= ((raw[1:] == 46) | (raw[1:] == 44)) & last[1:] & letter[:-1] & ~first[1:] & inside[:-1]
         after = np.empty_like(inside)
         after[:-1] = inside[1:] & ~first[1:]
         if len(after):
@@ -130,12 +137,18 @@ class Words:
         return zip(self.bounds[:-1].tolist(), self.bounds[1:].tolist())
 
 
-def scan(batches: Iterator[pa.RecordBatch], lower: bool = False, column: str = "text") -> Iterator[tuple[pa.RecordBatch, Words]]:
-    """Slices of the batches with their words."""
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Parts of the batches of about SLICE_BYTES of text, and their text."""
     for batch in batches:
         texts = text_column(batch, column)
         for lo, hi in text_slices(texts):
-            yield batch.slice(lo, hi - lo), Words(texts.slice(lo, hi - lo), lower)
+            yield batch.slice(lo, hi - lo), texts.slice(lo, hi - lo)
+
+
+def scan(batches: Iterator[pa.RecordBatch], lower: bool = False, column: str = "text") -> Iterator[tuple[pa.RecordBatch, Words]]:
+    """Slices of the batches with their words."""
+    for batch, texts in slices(batches, column):
+        yield batch, Words(texts, lower)
 
 
 def distinct(values: np.ndarray) -> np.ndarray:
