@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
-from parcelcast.llm import decontaminate, htmltext, mixing, nbsvm, tokenids, toxicity
+from parcelcast.llm import decontaminate, hamming, htmltext, mixing, nbsvm, tokenids, toxicity
 
 
 def queries() -> dict:
-    return {"op2_html_text": htmltext.op2_html_text, "op5_toxicity": toxicity.op5_toxicity, "op6_decontamination": decontaminate.op6_decontamination, "op7_mixing": mixing.op7_mixing, "op9_token_ids": tokenids.op9_token_ids, "op10_quality": nbsvm.op10_quality}
+    return {
+        "op1_top_k": hamming.op1_top_k,
+        "op2_html_text": htmltext.op2_html_text,
+        "op5_toxicity": toxicity.op5_toxicity,
+        "op6_decontamination": decontaminate.op6_decontamination,
+        "op7_mixing": mixing.op7_mixing,
+        "op9_token_ids": tokenids.op9_token_ids,
+        "op10_quality": nbsvm.op10_quality,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_decontamination": decontaminate.op6_decontamination, "op7_mixing": mixing.ORACLE}
+    return {
+        "op1_top_k": hamming.ORACLE,
+        "op7_mixing": mixing.ORACLE,
+    }
