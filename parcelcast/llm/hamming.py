@@ -189,10 +189,10 @@ def op1_top_k(spark, sf_dir):
 
 
 ORACLE = """
-WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, x -> coalesce(x, 0) > 0) AS signs FROM embeddings
+WITH v AS (SELECT DISTINCT vec_id, [coalesce(x, 0) > 0 for x in embedding] AS signs FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL)
-, pairs AS (SELECT q.vec_id AS query_id, v.vec_id, CAST(list_sum(list_transform(list_zip(q.signs, v.signs),
-    p -> CASE WHEN p[1] <> p[2] THEN 1 ELSE 0 END)) AS INTEGER) AS distance
+, pairs AS (SELECT q.vec_id AS query_id, v.vec_id, CAST(list_sum([CASE WHEN coalesce(p[1], false) <> coalesce(p[2], false) THEN 1 ELSE 0 END
+    for p in list_zip(q.signs, v.signs)]) AS INTEGER) AS distance
   FROM v q JOIN v ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id)
 , ranked AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS INTEGER) AS rank, vec_id, distance FROM pairs)
 SELECT * FROM ranked WHERE rank <= 10
