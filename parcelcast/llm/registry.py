@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from parcelcast.llm import decontaminate, hamming, htmltext, mixing, nbsvm, tokenids, toxicity
+from parcelcast.llm import decontaminate, hamming, htmltext, jaccard, mixing, nbsvm, tokenids, toxicity
 
 
 def queries() -> dict:
     return {
         "op1_top_k": hamming.op1_top_k,
         "op2_html_text": htmltext.op2_html_text,
+        "op4_ngram_jaccard": jaccard.op4_ngram_jaccard,
         "op5_toxicity": toxicity.op5_toxicity,
         "op6_decontamination": decontaminate.op6_decontamination,
         "op7_mixing": mixing.op7_mixing,
