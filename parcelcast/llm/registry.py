@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from parcelcast.llm import decontaminate, hamming, htmltext, jaccard, mixing, nbsvm, tokenids, toxicity
+from parcelcast.llm import decontaminate, hamming, htmltext, jaccard, mixing, nbsvm, substrings, tokenids, toxicity
 
 
 def queries() -> dict:
@@ -13,6 +13,7 @@ def queries() -> dict:
         "op5_toxicity": toxicity.op5_toxicity,
         "op6_decontamination": decontaminate.op6_decontamination,
         "op7_mixing": mixing.op7_mixing,
+        "op8_substring_dedup": substrings.op8_substring_dedup,
         "op9_token_ids": tokenids.op9_token_ids,
         "op10_quality": nbsvm.op10_quality,
     }
