@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from parcelcast.llm import decontaminate, hamming, htmltext, jaccard, mixing, nbsvm, substrings, tokenids, toxicity
+from parcelcast.llm import decontaminate, hamming, htmltext, jaccard, linededup, mixing, nbsvm, substrings, tokenids, toxicity
 
 
 def queries() -> dict:
     return {
         "op1_top_k": hamming.op1_top_k,
         "op2_html_text": htmltext.op2_html_text,
+        "op3_line_dedup": linededup.op3_line_dedup,
         "op4_ngram_jaccard": jaccard.op4_ngram_jaccard,
         "op5_toxicity": toxicity.op5_toxicity,
         "op6_decontamination": decontaminate.op6_decontamination,
@@ -22,5 +23,6 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_top_k": hamming.ORACLE,
+        "op3_line_dedup": linededup.ORACLE,
         "op7_mixing": mixing.ORACLE,
     }
