@@ -161,6 +161,17 @@ def score(docs: DataFrame, model: QualityModel, threshold: float = 0.3) -> DataF
     return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
 
 
+def accept(docs: DataFrame, model: QualityModel, threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose score reaches the threshold."""
+
+    def run(batches):
+        for batch, words in scan(batches):
+            margins = np.array([model.margin(ids) for ids in feature_ids(words)])
+            yield batch.filter(pa.array(model.score(margins) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, max_rows: int = 5000) -> DataFrame:
     return score(docs, fit(docs, labels, max_rows=max_rows), threshold)
 

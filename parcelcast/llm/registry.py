@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from parcelcast.llm import decontaminate, hamming, htmltext, jaccard, linededup, mixing, nbsvm, substrings, tokenids, toxicity
 
 
@@ -17,6 +18,7 @@ def queries() -> dict:
         "op8_substring_dedup": substrings.op8_substring_dedup,
         "op9_token_ids": tokenids.op9_token_ids,
         "op10_quality": nbsvm.op10_quality,
+        "pipeline": corpus_pipeline.run,
     }
 
 
