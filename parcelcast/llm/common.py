@@ -10,12 +10,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from parcelcast.session import scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 1 << 20  # text handled at once inside a task; a longer document is a slice of its own
+BATCH_ROWS = 512
 PIECE = 1 << 20  # bytes whose prefix hashes are held at once
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -28,6 +29,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def bound_batches(df: DataFrame) -> DataFrame:
+    """``df``, after limiting the rows that a Python task is handed at once: whole texts are large rows."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
@@ -151,6 +158,43 @@ def scan(batches: Iterator[pa.RecordBatch], lower: bool = False, column: str = "
         yield batch, Words(texts, lower)
 
 
+DOC_BITS = 23  # a bitmap of 1 MB
+
+
+def bitmap(df: DataFrame, place: Column, bits: int) -> np.ndarray:
+    """Bitmap of the places (0 to 2**bits - 1) that occur: of a fixed size whatever the input."""
+    parts = df.select(place.cast("long").alias("at")).groupBy(F.shiftright("at", 15).alias("part")).agg(
+        F.bitmap_construct_agg(F.col("at").bitwiseAND(F.lit(32767))).alias("bits"))
+    out = np.zeros((max(1, (1 << bits) >> 15), 4096), dtype=np.uint8)
+    for row in parts.toLocalIterator():
+        out[row["part"]] |= np.frombuffer(bytes(row["bits"]), dtype=np.uint8)
+    return out.ravel()
+
+
+def held(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return (bits[places >> 3] >> (places & 7).astype(np.uint8)) & 1 > 0
+
+
+def split_rows(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` whose doc_id may be in ``ids``, and those for which it is not.
+
+    Told apart by a bitmap of a fixed size, so that rows that meet nothing need not be shuffled to a join; a null id is in
+    none. The second part is exact, the first may hold more and is to be joined.
+    """
+    flagged = bitmap(ids.filter("doc_id IS NOT NULL"), F.pmod("doc_id", F.lit(1 << DOC_BITS)), DOC_BITS)
+    at = docs.columns.index("doc_id")
+
+    def part(want: bool):
+        def run(batches):
+            for batch in batches:
+                keys = batch.column(at)
+                known = held(flagged, keys.fill_null(0).to_numpy() % (1 << DOC_BITS)) & keys.is_valid().to_numpy(zero_copy_only=False)
+                yield batch.filter(pa.array(known == want))
+        return run
+
+    return docs.mapInArrow(part(True), docs.schema), docs.mapInArrow(part(False), docs.schema)
+
+
 def distinct(values: np.ndarray) -> np.ndarray:
     """Sorted distinct values (by sorting: faster here than a hash table)."""
     values = np.sort(values)

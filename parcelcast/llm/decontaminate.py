@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from parcelcast.llm.common import Words, distinct, lists, scan, store, table, text_slices
+from parcelcast.llm.common import Words, bound_batches, distinct, lists, scan, split_rows, store, table, text_slices
 
 MIN_MATCH, THRESHOLD, BROADCAST_BYTES = 4, 0.5, 16 << 20
 RESULT = "doc_id long, item_id long, item_words int, covered int, tiles int, longest int, coverage double"
@@ -216,7 +216,7 @@ def _with_join(docs: DataFrame, items: DataFrame, min_match: int, threshold: flo
 def contaminated(docs: DataFrame, items: DataFrame, min_match: int = MIN_MATCH, threshold: float = THRESHOLD,
                  broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """One row for each document and benchmark item that it covers to ``threshold``."""
-    items = items.select("item_id", "text")
+    items = bound_batches(items).select("item_id", "text")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     if size > broadcast_bytes:
         return _with_join(docs, items, min_match, threshold).distinct()
@@ -227,8 +227,9 @@ def contaminated(docs: DataFrame, items: DataFrame, min_match: int = MIN_MATCH,
 
 def clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The documents that hold no benchmark item."""
-    hits = contaminated(docs, items, **options).select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(hits, docs["doc_id"] == F.col("_hit"), "left_anti")
+    hits = store(contaminated(docs, items, **options).select("doc_id").distinct(), "contaminated")
+    some, rest = split_rows(docs, hits)
+    return rest.unionByName(some.join(hits, "doc_id", "left_anti"))
 
 
 def op6_decontamination(spark, sf_dir):

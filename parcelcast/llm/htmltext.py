@@ -17,7 +17,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from parcelcast.llm.common import table
+from parcelcast.llm.common import bound_batches, table
 
 # Element names of HTML
 RAW = "script|style|noscript|template|textarea|title|iframe|object|svg|math|select|canvas|audio|video"
@@ -147,7 +147,7 @@ def main_text(page: str | None, window: int = 3, surge: int = 80) -> str:
 
 def extract(pages: DataFrame, window: int = 3, surge: int = 80) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
-    rows = pages.select("page_id", "url", "html")
+    rows = bound_batches(pages).select("page_id", "url", "html")
 
     def run(batches):
         for batch in batches:

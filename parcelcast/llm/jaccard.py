@@ -25,10 +25,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from parcelcast.llm.common import Words, distinct, lists, mix, scan, store, table
+from parcelcast.llm.common import (
+    Words, bitmap, bound_batches, distinct, held, lists, mix, scan, split_rows, store, table,
+)
 from parcelcast.llm.components import components
 
-BUCKET_BITS, CHUNKS, SUFFIX_BUCKETS = 19, 128, 32
+BUCKET_BITS, CHUNKS, SUFFIX_BUCKETS, TOKEN_BITS = 19, 128, 32, 25
 
 
 def shingle_sets(words: Words, size: int) -> list[np.ndarray]:
@@ -128,8 +130,9 @@ def _suffix_filter(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFr
 
 def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets link; sets are made anew for the documents that are in a pair."""
-    ids = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
-    texts = docs.select("doc_id", "text").join(ids, docs["doc_id"] == ids["rep"]).select("rep", "text")
+    ids = store(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "pair-ids")
+    texts, _ = split_rows(docs.select("doc_id", "text"), ids)
+    texts = texts.join(ids, "doc_id").select(F.col("doc_id").alias("rep"), "text")
 
     def sets_of(batches):
         for batch, words in scan(batches, lower=True):
@@ -157,7 +160,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
 
 def near_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
-    signed = store(signatures(docs, size, percent), "signatures")
+    signed = store(signatures(bound_batches(docs), size, percent), "signatures")
     key = ["fp1", "fp2", "n"]
     classes = store(signed.filter("n > 0 AND doc_id IS NOT NULL").groupBy(*key).agg(
         F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"), F.first("hist").alias("hist")), "classes")
@@ -165,7 +168,23 @@ def near_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFr
     entry = F.struct("rep", "n", "pos")
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min(entry).alias("lo"), F.max(entry).alias("hi"))
     shared = store(shared.filter("c > 1").drop("c"), "shared")
-    hits = store(tokens.join(shared, "token"), "hits")
+    known = bitmap(shared, F.shiftrightunsigned("token", 64 - TOKEN_BITS), TOKEN_BITS)
+
+    def shared_tokens(batches):
+        for batch in batches:
+            lengths = np.diff(batch.column(2).offsets.to_numpy())
+            prefix = batch.column(2).flatten().to_numpy()
+            keep = held(known, (prefix.view(np.uint64) >> np.uint64(64 - TOKEN_BITS)).astype(np.int64))
+            owner = np.repeat(np.arange(batch.num_rows), lengths)
+            pos = np.arange(len(prefix)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            owner = pa.array(owner[keep])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(owner), batch.column(1).take(owner), pa.array(pos[keep].astype(np.int32)), pa.array(prefix[keep])],
+                names=["rep", "n", "pos", "token"])
+
+    # a bitmap of a fixed size spares the shuffle of most tokens that one class has alone
+    some = classes.select("rep", "n", "prefix").mapInArrow(shared_tokens, "rep long, n long, pos int, token long")
+    hits = store(some.join(shared, "token"), "hits")
 
     def with_end(end: str) -> DataFrame:
         e = F.col(end)

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from parcelcast.llm.common import Words, distinct, mix, scan, text_slices
+from parcelcast.llm.common import Words, bound_batches, distinct, mix, scan, text_slices
 from parcelcast.llm.labelled import held_out, platt, training_sample
 
 BITS = 18
@@ -148,7 +148,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: in
 
 def score(docs: DataFrame, model: QualityModel, threshold: float = 0.3) -> DataFrame:
     """doc_id, held_out, score and predicted of every document; the model is of a fixed size (1 MB)."""
-    rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
+    rows = bound_batches(docs).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
 
     def run(batches):
         for batch, words in scan(batches):
@@ -169,7 +169,7 @@ def accept(docs: DataFrame, model: QualityModel, threshold: float = 0.3) -> Data
             margins = np.array([model.margin(ids) for ids in feature_ids(words)])
             yield batch.filter(pa.array(model.score(margins) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return bound_batches(docs).mapInArrow(run, docs.schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, max_rows: int = 5000) -> DataFrame:

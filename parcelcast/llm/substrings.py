@@ -28,10 +28,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from parcelcast.llm.common import Words, distinct, lists, scan, store, table
+from parcelcast.llm.common import Words, bitmap, bound_batches, distinct, held, lists, scan, split_rows, store, table
 
 LENGTH, GRAM = 13, 4
-KEY_BITS, DOC_BITS = 25, 23  # bitmaps of 4 MB and 1 MB
+KEY_BITS = 25  # a bitmap of 4 MB
 
 
 def window_keys(words: Words, length: int, gram: int) -> np.ndarray:
@@ -45,20 +45,6 @@ def window_keys(words: Words, length: int, gram: int) -> np.ndarray:
     return low
 
 
-def bitmap(df: DataFrame, place, bits: int) -> np.ndarray:
-    """Bitmap of the places (0 to 2**bits - 1) that occur: a fixed size whatever the input."""
-    parts = df.select(place.cast("long").alias("at")).groupBy(F.shiftright("at", 15).alias("part")).agg(
-        F.bitmap_construct_agg(F.col("at").bitwiseAND(F.lit(32767))).alias("bits"))
-    out = np.zeros((max(1, (1 << bits) >> 15), 4096), dtype=np.uint8)
-    for row in parts.toLocalIterator():
-        out[row["part"]] |= np.frombuffer(bytes(row["bits"]), dtype=np.uint8)
-    return out.ravel()
-
-
-def _held(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
-    return (bits[places >> 3] >> (places & 7).astype(np.uint8)) & 1 > 0
-
-
 class SuffixAutomaton:
     """Of a sequence of words (as integers); a state knows its longest length, suffix link and moves."""
 
@@ -123,7 +109,7 @@ def _keyed(docs: DataFrame, length: int, gram: int, known: np.ndarray | None = N
             for a, b in words.spans():
                 own = distinct(keys[a: b - length + 1]) if b - a >= length else keys[:0]
                 if known is not None and len(own):
-                    own = own[_held(known, (own >> np.uint64(64 - KEY_BITS)).astype(np.int64))]
+                    own = own[held(known, (own >> np.uint64(64 - KEY_BITS)).astype(np.int64))]
                 rows.append(own)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), lists(np.concatenate(rows).view(np.int64), [len(r) for r in rows])], names=["doc_id", "keys"])
@@ -134,19 +120,13 @@ def _keyed(docs: DataFrame, length: int, gram: int, known: np.ndarray | None = N
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """doc_id, print (hash of the text), and the first word and number of words of ranges to remove; ranges may overlap."""
-    docs = docs.select("doc_id", "text")
+    docs = bound_batches(docs).select("doc_id", "text")
     firsts = _keyed(docs, length, gram).groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     firsts = store(firsts.filter("first < last").select("key", "first"), "first-holders")
     known = bitmap(firsts, F.shiftrightunsigned("key", 64 - KEY_BITS), KEY_BITS)
     shared = _keyed(docs, length, gram, known).join(firsts, "key")
     by_doc = store(shared.groupBy("doc_id").agg(F.collect_list(F.struct("key", "first")).alias("shared")), "shared-keys")
-    flagged = bitmap(by_doc, F.pmod("doc_id", F.lit(1 << DOC_BITS)), DOC_BITS)
-
-    def with_flag(batches):
-        for batch in batches:
-            yield batch.filter(pa.array(_held(flagged, batch.column(0).to_numpy() % (1 << DOC_BITS))))
-
-    texts = docs.filter("doc_id IS NOT NULL").mapInArrow(with_flag, "doc_id long, text string")
+    texts, _ = split_rows(docs.filter("doc_id IS NOT NULL"), by_doc)
     joined = texts.join(by_doc, "doc_id").select(
         "doc_id", F.xxhash64("text").alias("print"), "text", F.col("shared.key").alias("keys"), F.col("shared.first").alias("firsts"))
 
@@ -194,7 +174,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
                 name = (shard, ref_words) if len(ref_words) < 65536 else (shard, hashlib.sha256(ref_words).digest())
                 if name not in built:
                     built[name] = SuffixAutomaton(_sequences(ref_covers, ref_words))
-                    if len(built) > 16:
+                    if len(built) > 2:  # rows of one shard mostly follow each other
                         built.popitem(last=False)
                 built.move_to_end(name)
                 at, found = np.frombuffer(at, dtype="<i4").astype(np.int64), []
@@ -252,16 +232,6 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     spans = repeated_spans(docs, length, gram)
     by_doc = store(spans.groupBy("doc_id", "print").agg(
         F.collect_list("start").alias("starts"), F.collect_list("size").alias("sizes")), "spans")
-    flagged = bitmap(by_doc, F.pmod("doc_id", F.lit(1 << DOC_BITS)), DOC_BITS)
-
-    def split(want: bool):
-        def run(batches):
-            for batch in batches:
-                ids = batch.column(0)
-                known = _held(flagged, ids.fill_null(0).to_numpy() % (1 << DOC_BITS)) & ids.is_valid().to_numpy(zero_copy_only=False)
-                yield batch.filter(pa.array(known == want))
-        return run
-
     def keep(batches):
         for batch, words in scan(batches):
             starts, sizes = (batch.column(k) if batch.num_columns > 2 else None for k in (2, 3))
@@ -283,9 +253,9 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
                 [batch.column(0), pa.array(total, pa.int64()), pa.array(removed, pa.int64()),
                  pa.array(kept, pa.binary()).cast(pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
 
-    rows, schema = docs.select("doc_id", "text"), "doc_id long, text string"
-    plain = rows.mapInArrow(split(False), schema).mapInArrow(keep, RESULT)
-    some = rows.mapInArrow(split(True), schema).withColumn("print", F.xxhash64("text"))
+    some, plain = split_rows(docs.select("doc_id", "text"), by_doc)
+    plain = plain.mapInArrow(keep, RESULT)
+    some = some.withColumn("print", F.xxhash64("text"))
     some = some.join(by_doc, ["doc_id", "print"], "left").select("doc_id", "text", "starts", "sizes").mapInArrow(keep, RESULT)
     return plain.unionByName(some)
 

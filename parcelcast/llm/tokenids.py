@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from parcelcast.llm.common import Words, slices, table
+from parcelcast.llm.common import Words, bound_batches, slices, table
 from parcelcast.session import scratch_path
 
 MARK, BASE = 0x52505431, 1 << 20
@@ -213,7 +213,7 @@ def unpack(payload: bytes, start: int = 0, stop: int | None = None) -> np.ndarra
 
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, shard_tokens: int = 1 << 17) -> None:
     """Encode every text and write the shards (Parquet rows) in ascending order of ids."""
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = bound_batches(docs).select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part = _encoder(tokenizer), TaskContext.get().partitionId()
@@ -246,7 +246,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, shar
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """Per document from the files: doc_id, start (ids before it), n_tokens and ids_crc32."""
-    shards = spark.read.schema(FILE_SCHEMA).parquet(path)
+    shards = bound_batches(spark.read.schema(FILE_SCHEMA).parquet(path))
     # one row a part: the ids of all parts before it
     parts = shards.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     parts = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base"))

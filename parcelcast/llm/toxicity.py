@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from parcelcast.llm.common import Words, mix, scan, table, text_slices
+from parcelcast.llm.common import Words, bound_batches, mix, scan, table, text_slices
 from parcelcast.llm.labelled import held_out, platt, training_sample
 
 WORD_BITS, GRAM_BITS = 14, 15
@@ -270,7 +270,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int
 
 def score(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5) -> DataFrame:
     """doc_id, held_out, score and predicted of every document; the model is of a fixed size (about 2 MB)."""
-    rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
+    rows = bound_batches(docs).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
 
     def run(batches):
         for batch, words in scan(batches, lower=True):
