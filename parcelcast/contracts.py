@@ -108,7 +108,7 @@ CLEANING_RULES = [
 
 @dataclass(frozen=True)
 class FieldRule:
-    """Contract of one request field: required or not, and its closed range or text length."""
+    """Contract of one request field: required or not, whole number or not, and its closed range or text length."""
 
     name: str
     required: bool = True
@@ -117,6 +117,7 @@ class FieldRule:
     min_length: int | None = None
     max_length: int | None = None
     text: bool = False
+    whole: bool = False
 
 
 def _numeric_rules() -> list[FieldRule]:
@@ -135,12 +136,18 @@ def _numeric_rules() -> list[FieldRule]:
         "same_state_seller_share": (0, 1),
     }
     at_least_one = {"item_count", "unique_products", "seller_count", "category_count", "seller_state_count"}
+    # The fields that take whole numbers
+    whole = {
+        "purchase_year", "purchase_month", "purchase_weekday", "purchase_hour", "purchase_is_weekend", "item_count",
+        "unique_products", "seller_count", "payment_records", "max_installments", "payment_type_count", "category_count",
+        "seller_state_count", "all_sellers_same_state",
+    }
     rules = []
     for name in NUMERIC_FEATURES:
         low, high = closed.get(name, (1 if name in at_least_one else 0, None))
         if name in unbounded:
             low = None
-        rules.append(FieldRule(name, required=name not in optional, low=low, high=high))
+        rules.append(FieldRule(name, required=name not in optional, low=low, high=high, whole=name in whole))
     return rules
 
 

@@ -78,8 +78,13 @@ def _item_aggregates(distinct_products: Column) -> dict[str, Column]:
     }
 
 
+def _with_order(rows: DataFrame) -> DataFrame:
+    """Rows that belong to an order: a NULL id is no order."""
+    return rows.filter(F.col("order_id").isNotNull())
+
+
 def _per_seller(items: DataFrame) -> DataFrame:
-    return items.groupBy("order_id", "seller_id").agg(F.count(F.lit(1)).alias("lines"))
+    return _with_order(items).groupBy("order_id", "seller_id").agg(F.count(F.lit(1)).alias("lines"))
 
 
 def order_item_features(items: DataFrame) -> DataFrame:
@@ -100,13 +105,13 @@ _PAYMENT_COLUMNS = ["order_id", "payment_sequential", "payment_type", "payment_i
 
 
 def _first_payment() -> Column:
-    """The payment with the lowest sequence number; the remaining columns make the order total."""
-    return F.min(F.struct("payment_sequential", "payment_value", "payment_type", "payment_installments"))
+    """The payment with the lowest sequence number, NULL last; the remaining columns make the order total."""
+    return F.min(F.struct(F.isnull("payment_sequential").alias("unnumbered"), "payment_sequential", "payment_value", "payment_type", "payment_installments"))
 
 
 def payment_features(payments: DataFrame) -> DataFrame:
     require_columns(payments, _PAYMENT_COLUMNS, "payments")
-    return payments.groupBy("order_id").agg(
+    return _with_order(payments).groupBy("order_id").agg(
         F.count("payment_sequential").alias("payment_records"),
         F.coalesce(F.sum("payment_value"), F.lit(0.0)).alias("payment_value"),
         F.max("payment_installments").alias("max_installments"),
@@ -116,7 +121,7 @@ def payment_features(payments: DataFrame) -> DataFrame:
 
 def primary_payment(payments: DataFrame) -> DataFrame:
     require_columns(payments, _PAYMENT_COLUMNS, "payments")
-    return payments.groupBy("order_id").agg(_first_payment()["payment_type"].alias("primary_payment_type"))
+    return _with_order(payments).groupBy("order_id").agg(_first_payment()["payment_type"].alias("primary_payment_type"))
 
 
 def order_payment_features(payments: DataFrame) -> DataFrame:
@@ -125,7 +130,7 @@ def order_payment_features(payments: DataFrame) -> DataFrame:
     A first aggregate by (order, type) replaces the distinct count and shrinks hot orders before the second.
     """
     require_columns(payments, _PAYMENT_COLUMNS, "payments")
-    by_type = payments.groupBy("order_id", "payment_type").agg(
+    by_type = _with_order(payments).groupBy("order_id", "payment_type").agg(
         F.count("payment_sequential").alias("records"),
         F.sum("payment_value").alias("value"),
         F.max("payment_installments").alias("installments"),
@@ -367,6 +372,17 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
 
 
+def require_unique(tables: dict[str, tuple[DataFrame, str]]) -> None:
+    """One job over all tables: a key that occurs twice would multiply rows in the joins to come."""
+    keys = None
+    for name, (df, key) in tables.items():
+        rows = df.select(F.lit(name).alias("table"), F.col(key).cast("string").alias("key")).filter(F.col("key").isNotNull())
+        keys = rows if keys is None else keys.unionByName(rows)
+    clash = duplicate_keys(keys, ["table", "key"]).limit(1).collect()
+    if clash:
+        raise ContractError(f"{clash[0]['table']} is not unique on {tables[clash[0]['table']][1]}: {clash[0]['key']}")
+
+
 def validated_join(
     left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", validate: str = "many_to_one"
 ) -> DataFrame:
@@ -396,6 +412,9 @@ def feature_table(
     category_translation: DataFrame,
 ) -> DataFrame:
     """The 44-column table: id, prediction moment, 41 features and the target."""
+    require_unique({"orders": (orders_cleaned, "order_id"), "customers": (customers, "customer_id"),
+                    "products": (products, "product_id"), "sellers": (sellers, "seller_id"),
+                    "category_translation": (category_translation, "product_category_name")})
     lookup = geo_lookup(geolocation)
     require_columns(order_items, _ITEM_COLUMNS, "order_items")
     parts = [

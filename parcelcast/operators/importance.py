@@ -11,7 +11,6 @@ from parcelcast.contracts import ContractError, MODEL_FEATURES, ORDER_KEY, TARGE
 from parcelcast.operators.evaluation import ranking_metrics
 from parcelcast.operators.ordering import global_rank, with_scalar
 from parcelcast.operators.preprocessing import feature_names
-from parcelcast.operators.profiling import seeded_sample
 from parcelcast.operators.training import SEED, score_rows
 
 
@@ -91,8 +90,3 @@ def global_attribution(contributions: DataFrame) -> DataFrame:
     return contributions.groupBy("feature").agg(
         F.avg(F.abs("contribution")).alias("mean_absolute_contribution")
     ).orderBy(F.desc("mean_absolute_contribution"), "feature")
-
-
-def attribution_sample(df: DataFrame, size: int = 2000, seed: int = SEED) -> DataFrame:
-    """The seeded sample attributions are computed on."""
-    return seeded_sample(df, size, ORDER_KEY, seed)

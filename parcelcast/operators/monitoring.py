@@ -15,18 +15,21 @@ from parcelcast.operators.scoring import BANDS
 
 
 def telemetry_aggregates() -> list[Column]:
-    """Counters of a prediction log; a failed request counts once and yields no prediction."""
-    served = ~F.col("failed")
-    predictions = flag_count(served)
+    """Counters of a prediction log with a row per prediction, numbered within its request by ``prediction_index``.
+
+    Requests and their latency count at their first prediction; a failed request yields no prediction.
+    """
+    served, first = ~F.col("failed"), F.col("prediction_index") == 0
+    predictions, requests = flag_count(served), flag_count(served & first)
 
     def mean_of(value: Column) -> Column:
         return F.coalesce(ratio(F.sum(F.when(served, value)), predictions), F.lit(0.0))
 
     return [
-        predictions.alias("total_requests"),
+        requests.alias("total_requests"),
         predictions.alias("total_predictions"),
-        flag_count(F.col("failed")).alias("failed_requests"),
-        mean_of(F.col("latency_ms")).alias("average_request_latency_ms"),
+        flag_count(F.col("failed") & first).alias("failed_requests"),
+        F.coalesce(ratio(F.sum(F.when(served & first, F.col("latency_ms"))), requests), F.lit(0.0)).alias("average_request_latency_ms"),
         mean_of(F.col("score")).alias("mean_risk_score"),
         mean_of(F.col("requires_review").cast("double")).alias("review_rate"),
         *[flag_count(served & (F.col("risk_band") == band)).alias(f"band_{band}") for band in BANDS],

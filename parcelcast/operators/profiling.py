@@ -49,11 +49,6 @@ def schema_report(tables: dict[str, DataFrame]) -> DataFrame:
     return _stacked(parts)
 
 
-def sample_rows(df: DataFrame, n: int = 5) -> DataFrame:
-    """The first ``n`` rows for a look at a table."""
-    return df.limit(n)
-
-
 def missing_report(df: DataFrame, columns: Sequence[str] | None = None, keep_zero: bool = False) -> DataFrame:
     """Missing count and percentage per column in one pass."""
     columns = list(columns or df.columns)

@@ -24,10 +24,14 @@ def _field_faults() -> list[Column]:
         x = F.col(rule.name)
         if rule.required:
             faults.append(F.when(x.isNull(), F.lit(f"{rule.name}: required")))
+        if rule.whole:
+            number = x.cast("double")
+            faults.append(F.when(F.isnan(number) | (number != F.floor(number)), F.lit(f"{rule.name}: not whole")))
         if rule.low is not None:
-            faults.append(F.when(x < rule.low, F.lit(f"{rule.name}: below {rule.low}")))
+            # NaN is above every number here, so it is asked for by name
+            faults.append(F.when(F.isnan(x.cast("double")) | (x < rule.low), F.lit(f"{rule.name}: below {rule.low}")))
         if rule.high is not None:
-            faults.append(F.when(x > rule.high, F.lit(f"{rule.name}: above {rule.high}")))
+            faults.append(F.when(F.isnan(x.cast("double")) | (x > rule.high), F.lit(f"{rule.name}: above {rule.high}")))
         if rule.min_length is not None:
             faults.append(F.when(F.length(x) < rule.min_length, F.lit(f"{rule.name}: too short")))
         if rule.max_length is not None:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import itertools
 import json
-import math
 import time
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -31,7 +30,6 @@ SEED = 42
 _WEIGHT = "_weight"
 _HELD_BACK = "_held_back"
 UNLIMITED_DEPTH = 30  # the deepest tree Spark grows
-ROWS_PER_TASK = 100_000  # a regression's iterations get at least this many rows per task
 
 
 @dataclass(frozen=True)
@@ -198,14 +196,15 @@ def with_budget(config: ModelConfig, max_trees: int | None) -> ModelConfig:
     return config
 
 
-def fit_model(train: DataFrame, config: ModelConfig, preprocessor: PipelineModel | None = None) -> PipelineModel:
+def fit_model(train: DataFrame, config: ModelConfig, preprocessor: PipelineModel | None = None,
+              tasks: int | None = None) -> PipelineModel:
     """Preprocessing and model fitted on ``train``; ``preprocessor`` may be shared by models of the same rows.
 
     Boosting with early stopping holds back the last tenth of the rows in time, so that no later row helps
-    to choose the model.
+    to choose the model. ``tasks`` merges the partitions of the vectors into fewer.
     """
     preprocessor = preprocessor or build_preprocessor(train)
-    on_time, late, total, rows = _weights(train, config.family, config.params)
+    on_time, late, total, _ = _weights(train, config.family, config.params)
     weighted = train.withColumn(_WEIGHT, F.when(F.col(TARGET) == 1, F.lit(late)).otherwise(F.lit(on_time)))
     if config.family in ("hist_gradient_boosting", "boosting"):
         bounds = train.agg(F.min("row_num").alias("lo"), F.max("row_num").alias("hi")).first()
@@ -215,24 +214,12 @@ def fit_model(train: DataFrame, config: ModelConfig, preprocessor: PipelineModel
     # every iteration reads the vectors again; lost blocks are recomputed
     vectors = preprocessor.transform(weighted).select(*kept).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = build_estimator(config, total).fit(_gathered(vectors, rows, config.family))
+        model = build_estimator(config, total).fit(vectors.coalesce(tasks) if tasks else vectors)
     finally:
         vectors.unpersist()
     return PipelineModel([*preprocessor.stages, model])
 
 
-def _gathered(vectors: DataFrame, rows: int, family: str) -> DataFrame:
-    """Fewer, larger tasks for a regression on a small table, whose many iterations are very short jobs.
-
-    The vectors are computed and kept in their own partitions; ``coalesce`` never adds partitions, so a large
-    table is left as it is.
-    """
-    if family not in ("logistic_regression", "linear"):
-        return vectors
-    vectors.count()
-    return vectors.coalesce(max(1, math.ceil(rows / ROWS_PER_TASK)))
-
-
 def positive_probability(scored: DataFrame) -> Column:
     """Score of the late class; only binary models are accepted."""
     column = vector_to_array(F.col("probability"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -22,8 +21,8 @@ from parcelcast.streaming import telemetry
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Most trees or boosting rounds of the registered model fits; the operators themselves have no such limit.
-TREE_BUDGET = 20
+# Trees or boosting rounds of a fit in the registered search, which fits each configuration on every fold.
+SEARCH_TREES = 20
 
 KEYS = {
     "orders_raw": ["order_id"], "order_items": ["order_id", "order_item_id"],
@@ -202,14 +201,13 @@ def _(d: Data):
 
 @query("scan_parquet")
 def _(d: Data):
-    orders = files.read_parquet(d.spark, f"{d.sf_dir}/orders.parquet", ["o_orderkey", "o_totalprice", "o_orderdate"])
-    return orders.filter(F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
+    return files.read_parquet(d.spark, f"{d.sf_dir}/orders.parquet", ["o_orderkey", "o_totalprice", "o_orderdate"])
 
 
 @query("sink_parquet")
 def _(d: Data):
     path = files.write_parquet(d.split.drop("row_num"), scratch_path(d.spark, "features"), ["split"])
-    back = files.read_parquet(d.spark, path).filter(F.col("split") != "test")
+    back = files.read_parquet(d.spark, path)
     return back.select("order_id", K.PREDICTION_TS, "total_price", "customer_state", K.TARGET, F.col("split").cast("string"))
 
 
@@ -650,7 +648,7 @@ def _(d: Data):
 
 @query("state_late_rate_reliable")
 def _(d: Data):
-    return eda.state_late_rate(d.cleaned, d.customers, minimum_orders=400)
+    return eda.state_late_rate(d.cleaned, d.customers, minimum_orders=100)
 
 
 def _with_items(d: Data) -> DataFrame:
@@ -806,8 +804,7 @@ def _(d: Data):
 
 
 def _model_scores(d: Data, config: training.ModelConfig) -> DataFrame:
-    limited = training.with_budget(config, TREE_BUDGET)
-    _, scored, _ = training.fit_and_score(d.part("train"), d.part("validation"), limited)
+    _, scored, _ = training.fit_and_score(d.part("train"), d.part("validation"), config)
     return scored.select("order_id", K.TARGET, "probability")
 
 
@@ -859,17 +856,13 @@ def _(d: Data):
     )
 
 
-def _light_registry() -> list[training.ModelConfig]:
-    return [training.with_budget(c, TREE_BUDGET) for c in training.model_registry()]
-
-
 def _light_search() -> list[training.ModelConfig]:
-    return [training.with_budget(c, TREE_BUDGET) for c in training.search_configs(quick=True)]
+    return [training.with_budget(c, SEARCH_TREES) for c in training.search_configs(quick=True)]
 
 
 @query("train_compare")
 def _(d: Data):
-    return training.train_compare(d.part("train"), d.part("validation"), _light_registry())[0]
+    return training.train_compare(d.part("train"), d.part("validation"), training.model_registry())[0]
 
 
 @query("select_best")
@@ -984,12 +977,12 @@ def _(d: Data):
 
 @query("segment_metrics")
 def _(d: Data):
-    return evaluation.segment_metrics(d.scored_features, "customer_state", minimum_rows=20)
+    return evaluation.segment_metrics(d.scored_features, "customer_state")
 
 
 @query("segment_reports")
 def _(d: Data):
-    return evaluation.segment_reports(evaluation.with_segments(d.scored_features), minimum_rows=20)
+    return evaluation.segment_reports(evaluation.with_segments(d.scored_features))
 
 
 @query("temporal_robustness")
@@ -1111,13 +1104,9 @@ def _(d: Data):
 
 
 def _promise_scorer(rows: DataFrame) -> DataFrame:
-    """A scorer supplied by the user as a vectorised function: risk falls with the length of the promise."""
-
-    @F.pandas_udf(T.DoubleType())
-    def promise_score(promise: pd.Series) -> pd.Series:
-        return (0.8 - promise / 60.0).clip(0.01, 0.99)
-
-    return rows.withColumn("probability", promise_score("promised_delivery_days"))
+    """Risk falls with the length of the promise."""
+    return rows.withColumn("probability", F.least(
+        F.greatest(F.lit(0.8) - F.col("promised_delivery_days") / 60.0, F.lit(0.01)), F.lit(0.99)))
 
 
 @query("batch_score")
@@ -1126,6 +1115,19 @@ def _(d: Data):
     return scoring.batch_score(d.features.drop(K.TARGET), _promise_scorer, BAND_LIMITS, ACTION_THRESHOLD, version)[0]
 
 
+@query("batch_quarantine")
+def _(d: Data):
+    """The rows that batch scoring refuses, with their faults, of a table with planted ones."""
+    number, key = F.col("item_count").cast("double"), F.col("order_id")
+    planted = d.features.drop(K.TARGET).withColumns({
+        "item_count": F.when(key % 5 == 0, number + 0.5).when(key % 7 == 0, F.lit(None)).otherwise(number),
+        "total_price": F.when(key % 3 == 0, F.lit(float("nan"))).when(key % 11 == 0, F.lit(-1.0)).otherwise(F.col("total_price")),
+    })
+    version = scoring.model_version("promise_rule", "a" * 64)
+    refused = scoring.batch_score(planted, _promise_scorer, BAND_LIMITS, ACTION_THRESHOLD, version)[1]
+    return refused.select("order_id", F.concat_ws("; ", "faults").alias("faults"))
+
+
 @query("batch_score_model")
 def _(d: Data):
     model = _tree(d)

@@ -181,8 +181,8 @@ CTES |= {
         "WHERE role = 'validation'" for config, family, a, b, c in C.SCORE_VARIANTS)),
     "log": ((), (
         "SELECT *, CASE WHEN score <= 0.20 THEN 'low' WHEN score <= 0.40 THEN 'medium' WHEN score <= 0.60 THEN 'high' "
-        "ELSE 'critical' END AS risk_band, score >= 0.50 AS requires_review FROM (SELECT ts, event_id AS request_id, "
-        "event_type = 'error' AS failed, value / (value + CAST(50 AS DOUBLE)) AS score, "
+        "ELSE 'critical' END AS risk_band, score >= 0.50 AS requires_review FROM (SELECT ts, event_id - CAST(event_id % 4 = 3 AS INT) AS request_id, "
+        "CAST(event_id % 4 = 3 AS INT) AS prediction_index, event_type = 'error' AS failed, value / (value + CAST(50 AS DOUBLE)) AS score, "
         "CAST(json_extract_string(props, '$.k') AS BIGINT) % 3 AS missing_features, value AS latency_ms FROM events)")),
 }
 
@@ -227,11 +227,10 @@ put("scan_csv", "order_items", (
     + r("min(price)", "min_price") + ", " + r("max(price)", "max_price") + ", " + r("avg(freight_value)", "mean_freight")
     + ", max(shipping_limit_date) AS last_limit FROM order_items GROUP BY order_item_id"))
 put("scan_parquet", "", (
-    "SELECT o_orderkey, " + r("o_totalprice", "o_totalprice") + ", o_orderdate FROM orders "
-    "WHERE o_orderdate >= TIMESTAMP '1998-01-01'"))
+    "SELECT o_orderkey, " + r("o_totalprice", "o_totalprice") + ", o_orderdate FROM orders"))
 put("sink_parquet", "split", (
     "SELECT order_id, prediction_timestamp, " + r("total_price", "total_price")
-    + ", customer_state, late_delivery, split FROM split WHERE split <> 'test'"))
+    + ", customer_state, late_delivery, split FROM split"))
 _SPLIT_SUMMARY = (
     'SELECT split, count(*) AS rows, min(prediction_timestamp) AS "start", max(prediction_timestamp) AS "end", '
     + r("avg(late_delivery)", "late_rate") + " FROM split GROUP BY split")
@@ -495,7 +494,7 @@ put("weekday_late_rate", "orders_cleaned", (
 put("hourly_late_rate", "orders_cleaned", _rate(f"CAST(hour({_TS}) AS INT)", "purchase_hour", "orders_cleaned"))
 _STATES = "orders_cleaned LEFT JOIN customers USING (customer_id)"
 put("state_late_rate", "orders_cleaned customers", _rate("customer_state", "customer_state", _STATES))
-put("state_late_rate_reliable", "orders_cleaned customers", _rate("customer_state", "customer_state", _STATES, "HAVING count(late_delivery) >= 400"))
+put("state_late_rate_reliable", "orders_cleaned customers", _rate("customer_state", "customer_state", _STATES, "HAVING count(late_delivery) >= 100"))
 _ITEMS = "orders_cleaned LEFT JOIN item_features USING (order_id)"
 put("item_count_late_rate", "orders_cleaned item_features", _rate("item_count", "item_count", _ITEMS, "ORDER BY item_count LIMIT 20"))
 put("seller_count_late_rate", "orders_cleaned item_features", _rate("seller_count", "seller_count", _ITEMS))
@@ -678,12 +677,12 @@ _SCORED_FEATURES = (
     "FROM features)")
 put_with("segment_metrics", "features", _SCORED_FEATURES + _curve(
     "(SELECT customer_state AS segment, late_delivery, probability FROM sf)", "segment") + (
-    f"SELECT segment, {_RANKING} FROM curve GROUP BY segment HAVING max(t) >= 20 AND max(p) >= 5 AND max(p) < max(t)"))
+    f"SELECT segment, {_RANKING} FROM curve GROUP BY segment HAVING max(t) >= 100 AND max(p) >= 5 AND max(p) < max(t)"))
 put_with("segment_reports", "features", _SCORED_FEATURES + ", kinds AS (" + " UNION ALL ".join(
     f"SELECT '{s}' AS kind, {s} AS segment, late_delivery, probability FROM sf"
     for s in ("customer_state", "distance_band", "promise_band", "approval_lag_band", "prediction_month")) + ")"
     + _curve("kinds", "kind, segment") + (
-    f"SELECT kind, segment, {_RANKING} FROM curve GROUP BY kind, segment HAVING max(t) >= 20 AND max(p) >= 10 AND max(p) < max(t)"))
+    f"SELECT kind, segment, {_RANKING} FROM curve GROUP BY kind, segment HAVING max(t) >= 100 AND max(p) >= 10 AND max(p) < max(t)"))
 _VAL_CURVE = _curve("scored_split", "", "WHERE split = 'validation'")
 _TEST_ST = (
     ", tuned AS (SELECT threshold FROM " + _BEST_F1 + "), test_st AS (SELECT probability AS s, "
@@ -838,14 +837,21 @@ put("global_attribution", "features", " UNION ALL ".join(
 # --- scoring -------------------------------------------------------------------------------------------------
 
 
+# written out here once more, so that the twin notices a change of the contract
+_WHOLE_FIELDS = set(
+    "purchase_year purchase_month purchase_weekday purchase_hour purchase_is_weekend item_count unique_products seller_count "
+    "payment_records max_installments payment_type_count category_count seller_state_count all_sellers_same_state".split())
+
+
 def _fault_list() -> str:
     faults = []
     for rule in K.FIELD_RULES:
         c = rule.name
         checks = [
             (rule.required, f"{c} IS NULL", "required"),
-            (rule.low is not None, f"{c} < {rule.low}", f"below {rule.low}"),
-            (rule.high is not None, f"{c} > {rule.high}", f"above {rule.high}"),
+            (c in _WHOLE_FIELDS, f"isnan(CAST({c} AS DOUBLE)) OR CAST({c} AS DOUBLE) <> floor(CAST({c} AS DOUBLE))", "not whole"),
+            (rule.low is not None, f"isnan(CAST({c} AS DOUBLE)) OR {c} < {rule.low}", f"below {rule.low}"),
+            (rule.high is not None, f"isnan(CAST({c} AS DOUBLE)) OR {c} > {rule.high}", f"above {rule.high}"),
             (rule.min_length is not None, f"length({c}) < {rule.min_length}", "too short"),
             (rule.max_length is not None, f"length({c}) > {rule.max_length}", "too long"),
         ]
@@ -856,6 +862,13 @@ def _fault_list() -> str:
 put("contract_validation", "features", (
     "SELECT order_id, CAST(len(faults) AS INT) AS n_faults, coalesce(array_to_string(faults, '; '), '') AS faults "
     f"FROM (SELECT order_id, {_fault_list()} AS faults FROM features)"))
+_PLANTED = (
+    ", planted AS (SELECT * REPLACE (CASE WHEN order_id % 5 = 0 THEN item_count + 0.5 WHEN order_id % 7 = 0 THEN NULL ELSE item_count "
+    "END AS item_count, CASE WHEN order_id % 3 = 0 THEN CAST('NaN' AS DOUBLE) WHEN order_id % 11 = 0 THEN -1 ELSE total_price END AS total_price) "
+    "FROM features)")
+put_with("batch_quarantine", "features", _PLANTED + (
+    ", judged AS (SELECT order_id, " + _fault_list() + " AS faults FROM planted) SELECT order_id, array_to_string(faults, '; ') AS faults "
+    "FROM judged WHERE len(faults) > 0"))
 put("normalize_categories", "features", (
     "SELECT order_id, customer_state, CASE WHEN order_id % 3 = 0 THEN NULL ELSE primary_payment_type END AS "
     "primary_payment_type, dominant_product_category FROM features"))
@@ -901,16 +914,19 @@ def _served_mean(e: str) -> str:
 
 
 _TELEMETRY = ", ".join([
-    f"count(*) {_OK} AS total_requests", f"count(*) {_OK} AS total_predictions", "count(*) FILTER (failed) AS failed_requests",
-    r(_served_mean("latency_ms"), "average_request_latency_ms"), r(_served_mean("score"), "mean_risk_score"),
+    "count(*) FILTER (NOT failed AND prediction_index = 0) AS total_requests", f"count(*) {_OK} AS total_predictions", "count(*) FILTER (failed AND prediction_index = 0) AS failed_requests",
+    r("coalesce(CAST(sum(latency_ms) FILTER (NOT failed AND prediction_index = 0) AS DOUBLE) / "
+      "nullif(count(*) FILTER (NOT failed AND prediction_index = 0), 0), 0)", "average_request_latency_ms"), r(_served_mean("score"), "mean_risk_score"),
     r(_served_mean("CAST(requires_review AS DOUBLE)"), "review_rate"),
     *[f"count(*) FILTER (NOT failed AND risk_band = '{b}') AS band_{b}" for b in ("low", "medium", "high", "critical")],
     big(f"coalesce(sum(missing_features) {_OK}, 0)", "missing_feature_values"),
 ])
 put("telemetry_snapshot", "log", f"SELECT {_TELEMETRY} FROM log")
-put("telemetry_windows", "log", (
+_WINDOWS = (
     "SELECT date_trunc('day', ts) + INTERVAL '0' DAY AS window_start, date_trunc('day', ts) + INTERVAL '1' DAY AS window_end, "
-    f"{_TELEMETRY} FROM log GROUP BY date_trunc('day', ts)"))
+    f"{_TELEMETRY} FROM log GROUP BY date_trunc('day', ts)")
+put("telemetry_windows", "log", _WINDOWS)
+put("telemetry_stream", "log", _WINDOWS)
 put_with("score_drift", "scored log", (
     ", live AS (SELECT * FROM log WHERE NOT failed), both_sides AS (SELECT probability AS x, 1 AS ref FROM scored UNION ALL "
     "SELECT score, 0 FROM live), edges AS (SELECT list_sort(list_distinct(["

@@ -33,7 +33,7 @@ def write_csv(df: DataFrame, path: str) -> str:
 
 def write_report_csv(df: DataFrame, path: str) -> str:
     """One CSV file for a report whose row count is fixed by its design (splits, rules, features, bins)."""
-    return write_csv(df.coalesce(1), path)
+    return write_csv(df.repartition(1), path)
 
 
 def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -49,7 +49,7 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 def write_metadata(row: DataFrame, path: str) -> str:
     """One nested row of run metadata as JSON."""
-    row.coalesce(1).write.mode("overwrite").json(path)
+    row.repartition(1).write.mode("overwrite").json(path)
     return path
 
 

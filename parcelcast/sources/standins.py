@@ -51,7 +51,7 @@ VIEWS: dict[str, View] = {
         ("payment_type", "CASE l_returnflag WHEN 'A' THEN 'credit_card' WHEN 'N' THEN 'boleto' ELSE 'voucher' END"),
         ("payment_installments", "CAST(l_quantity AS INT) % 12 + 1"),
         ("payment_value", "l_extendedprice*(1-l_discount)"),
-    ), where="l_linenumber <= 3"),
+    )),
     "products": View("part", (
         ("product_id", "p_partkey"),
         ("product_category_name", "CASE WHEN p_partkey % 61 = 0 THEN NULL ELSE lower(p_type) END"),
@@ -64,7 +64,7 @@ VIEWS: dict[str, View] = {
     "category_translation": View("part", (
         ("product_category_name", "lower(p_type)"),
         ("product_category_name_english", "concat('cat_', lower(p_type))"),
-    ), where="p_type <> 'PROMO'", distinct=True),
+    ), distinct=True),
     "customers": View("customer", (
         ("customer_id", "c_custkey"), ("customer_unique_id", "c_custkey % 1200"),
         ("customer_zip_code_prefix", "1000 + c_nationkey*10 + c_custkey % 5"),
@@ -79,7 +79,7 @@ VIEWS: dict[str, View] = {
         ("geolocation_lat", "CAST(-30 + c_acctbal/400.0 AS DOUBLE)"),
         ("geolocation_lng", "CAST(-60 + (c_custkey*37 % 2500)/100.0 AS DOUBLE)"),
         ("geolocation_city", "lower(c_mktsegment)"), ("geolocation_state", "concat(chr(65+c_nationkey),'S')"),
-    ), where="c_nationkey <> 24"),
+    )),
     "reviews": View("events", (
         ("review_id", "event_id % 9900"), ("order_id", "event_id"),
         ("review_score", "CAST(event_id % 5 + 1 AS INT)"), ("review_creation_date", "ts"),
@@ -120,7 +120,9 @@ def prediction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def log_columns(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("ts").cast("timestamp").alias("ts"),
-        F.col("event_id").alias("request_id"),
+        # every fourth event is a second prediction of the request before it
+        F.expr("event_id - CAST(event_id % 4 = 3 AS INT)").alias("request_id"),
+        F.expr("CAST(event_id % 4 = 3 AS INT)").alias("prediction_index"),
         (F.col("event_type") == "error").alias("failed"),
         (F.col("value") / (F.col("value") + F.lit(50.0))).alias("score"),
         (F.get_json_object("props", "$.k").cast("bigint") % F.lit(3)).alias("missing_features"),

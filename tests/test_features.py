@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from parcelcast import contracts as K
 from parcelcast.functions.expressions import equal_flag, haversine_km, safe_divide, upper_closed_band
 from parcelcast.operators import cleaning, features
+from parcelcast.plans import jobs
+from parcelcast.sources import standins
 
 ITEMS = "order_id bigint, order_item_id int, product_id bigint, seller_id bigint, price double, freight_value double"
 PRODUCTS = ("product_id bigint, product_category_name string, product_photos_qty double, product_weight_g double, "
@@ -140,3 +142,21 @@ def test_no_forbidden_column_is_a_feature():
 def test_missing_columns_are_named(spark):
     with pytest.raises(K.ContractError, match="price"):
         features.order_item_features(spark.createDataFrame([(1,)], "order_id bigint"))
+
+
+@pytest.mark.parametrize("name,key", [("products", "product_id"), ("customers", "customer_id"), ("sellers", "seller_id"),
+                                      ("category_translation", "product_category_name")])
+def test_duplicate_dimension_rows_are_refused(spark, name, key):
+    names = ["customers", "order_items", "payments", "products", "sellers", "geolocation", "category_translation"]
+    tables = {n: standins.view(spark, "/root/testdata/sf0.001", n) for n in names}
+    tables[name] = tables[name].unionByName(tables[name].limit(1))
+    with pytest.raises(K.ContractError, match=f"{name} is not unique on {key}"):
+        features.feature_table(jobs.cleaned_orders(spark, "/root/testdata/sf0.001"), **tables)
+
+
+def test_null_orders_and_sequences(spark):
+    rows = [(1, None, "voucher", 1, 1.0), (1, 2, "boleto", 1, 5.0), (None, 1, "boleto", 1, 5.0)]
+    payments = spark.createDataFrame(rows, "order_id long, payment_sequential int, payment_type string, payment_installments int, payment_value double")
+    assert [tuple(r) for r in features.primary_payment(payments).collect()] == [(1, "boleto")]
+    r = features.order_payment_features(payments).collect()
+    assert len(r) == 1 and r[0].primary_payment_type == "boleto" and r[0].payment_value == 6.0

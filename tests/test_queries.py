@@ -32,9 +32,9 @@ def test_entry(spark):
 def test_query_matches_sql(spark, con, name):
     got = entry_point.queries()[name](spark, SF).toPandas()
     problem = differences(got, con.execute(ORACLES[name]).df())
-    assert problem is None or problem.startswith("(types"), problem
+    assert problem is None, problem
 
 
-@pytest.mark.parametrize("name", ["schema_report", "seeded_sample", "glob_inventory", "telemetry_stream", "artifact_fingerprint"])
+@pytest.mark.parametrize("name", ["schema_report", "seeded_sample", "glob_inventory", "artifact_fingerprint"])
 def test_query_without_a_twin_returns_rows(spark, name):
     assert entry_point.queries()[name](spark, SF).count() > 0

@@ -33,6 +33,8 @@ def test_contract_faults(requests):
     assert faults == ["promised_delivery_days: below 0", "item_count: required"]
     with pytest.raises(K.ContractError, match="unknown columns"):
         scoring.contract_validation(requests.withColumn("extra", F.lit(1)))
+    odd = requests.withColumn("item_count", F.lit(1.5)).withColumn("total_price", F.lit(float("nan")))
+    assert scoring.contract_validation(odd).first().faults == ["item_count: not whole", "total_price: below 0"]
     optional = requests.withColumn("payment_value", F.lit(None).cast("double"))
     assert scoring.contract_validation(optional).first().faults == []
 
@@ -98,7 +100,7 @@ def test_response_ids_count_from_zero(requests):
 
 
 def empty_log(spark):
-    return spark.createDataFrame([], "ts timestamp, failed boolean, score double, missing_features bigint, "
+    return spark.createDataFrame([], "ts timestamp, prediction_index int, failed boolean, score double, missing_features bigint, "
                                      "latency_ms double, risk_band string, requires_review boolean")
 
 
@@ -107,7 +109,14 @@ def test_empty_log_gives_zeros(spark):
     assert r.total_requests == 0 and r.mean_risk_score == 0.0 and r.missing_feature_values == 0
 
 
-def test_stream_closes_all_but_the_last_window(spark, tmp_path):
+def test_requests_and_predictions_count_apart(spark):
+    log = spark.sql("SELECT timestamp '2024-01-01' AS ts, i AS prediction_index, false AS failed, 0.5D AS score, 0L AS missing_features, "
+                    "30D AS latency_ms, 'high' AS risk_band, true AS requires_review FROM (SELECT explode(array(0, 1, 2)) AS i)")
+    r = monitoring.telemetry_snapshot(log).first()
+    assert (r.total_requests, r.total_predictions, r.average_request_latency_ms) == (1, 3, 30.0)
+
+
+def test_stream_delivers_every_window(spark, tmp_path):
     folder = "/root/testdata/sf0.001"
 
     def to_log(events):
@@ -118,7 +127,7 @@ def test_stream_closes_all_but_the_last_window(spark, tmp_path):
     batch = monitoring.telemetry_windows(to_log(spark.read.parquet(f"{folder}/events.parquet")))
     want = {r.window_start: r.total_predictions for r in batch.collect()}
     have = {r.window_start: r.total_predictions for r in got.collect()}
-    assert len(have) == len(want) - 1 and all(want[k] == v for k, v in have.items())
+    assert have == want
     # a second run finds nothing new and repeats nothing
     again = telemetry.telemetry_job(
         spark, folder, "events.parquet", str(tmp_path / "out"), str(tmp_path / "progress"), to_log)

@@ -137,9 +137,3 @@ def test_baseline_and_deployment_jobs(ranked, tmp_path):
         ranked.sparkSession, path, oof, evaluation.operating_thresholds(oof), configs[0], str(tmp_path / "config")).first()
     assert len(record.model.sha256) == 64 and record.monitoring_reference["rows"] == 60
     assert 0 <= record.risk_score.action_threshold <= 1
-
-
-def test_samples(ranked):
-    assert importance.attribution_sample(ranked, 50).count() == 50
-    assert importance.attribution_sample(ranked).count() == 400  # fewer rows than asked for: all of them
-    assert profiling.sample_rows(ranked, 5).count() == 5
