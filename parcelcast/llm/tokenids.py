@@ -32,7 +32,7 @@ from parcelcast.session import scratch_path
 
 MARK, BASE = 0x52505431, 1 << 20
 END_ID = 2
-CACHE_PIECES = 1_000_000  # pieces whose ids a worker process remembers, about 140 MB
+CACHE_PIECES = 600_000  # pieces whose ids a worker process remembers, about 90 MB
 FILE_SCHEMA = ("part int, shard int, offset long, n_tokens long, doc_ids array<long>, doc_tokens array<long>, payload binary")
 
 
