@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -124,10 +125,13 @@ def _encoder(path: str) -> Encoder:
 
 
 class Pieces(Words):
-    """Words in lower case, with a full stop or comma after an ASCII letter at their end as a word of its own."""
+    """Words in lower case, with a full stop or comma after an ASCII letter at their end as a word of its own.
+
+    A slice with the opening of a special token keeps its case, since those are recognised before lower-casing.
+    """
 
     def __init__(self, texts: pa.Array):
-        super().__init__(texts, lower=True, end_marks=True)
+        super().__init__(texts, lower=not pc.any(pc.match_substring(texts, "<|")).as_py(), end_marks=True)
 
 
 def compress(ids: np.ndarray, min_count: int = 8, rounds: int = 4) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
