@@ -139,7 +139,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([s.tobytes() for s in shingle_sets(words, size)], pa.binary())], names=["rep", "items"])
 
-    sets = store(texts.mapInArrow(sets_of, "rep long, items binary").dropDuplicates(["rep"]), "sets")
+    sets = store(texts.mapInArrow(sets_of, "rep long, items binary"), "sets")
+    if sets.groupBy("rep").count().filter("count > 1").limit(1).count():  # rows with equal ids: one stands for the id
+        sets = store(sets.dropDuplicates(["rep"]), "sets")
     side = lambda k: sets.select(F.col("rep").alias(k), F.col("items").alias(f"s_{k}"))
 
     def run(batches):
@@ -164,11 +166,10 @@ def near_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFr
     key = ["fp1", "fp2", "n"]
     classes = store(signed.filter("n > 0 AND doc_id IS NOT NULL").groupBy(*key).agg(
         F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"), F.first("hist").alias("hist")), "classes")
-    tokens = classes.select("rep", "n", F.posexplode("prefix").alias("pos", "token"))
-    entry = F.struct("rep", "n", "pos")
-    shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min(entry).alias("lo"), F.max(entry).alias("hi"))
-    shared = store(shared.filter("c > 1").drop("c"), "shared")
-    known = bitmap(shared, F.shiftrightunsigned("token", 64 - TOKEN_BITS), TOKEN_BITS)
+    # bare tokens are counted first, so that most, which one class has alone, are shuffled without their places
+    tokens = classes.select(F.explode("prefix").alias("token")).groupBy("token").count()
+    twice = store(tokens.filter("count > 1").select("token"), "shared-tokens")
+    known = bitmap(twice, F.shiftrightunsigned("token", 64 - TOKEN_BITS), TOKEN_BITS)
 
     def shared_tokens(batches):
         for batch in batches:
@@ -182,9 +183,12 @@ def near_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFr
                 [batch.column(0).take(owner), batch.column(1).take(owner), pa.array(pos[keep].astype(np.int32)), pa.array(prefix[keep])],
                 names=["rep", "n", "pos", "token"])
 
-    # a bitmap of a fixed size spares the shuffle of most tokens that one class has alone
+    # a bitmap of a fixed size spares the shuffle of most tokens that one class has alone, and the join of the others
     some = classes.select("rep", "n", "prefix").mapInArrow(shared_tokens, "rep long, n long, pos int, token long")
-    hits = store(some.join(shared, "token"), "hits")
+    entry = F.struct("rep", "n", "pos")
+    ends = some.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min(entry).alias("lo"), F.max(entry).alias("hi"))
+    ends = store(ends.filter("c > 1").drop("c"), "shared")
+    hits = store(some.join(ends, "token"), "hits")
 
     def with_end(end: str) -> DataFrame:
         e = F.col(end)
