@@ -45,6 +45,7 @@ def geo_lookup_raw(geolocation: DataFrame) -> DataFrame:
     return _median_point(geolocation)
 
 
+SHARE_DIGITS = 12
 _ITEM_COLUMNS = ["order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"]
 
 
@@ -74,7 +75,8 @@ def _item_aggregates(distinct_products: Column) -> dict[str, Column]:
         "mean_item_price": safe_divide(F.sum("price"), F.sum("price_n")),
         "max_item_price": F.max("top_price"),
         "order_total_value": price + freight,
-        "freight_ratio": safe_divide(freight, price + freight),
+        # equal shares differ in their last bit with the order of addition; quantile edges must not fall between them
+        "freight_ratio": F.round(safe_divide(freight, price + freight), SHARE_DIGITS),
     }
 
 

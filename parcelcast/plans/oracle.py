@@ -96,7 +96,7 @@ CTES |= {
         "geolocation_lat, geolocation_lng FROM geolocation) GROUP BY 1")),
     "item_features": (("order_items",), (
         "SELECT *, total_price + total_freight AS order_total_value, "
-        f"{div('total_freight', '(total_price + total_freight)')} AS freight_ratio FROM (SELECT order_id, "
+        f"round({div('total_freight', '(total_price + total_freight)')}, 12) AS freight_ratio FROM (SELECT order_id, "
         "count(order_item_id) AS item_count, count(DISTINCT product_id) AS unique_products, "
         "count(DISTINCT seller_id) AS seller_count, sum(price) AS total_price, sum(freight_value) AS total_freight, "
         "avg(price) AS mean_item_price, max(price) AS max_item_price FROM order_items GROUP BY order_id)")),
