@@ -2,9 +2,14 @@
 
 Markup is stripped to lines, one per block element. Parts that by their element, role, class or id are menus, headers,
 footers, sidebars, notices, adverts, forms or comments become empty lines, and so does every border between layout boxes
-outside an article or main element. The text lengths are summed over windows of ``window`` lines: the sum surges where a
-run of text begins and dives to zero after it ends. Runs whose largest window reaches ``surge`` characters are kept; if
-none does, the longest run is. Lines inside a run are all kept, short ones too.
+outside an article or main element. The text lengths are summed over windows of ``window`` lines: the sum surges where a run of text begins and dives to zero after it ends. A run is dense if its largest window reaches
+``surge`` characters; if none does, the longest run is taken.
+
+Runs lead to regions, and all lines of a region are kept, short ones too. All text of article and main elements is kept, and
+so is every dense run outside of them. On a page where those elements are missing, or hold nothing dense while something
+else is, the region is the outermost boxes with dense runs, what lies between them, and the lines around them up to the next
+page part (navigation, header, footer, menu, form) or menu. Parts dropped inside a region do not end it. Of unmarked parts,
+two links or more without other text are a menu, if they are not dense.
 
 Null, empty and text-free pages give the empty text. Repeated rows give equal texts; other columns are ignored.
 """
@@ -13,6 +18,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,6 +33,8 @@ BLOCKS = BOXES | frozenset(
     "p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre hr address figure details summary caption hgroup html".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CONTENT = frozenset({"article", "main"})
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+ENDS = frozenset("nav header footer menu form".split())  # parts of a page, beyond which its text does not go on
 NOISE = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alerts?|popup|modal|"
     r"overlay|nav\w*|menus?|breadcrumbs?|sidebar|side|aside|rail|widgets?|header|masthead|topbar|footer|foot|copyright|"
@@ -70,33 +78,53 @@ def _partners(tags: list[re.Match]) -> dict[int, int]:
     return closed
 
 
-def page_lines(page: str, window: int = 3) -> list[str]:
-    """Lines of text of a page in order; empty lines stand for dropped parts and for borders."""
-    page = _DROPPED.sub(" ", page)
-    tags = list(_TAG.finditer(page))
-    closed = _partners(tags)
-    lines: list[str] = []
+class Line(NamedTuple):
+    text: str  # empty: a dropped part or a border
+    inside: bool = False  # of an article or main element
+    top: int = -1  # number of the outermost box below the body
+    links: int = 0
+    linked: int = 0  # characters in links
+    heading: bool = False
+    ends: bool = False  # a dropped part that ends the text of the page
+
+
+def _parse(page: str, tags: list[re.Match], closed: dict[int, int], opened: set[int], window: int):
+    """Lines, the dropped elements (tag, why, inside), and whether an article or main element stands outside of those."""
+    lines: list[Line] = []
+    dropped: list[tuple[int, str, bool]] = []
     held: list[str] = []
-    inside = 0  # depth of article and main elements
+    gap = [Line("")] * window
+    inside = anchor = links = linked = 0  # depth of article and main elements, of links; of the line held
+    heading, content, top, top_end = False, False, -1, -1
 
     def flush() -> None:
+        nonlocal links, linked, heading
         if line := " ".join(entities.unescape("".join(held)).split()):
-            lines.append(line)
+            lines.append(Line(line, inside > 0, top, links, linked, heading))
         held.clear()
+        links = linked = 0
+        heading = False
 
     def border() -> None:
         flush()
         if not inside:
-            lines.extend([""] * window)
+            lines.extend(gap)
 
     at, i = 0, 0
     while i < len(tags):
         tag = tags[i]
-        held.append(page[at: tag.start()])
+        text = page[at: tag.start()]
+        held.append(text)
+        if anchor:
+            linked += len(text.strip())
         at, name = tag.end(), tag[2].lower()
-        if not tag[1] and i in closed and _is_noise(name, tag[3]):
+        why = "" if tag[1] or i not in closed or i in opened or inside and name == "header" and not tag[3] else "element" * _is_noise(name, tag[3])
+        if why:
             flush()
-            lines.extend([""] * window)
+            if not inside:
+                lines.extend(gap)
+                lines.append(Line("", top=top, ends=name in ENDS))
+            dropped.append((i, why, inside > 0))
             i = closed[i]
             at = tags[i].end()
         elif name in CONTENT:
@@ -107,22 +135,31 @@ def page_lines(page: str, window: int = 3) -> list[str]:
             elif i in closed:
                 border()
                 inside += 1
+                content = True
         elif name in BOXES:
             border()
+            if not tag[1] and i > top_end and i in closed and name not in ("body", "center"):
+                top, top_end = i, closed[i]
+            elif i == top_end:
+                top = -1
         elif name in BLOCKS:
             flush()
+            heading = not tag[1] and len(name) == 2 and name in HEADINGS
         elif name == "br":
             held.append(" ")
+        elif name == "a":
+            anchor = int(not tag[1])
+            links += anchor
         i += 1
     held.append(page[at:])
     flush()
-    return lines
+    return lines, dropped, content
 
 
-def dense_lines(lines: list[str], window: int = 3, surge: int = 80) -> list[str]:
-    """The lines between surge and dive points of the summed text lengths."""
-    sizes = [len(line) for line in lines]
-    runs, start = [], None  # (first line, line after the last, largest window)
+def _runs(lines: list[Line], window: int) -> list[tuple[int, int, int]]:
+    """(first line, line after the last, largest window) between the surges and dives of the summed text lengths."""
+    sizes = [len(line.text) for line in lines]
+    runs, start = [], None
     total, best = 0, 0
     for i in range(len(sizes) + window):
         total += (sizes[i] if i < len(sizes) else 0) - (sizes[i - window] if i >= window else 0)
@@ -131,18 +168,68 @@ def dense_lines(lines: list[str], window: int = 3, surge: int = 80) -> list[str]
         if start is not None:
             best = max(best, total)
             if not total:
-                runs.append((start, i, best))
+                runs.append((start, min(i, len(sizes)), best))
                 start = None
     if start is not None:
         runs.append((start, len(sizes), best))
-    kept = [r for r in runs if r[2] >= surge] or sorted(runs, key=lambda r: (-sum(sizes[r[0]: r[1]]), r[0]))[:1]
-    return [line for a, b, _ in kept for line in lines[a:b] if line]
+    return runs
+
+
+def page_lines(page: str, window: int = 3, surge: int = 80) -> list[Line]:
+    """Lines of text of a page in order; empty lines stand for dropped parts and for borders."""
+    page = _DROPPED.sub(" ", page)
+    tags = list(_TAG.finditer(page))
+    return _parse(page, tags, _partners(tags), set(), window)[0]
+
+
+def _menus(lines: list[Line]) -> set[int]:
+    """Lines outside article and main that are links only, two links or more one after another."""
+    menus: set[int] = set()
+    group: list[int] = []
+    for i, line in enumerate([*lines, Line("end")]):
+        if not line.text:
+            continue
+        if line.links and not line.heading and not line.inside and line.linked >= 0.8 * len(line.text):
+            group.append(i)
+            continue
+        if sum(lines[k].links for k in group) > 1:
+            menus.update(group)
+        group = []
+    return menus
+
+
+def dense_lines(lines: list[Line], window: int = 3, surge: int = 80) -> list[str]:
+    """The lines of the regions between the surge and dive points of the summed text lengths."""
+    runs = _runs(lines, window)
+    article = {i for i, line in enumerate(lines) if line.inside}
+    dense = [r for r in runs if r[2] >= surge]
+    outer = [r for r in dense if not any(i in article for i in range(r[0], r[1]))]
+    kept = {i for a, b, _ in dense for i in range(a, b)} | article
+    if outer and len(outer) == len(dense) or not article:
+        menus = _menus(lines)
+        if not dense and runs:
+            # the longest run leads to the region, and a menu does so only if there is nothing else
+            size = lambda r: (sum(len(lines[i].text) for i in range(r[0], r[1]) if i not in menus),
+                              sum(len(lines[i].text) for i in range(r[0], r[1])))
+            a, b, _ = max(runs, key=lambda r: (size(r), -r[0]))
+            outer, kept = [(a, b, 0)], kept | set(range(a, b))
+        own = {i for a, b, _ in outer for i in range(a, b) if lines[i].text}
+        tops = {lines[i].top for i in own} - {-1}
+        core = own | {i for i, line in enumerate(lines) if line.text and line.top in tops}
+        if core:
+            first, last = min(core), max(core)
+            while first and not lines[first - 1].ends and first - 1 not in menus:
+                first -= 1
+            while last + 1 < len(lines) and not lines[last + 1].ends and last + 1 not in menus:
+                last += 1
+            kept |= {i for i in range(first, last + 1) if i not in menus}
+    return [line.text for i, line in enumerate(lines) if i in kept and line.text]
 
 
 def main_text(page: str | None, window: int = 3, surge: int = 80) -> str:
     if not page:
         return ""
-    return "\n".join(dense_lines(page_lines(page, window), window, surge))
+    return "\n".join(dense_lines(page_lines(page, window, surge), window, surge))
 
 
 def extract(pages: DataFrame, window: int = 3, surge: int = 80) -> DataFrame:

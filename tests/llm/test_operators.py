@@ -97,6 +97,25 @@ def test_html_keeps_the_article_only():
     assert [htmltext.main_text(t) for t in (None, "", "<p></p>", "plain 2 < 3")] == ["", "", "", "plain 2 < 3"]
 
 
+def test_html_keeps_short_parts_of_the_region():
+    """A dropped part inside the region does not end it; headings, tails and cells in boxes of their own stay."""
+    long = "This paragraph is long enough to make the window sums surge well above eighty characters of text."
+    want = f"Title\n{long}\nShort end."
+    share, more = "<div class='share'>Share it</div>", "<aside>More</aside>"
+    menu = "<div><a href='/'>Home</a> <a href='/n'>News</a></div>"
+    parts = f"<h1>Title</h1>{share}<p>{long}</p>{more}<p>Short end.</p>"
+    boxes = f"<div><h1>Title</h1></div>{share}<div><div><p>{long}</p></div></div>{more}<div><p>Short end.</p></div>"
+    cells = f"<tr><td><h1>Title</h1></td></tr><tr><td>{share}{long}</td></tr><tr><td>{more}</td><td>Short end.</td></tr>"
+    for body in (f"<article>{parts}</article>", f"<main><div>{boxes}</div></main>", f"<div>{boxes}</div>", f"<div><div>{boxes}</div></div>",
+                 boxes, f"<table>{cells}</table>", f"<div><table><tbody>{cells}</tbody></table></div>"):
+        page = f"<body><nav>Home</nav>{menu}{body}<footer>us</footer><div>&copy; 2024</div></body>"
+        assert htmltext.main_text(page) == want, body
+    for body in (parts, boxes, f"<table>{cells}</table>"):  # no run is dense: still all of it
+        page = f"<body><nav>Home</nav><div>{menu}{body.replace(long, 'Not long.')}</div><footer>us</footer></body>"
+        assert htmltext.main_text(page) == "Title\nNot long.\nShort end.", body
+    assert htmltext.main_text("<article><header><h1>Title</h1></header><p>x</p></article>") == "Title\nx"
+
+
 def test_html_rows(spark):
     rows = [(1, "u", "<p>a</p>", 9, "t"), (1, "u", "<p>a</p>", 9, "t"), (None, None, None, None, None)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, n_chars long, text string")
