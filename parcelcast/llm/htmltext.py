@@ -2,7 +2,9 @@
 
 Markup is stripped to lines, one per block element. Parts that by their element, role, class or id are menus, headers,
 footers, sidebars, notices, adverts, forms or comments become empty lines, and so does every border between layout boxes
-outside an article or main element. The text lengths are summed over windows of ``window`` lines: the sum surges where a run of text begins and dives to zero after it ends. A run is dense if its largest window reaches
+outside an article or main element. Class and id words count as a whole or as the head noun of a name (``site-header``, not
+``has-sidebar``), and a part with most of the page's text is no noise. The text lengths are summed over windows of ``window``
+lines: the sum surges where a run of text begins and dives to zero after it ends. A run is dense if its largest window reaches
 ``surge`` characters; if none does, the longest run is taken.
 
 Runs lead to regions, and all lines of a region are kept, short ones too. All text of article and main elements is kept, and
@@ -16,6 +18,7 @@ Null, empty and text-free pages give the empty text. Repeated rows give equal te
 
 from __future__ import annotations
 
+import functools
 import html as entities
 import re
 from typing import NamedTuple
@@ -36,32 +39,56 @@ CONTENT = frozenset({"article", "main"})
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ENDS = frozenset("nav header footer menu form".split())  # parts of a page, beyond which its text does not go on
 NOISE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alerts?|popup|modal|"
+    r"ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alerts?|popup|modal|"
     r"overlay|nav\w*|menus?|breadcrumbs?|sidebar|side|aside|rail|widgets?|header|masthead|topbar|footer|foot|copyright|"
     r"comments?|replies|respond|disqus|related|recommend\w*|share|sharing|social|newsletter|subscribe|signup|login|search|"
-    r"pagination|pager|toc|tags|skip|hidden|legal|disclaimer)(?:$|[\s_-])")
+    r"pagination|pager|toc|tags|skip|hidden|legal|disclaimer")
+TALK = re.compile(r"comments?|replies|respond|disqus|hidden")
+# Words at the end of a class name that leave the noun before them as its head, and words that turn it into something else
+HOLDERS = frozenset("area bar block box button buttons container content group icon icons inner item items left link links list "
+                    "outer panel post posts right row section slot top bottom unit wrap wrapper".split())
+ABOUT = frozenset("has no not non with without show hide use enable disable overflow".split())
+OWN = frozenset("article entry post story content text".split())  # whose header and footer belong to the text
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
 _DROPPED = re.compile(rf"<!--.*?(?:-->|$)|<({RAW})\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</\1\s*>|$)|<[!?][^>]*>",
                       re.S | re.I)
 _TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>")
-_NAMED = re.compile(r"\b(class|id|role|hidden|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 
 
-def _is_noise(name: str, attributes: str) -> bool:
+@functools.lru_cache(maxsize=4096)
+def _noise_word(token: str) -> str:
+    """The word that makes a class or id noise: all of it or its head noun; empty if none does."""
+    if NOISE.fullmatch(token):
+        return token
+    words = [w for w in re.split(r"[_-]+", token) if w]
+    if not ABOUT.isdisjoint(words):
+        return ""
+    while len(words) > 1 and words[-1] in HOLDERS:
+        words.pop()
+    if not words or not NOISE.fullmatch(words[-1]):
+        return ""
+    if words[-1] in ("header", "footer", "foot") and not OWN.isdisjoint(words):
+        return ""
+    return words[-1]
+
+
+def _noise(name: str, attributes: str) -> str:
+    """Why an element is noise: ``element`` by what it is, ``name`` by its class or id, empty if it is none."""
     if name in SKIPPED:
-        return True
+        return "name" if name in ("form", "fieldset") else "element"
     if not attributes or name in CONTENT or name == "body" or name == "html":
-        return False
-    for key, value in _NAMED.findall(attributes):
-        key, value = key.lower(), value.strip("\"'").lower()
-        if key in ("class", "id") and NOISE.search(value):
-            return True
-        if key == "role" and value in NOISE_ROLES or key == "hidden":
-            return True
-        if key == "style" and re.search(r"display\s*:\s*none", value):
-            return True
-    return False
+        return ""
+    found: dict[str, str] = {}
+    for key, value in _ATTRIBUTE.findall(attributes):
+        found.setdefault(key.lower(), value.strip("\"'").lower())
+    if "hidden" in found or not NOISE_ROLES.isdisjoint(found.get("role", "").split()):
+        return "element"
+    if re.search(r"display\s*:\s*none", found.get("style", "")):
+        return "element"
+    words = [w for key in ("class", "id") for token in found.get(key, "").split() if (w := _noise_word(token))]
+    return "" if not words else "element" if any(TALK.fullmatch(w) for w in words) else "name"
 
 
 def _partners(tags: list[re.Match]) -> dict[int, int]:
@@ -118,7 +145,7 @@ def _parse(page: str, tags: list[re.Match], closed: dict[int, int], opened: set[
         if anchor:
             linked += len(text.strip())
         at, name = tag.end(), tag[2].lower()
-        why = "" if tag[1] or i not in closed or i in opened or inside and name == "header" and not tag[3] else "element" * _is_noise(name, tag[3])
+        why = "" if tag[1] or i not in closed or i in opened or inside and name == "header" and not tag[3] else _noise(name, tag[3])
         if why:
             flush()
             if not inside:
@@ -176,10 +203,41 @@ def _runs(lines: list[Line], window: int) -> list[tuple[int, int, int]]:
 
 
 def page_lines(page: str, window: int = 3, surge: int = 80) -> list[Line]:
-    """Lines of text of a page in order; empty lines stand for dropped parts and for borders."""
+    """Lines of text of a page in order; empty lines stand for dropped parts and for borders.
+
+    A part that looks like noise but holds most of the page's text is opened: by name, if no article or main element is
+    outside of it; as an element of its kind (or comments), if moreover nothing dense is.
+    """
     page = _DROPPED.sub(" ", page)
     tags = list(_TAG.finditer(page))
-    return _parse(page, tags, _partners(tags), set(), window)[0]
+    closed = _partners(tags)
+    opened: set[int] = set()
+    sums: list[int] = []  # characters of text, and of text in links, up to each tag
+    link_sums: list[int] = []
+    while True:
+        lines, dropped, content = _parse(page, tags, closed, opened, window)
+        if not dropped:
+            return lines
+        kept = sum(len(line.text) for line in lines)
+        if not sums:
+            at = total = link_total = anchor = 0
+            for tag in tags:
+                n = len("".join(page[at: tag.start()].split()))
+                total, link_total, at = total + n, link_total + n * anchor, tag.end()
+                if tag[2] in "aA":
+                    anchor = int(not tag[1])
+                sums.append(total)
+                link_sums.append(link_total)
+            total += len("".join(page[at:].split()))
+        dense = kept >= surge and any(r[2] >= surge for r in _runs(lines, window))
+        more = set()
+        for i, why, inside in dropped:
+            size, in_links = sums[closed[i]] - sums[i], link_sums[closed[i]] - link_sums[i]
+            if 2 * size > total and 2 * in_links <= size and (inside or not content) and (why == "name" or not dense):
+                more.add(i)
+        if not more:
+            return lines
+        opened |= more
 
 
 def _menus(lines: list[Line]) -> set[int]:

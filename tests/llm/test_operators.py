@@ -116,6 +116,25 @@ def test_html_keeps_short_parts_of_the_region():
     assert htmltext.main_text("<article><header><h1>Title</h1></header><p>x</p></article>") == "Title\nx"
 
 
+def test_html_noise_names():
+    long = "This paragraph is long enough to make the window sums surge well above eighty characters of text."
+    for mark in ('a href="/hidden-valley"', 'b title="Hidden gems"', 'p aria-hidden="false"', 'p data-id="menu"', 'div class="content has-sidebar"',
+                 'div class="no-comments"', 'div class="article-header"', 'div class="entry-footer"', 'div class="overflow-hidden"'):
+        name = mark.split()[0]
+        page = f"<article><p>{long}</p><{mark}>Kept</{name}></article>"
+        assert "Kept" in htmltext.main_text(page), mark
+    for mark in ("p hidden", "div class='box AD'", "div id=comments", "div class='site-header'", "div class='share-buttons'", "div class='comment-list'",
+                 "div role='search'", "p style='display: none'", "div class='post-comments'"):
+        name = mark.split()[0]
+        assert htmltext.main_text(f"<article><p>{long}</p><{mark}>Lost</{name}></article>") == long, mark
+    inner = f"<h1>Title</h1><p>{long}</p><div class='ad'>Buy</div><p>End.</p>"
+    for mark in ("form id=f", "div class='sidebar'", "div id='page' class='header'", "section hidden", "header"):
+        name = mark.split()[0]
+        assert htmltext.main_text(f"<body><nav>Home</nav><{mark}>{inner}</{name}><footer>us</footer></body>") == f"Title\n{long}\nEnd.", mark
+    talk = "I disagree. " * 40  # most of the text, and still no article
+    assert htmltext.main_text(f"<article><p>{long}</p></article><div class='sidebar'>{talk}</div><div id='comments'>{talk}</div>") == long
+
+
 def test_html_rows(spark):
     rows = [(1, "u", "<p>a</p>", 9, "t"), (1, "u", "<p>a</p>", 9, "t"), (None, None, None, None, None)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, n_chars long, text string")
