@@ -2,8 +2,8 @@
 
 Documents are range-partitioned by id; each task writes its documents in ascending order as shards of about
 ``shard_tokens`` ids. In a shard frequent id pairs are repeatedly replaced by nonterminals: a round counts all adjacent
-pairs and replaces, from left to right, those at least a sixteenth as frequent as the most frequent one. The shard keeps its
-rules, the expansion length of each rule and the reduced sequence. Running sums of expansion lengths find the symbols
+pairs and replaces, from left to right, those at least a sixteenth as frequent as the most frequent one, until no pair is left eight
+times. The shard keeps its rules, the expansion length of each rule and the reduced sequence. Running sums of expansion lengths find the symbols
 that cover any token range, so a document is decoded without the rest of its shard.
 
 A file row is one shard: ``part``, ``shard``, ``offset`` (ids before it in its part), ``doc_ids``, ``doc_tokens`` and ``payload``.
@@ -134,45 +134,58 @@ class Pieces(Words):
         super().__init__(texts, lower=not pc.any(pc.match_substring(texts, "<|")).as_py(), end_marks=True)
 
 
-def compress(ids: np.ndarray, min_count: int = 8, rounds: int = 4) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(rules n x 2, expansion lengths, symbols) of the ids."""
-    symbols = ids.astype(np.int64)
-    rules, lengths, n_rules = [np.zeros((0, 2), np.int64)], [np.zeros(0, np.int64)], 0
-    slots = np.zeros(1 << 16, dtype=np.int64)
-    for _ in range(rounds):
-        if len(symbols) < 2:
+def compress(ids: np.ndarray, min_count: int = 8) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rules n x 2, expansion lengths, symbols) of the ids; no pair of adjacent symbols is left ``min_count`` times."""
+    symbols, min_count = ids.astype(np.int64), max(min_count, 2)
+    rules, lengths, n_rules = [np.zeros((0, 2), np.int64)], np.zeros(0, np.int64), 0
+    slot = lambda p: ((p * 0x5851F42D4C957F2D) >> 40) & 0xFFFF
+    while len(symbols) > min_count:
+        pairs = symbols[:-1] << 32 | symbols[1:]
+        slots = slot(pairs)
+        often = np.flatnonzero((np.bincount(slots, minlength=1 << 16) >= min_count)[slots])  # no other pair can be frequent
+        if not len(often):
             break
-        pairs = symbols[:-1] << 21 | symbols[1:]
-        ordered = np.sort(pairs)
+        ordered = np.sort(pairs[often])
         edge = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
         counts = np.diff(np.append(edge, len(ordered)))
         most = int(counts.max())
         if most < min_count:
             break
-        chosen = ordered[edge[counts >= max(min_count, most // 16)]]
-        slot = lambda p: ((p * 0x5851F42D4C957F2D) >> 40) & 0xFFFF
-        own = slot(chosen)
-        slots[own] = np.arange(len(chosen))
-        chosen = chosen[slots[own] == np.arange(len(chosen))]  # pairs that meet in a slot wait for the next round
-        own = slot(chosen)
-        slots[own] = np.arange(len(chosen))
-        place = slots[slot(pairs)]
-        hit = chosen[np.minimum(place, len(chosen) - 1)] == pairs
-        # in a run of hits that overlap, every second one from the left is replaced
-        spots = np.flatnonzero(hit)
+        least = max(min_count, most // 16)
+        chosen = ordered[edge[counts >= least]]
+        likely = np.zeros(1 << 16, dtype=bool)
+        likely[slot(chosen)] = True
+        spots = often[likely[slots[often]]]
+        place = np.searchsorted(chosen, pairs[spots])
+        hit = chosen[np.minimum(place, len(chosen) - 1)] == pairs[spots]
+        spots, place = spots[hit], place[hit]
+        # of hits that overlap the more frequent pair is replaced (so copies of a passage are cut alike), of equal ones (aaa)
+        # every second from the left
+        rank = np.empty(len(chosen), dtype=np.int64)
+        rank[np.argsort(counts[counts >= least], kind="stable")] = np.arange(len(chosen))
+        ranks, meet = rank[place], np.diff(spots) == 1
+        ousted = np.zeros(len(spots), dtype=bool)
+        ousted[:-1] |= meet & (ranks[:-1] < ranks[1:])
+        ousted[1:] |= meet & (ranks[1:] < ranks[:-1])
+        spots, place = spots[~ousted], place[~ousted]
         fresh = np.concatenate([[True], np.diff(spots) > 1])
         run = np.maximum.accumulate(np.where(fresh, spots, 0))
-        taken = spots[(spots - run) % 2 == 0]
-        new = np.stack([chosen >> 21, chosen & ((1 << 21) - 1)], axis=1)
-        known = np.concatenate(lengths)
-        size_of = lambda s: np.where(s < BASE, 1, known[np.maximum(s - BASE, 0)] if len(known) else 1)
+        odd = (spots - run) % 2 == 0
+        spots, place = spots[odd], place[odd]
+        # the first in rank keeps half of its count at least, so each round shortens; pairs left with less wait for the next
+        useful = np.bincount(place, minlength=len(chosen)) >= min_count // 2
+        kept = useful[place]
+        spots, place = spots[kept], (np.cumsum(useful) - 1)[place[kept]]
+        new = np.stack([chosen[useful] >> 32, chosen[useful] & 0xFFFFFFFF], axis=1)
+        sizes = np.ones(new.shape, dtype=np.int64)
+        sizes[new >= BASE] = lengths[new[new >= BASE] - BASE]
         rules.append(new)
-        lengths.append(size_of(new[:, 0]) + size_of(new[:, 1]))
-        symbols[taken] = BASE + n_rules + place[taken]
+        lengths = np.concatenate([lengths, sizes.sum(axis=1)])
+        symbols[spots] = BASE + n_rules + place
         keep = np.ones(len(symbols), dtype=bool)
-        keep[taken + 1] = False
+        keep[spots + 1] = False
         symbols, n_rules = symbols[keep], n_rules + len(new)
-    return np.concatenate(rules), np.concatenate(lengths), symbols
+    return np.concatenate(rules), lengths, symbols
 
 
 def pack(ids: np.ndarray, **options) -> bytes:
@@ -191,14 +204,17 @@ def _unpack(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _expand(symbols: np.ndarray, rules: np.ndarray) -> np.ndarray:
-    while len(symbols) and (wide := symbols >= BASE).any():
-        size = 1 + wide
-        ends = np.cumsum(size)
-        out = np.empty(int(ends[-1]), dtype=np.int64)
-        out[(ends - size)[~wide]] = symbols[~wide]
-        pairs = rules[symbols[wide] - BASE]
-        out[(ends - size)[wide]], out[(ends - size)[wide] + 1] = pairs[:, 0], pairs[:, 1]
-        symbols = out
+    at = np.flatnonzero(symbols >= BASE)
+    while len(at):
+        # the rules found last are replaced by their two symbols, everything else moves up
+        size = np.ones(len(symbols), dtype=np.int64)
+        size[at] = 2
+        out = np.repeat(symbols, size)
+        pairs = rules[symbols[at] - BASE]
+        left = at + np.arange(len(at))
+        out[left], out[left + 1] = pairs[:, 0], pairs[:, 1]
+        places = np.stack([left, left + 1], axis=1).ravel()
+        at, symbols = places[out[places] >= BASE], out
     return symbols
 
 

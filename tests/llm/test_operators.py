@@ -367,6 +367,20 @@ def test_grammar_round_trip():
     assert len(tokenids.pack(np.array([7] * 1001, dtype=np.uint32))) < 1001
 
 
+def test_grammar_leaves_no_frequent_pair():
+    rng = np.random.default_rng(4)
+    text = (49000 * rng.random(60000) ** 6).astype(np.uint32)
+    passage = rng.integers(0, 49000, 3000).astype(np.uint32)
+    copies = np.tile(passage, 40)
+    for ids, least in ((text, 8), (copies, 8), (np.full(100_000, 7, np.uint32), 8), (rng.integers(0, 40, 30000).astype(np.uint32), 2)):
+        rules, lengths, symbols = tokenids.compress(ids, min_count=least)
+        counts = np.unique(symbols[:-1] << 32 | symbols[1:], return_counts=True)[1]
+        assert counts.max(initial=0) < least
+        assert (tokenids._expand(symbols, rules) == ids).all()
+        assert [len(tokenids._expand(np.array([tokenids.BASE + k]), rules)) for k in range(0, len(rules), 97)] == lengths[::97].tolist()
+    assert len(tokenids.compress(copies)[2]) < 300
+
+
 def test_token_files_match_the_tokenizer(spark, tmp_path):
     texts = AWKWARD + ["Hello, world. It's 3.14!", "<|endoftext|> X<|ENDOFTEXT|>", "Été ÉTÉ ſ ﬁ İ Σς. 中文,字", "a.,b. c,. d..", "don't. I'LL,"]
     path = str(tmp_path / "ids")
