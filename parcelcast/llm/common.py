@@ -175,14 +175,14 @@ def held(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
     return (bits[places >> 3] >> (places & 7).astype(np.uint8)) & 1 > 0
 
 
-def split_rows(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The rows of ``docs`` whose doc_id may be in ``ids``, and those for which it is not.
+def split_rows(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` whose ``key`` may be in ``ids``, and those for which it is not.
 
-    Told apart by a bitmap of a fixed size, so that rows that meet nothing need not be shuffled to a join; a null id is in
+    Told apart by a bitmap of a fixed size, so that rows that meet nothing need not be shuffled to a join; a null is in
     none. The second part is exact, the first may hold more and is to be joined.
     """
-    flagged = bitmap(ids.filter("doc_id IS NOT NULL"), F.pmod("doc_id", F.lit(1 << DOC_BITS)), DOC_BITS)
-    at = docs.columns.index("doc_id")
+    flagged = bitmap(ids.filter(F.col(key).isNotNull()), F.pmod(key, F.lit(1 << DOC_BITS)), DOC_BITS)
+    at = docs.columns.index(key)
 
     def part(want: bool):
         def run(batches):

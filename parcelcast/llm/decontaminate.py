@@ -8,7 +8,8 @@ its passages stand. Items of fewer words match as a whole.
 
 The seeds of a benchmark up to ``broadcast_bytes`` of text (measured first) go to all tasks; a larger one is joined to the
 documents on seeds. Null or empty texts hold nothing and are never held. Rows with equal ids are judged each for itself; the
-result has a row per id, item and distinct outcome.
+result has a row per id, item and distinct outcome. A null id is an id like any other, of documents and items: such rows are
+judged and reported with the null. Rows are told apart by a 64-bit hash of id and text; ``clean`` drops rows, not ids.
 """
 
 from __future__ import annotations
@@ -175,7 +176,14 @@ def _with_broadcast(docs: DataFrame, bench: Benchmark, threshold: float) -> Data
     return docs.select("doc_id", "text").mapInArrow(run, RESULT)
 
 
+def _keyed(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """With a key of the row that is never null: equal for equal rows only."""
+    return rows.withColumn(name, F.xxhash64(key, "text"))
+
+
 def _with_join(docs: DataFrame, items: DataFrame, min_match: int, threshold: float) -> DataFrame:
+    docs, items = _keyed(docs.select("doc_id", "text"), "doc_id", "row"), _keyed(items, "item_id", "item_row")
+
     def seeds_of(key: str):
         def run(batches):
             for batch, words in scan(batches, lower=True):
@@ -192,12 +200,12 @@ def _with_join(docs: DataFrame, items: DataFrame, min_match: int, threshold: flo
         return run
 
     schema = "key long, seeds array<long>"
-    left = docs.select("doc_id", "text").mapInArrow(seeds_of("doc_id"), schema).select("key", F.explode("seeds").alias("seed"))
-    right = items.select("item_id", "text").mapInArrow(seeds_of("item_id"), schema).select(
-        F.col("key").alias("item_id"), F.explode("seeds").alias("seed"))
-    pairs = store(left.join(right, "seed").select(F.col("key").alias("doc_id"), "item_id").distinct(), "seed-pairs")
-    rows = pairs.join(docs.select("doc_id", "text"), "doc_id").join(
-        items.select("item_id", F.col("text").alias("item")), "item_id").select("doc_id", "text", "item_id", "item")
+    left = docs.select("row", "text").mapInArrow(seeds_of("doc_id"), schema).select(F.col("key").alias("row"), F.explode("seeds").alias("seed"))
+    right = items.select("item_row", "text").mapInArrow(seeds_of("item_id"), schema).select(
+        F.col("key").alias("item_row"), F.explode("seeds").alias("seed"))
+    pairs = store(left.join(right, "seed").select("row", "item_row").distinct(), "seed-pairs")
+    rows = pairs.join(docs, "row").join(
+        items.withColumnRenamed("text", "item"), "item_row").select("doc_id", "text", "item_id", "item")
 
     def run(batches):
         for batch in batches:
@@ -227,9 +235,11 @@ def contaminated(docs: DataFrame, items: DataFrame, min_match: int = MIN_MATCH,
 
 def clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The documents that hold no benchmark item."""
-    hits = store(contaminated(docs, items, **options).select("doc_id").distinct(), "contaminated")
-    some, rest = split_rows(docs, hits)
-    return rest.unionByName(some.join(hits, "doc_id", "left_anti"))
+    rows = _keyed(docs, "doc_id", "_row")
+    found = contaminated(rows.select(F.col("_row").alias("doc_id"), "text"), items, **options)
+    hits = store(found.select(F.col("doc_id").alias("_row")).distinct(), "contaminated")
+    some, rest = split_rows(rows, hits, "_row")
+    return rest.unionByName(some.join(hits, "_row", "left_anti")).select(*docs.columns)
 
 
 def op6_decontamination(spark, sf_dir):

@@ -277,6 +277,19 @@ def test_benchmark_items_are_found(spark, limit):
     assert decontaminate.contaminated(documents(spark, texts).limit(0), items).count() == 0
 
 
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_null_and_equal_ids_are_judged_by_row(spark, limit):
+    item, other = "the quick brown fox jumps over the lazy dog", "seven wizards boil a kettle while it rains"
+    rows = [(None, f"x {item}"), (None, f"y {other}"), (None, "clean words"), (3, item), (3, "also clean"), (3, None), (4, other), (4, "free")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(None, item), (9, other), (None, None)], "item_id long, text string")
+    got = decontaminate.contaminated(docs, items, broadcast_bytes=limit).collect()
+    assert sorted(((r["doc_id"], r["item_id"]) for r in got), key=str) == sorted([(None, None), (None, 9), (3, None), (4, 9)], key=str)
+    kept = decontaminate.clean(docs, items, broadcast_bytes=limit)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(None, "clean words"), (3, "also clean"), (3, None), (4, "free")], key=str)
+
+
 # --- op 7
 
 
