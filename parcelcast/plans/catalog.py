@@ -21,9 +21,6 @@ from parcelcast.streaming import telemetry
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Trees or boosting rounds of a fit in the registered search, which fits each configuration on every fold.
-SEARCH_TREES = 20
-
 KEYS = {
     "orders_raw": ["order_id"], "order_items": ["order_id", "order_item_id"],
     "payments": ["order_id", "payment_sequential"], "products": ["product_id"],
@@ -856,8 +853,13 @@ def _(d: Data):
     )
 
 
-def _light_search() -> list[training.ModelConfig]:
-    return [training.with_budget(c, SEARCH_TREES) for c in training.search_configs(quick=True)]
+def _search(d: Data) -> DataFrame:
+    """Fold metrics of the whole grid at full size."""
+    def build() -> DataFrame:
+        development = d.split.filter(F.col("split") != "test")
+        return materialize(training.run_search(development, splits.fold_bounds(development.count()), training.search_configs())[0])
+
+    return _shared(d.spark, d.sf_dir, "search", build)
 
 
 @query("train_compare")
@@ -890,13 +892,13 @@ def _(d: Data):
 
 @query("run_search")
 def _(d: Data):
-    development = d.split.filter(F.col("split") != "test")
-    return training.run_search(development, splits.fold_bounds(development.count()), _light_search())[0]
+    return _search(d)
 
 
 @query("refit_best")
 def _(d: Data):
-    config = training.search_configs(quick=True)[0]
+    best = training.best_config(training.summarize_search(_search(d))).first()["config_id"]
+    config = next(c for c in training.search_configs() if c.config_id == best)
     model = training.refit_best(d.split.filter(F.col("split") != "test"), config)
     return training.score_rows(model, d.part("test")).select("order_id", "probability")
 
@@ -1020,13 +1022,13 @@ def _(d: Data):
 
 @query("evaluation_job")
 def _(d: Data):
-    config = training.with_budget(next(c for c in training.search_configs(quick=True) if c.family == "xgboost"), 5)
+    config = next(c for c in training.search_configs(quick=True) if c.family == "xgboost")
     tuned = jobs.tuning_job(d.split, [config])
     reports = jobs.evaluation_job(
         tuned["model"], tuned["development"], d.part("test"), tuned["oof"], tuned["rules"], tuned["fold_metrics"],
-        config.config_id, repeats=1,
+        config.config_id,
     )
-    return reports["ranking"]
+    return jobs.long_reports({name: tidy(report) for name, report in reports.items()})
 
 
 # --- drift ---------------------------------------------------------------------------------------------------

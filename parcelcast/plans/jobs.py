@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -114,6 +115,14 @@ def evaluation_job(
     return reports
 
 
+def long_reports(reports: dict[str, DataFrame]) -> DataFrame:
+    """All rows of all reports in one table: the report's name and the row as JSON, nulls included."""
+    return reduce(DataFrame.unionByName, [
+        df.select(F.lit(name).alias("report"), F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("record"))
+        for name, df in reports.items()
+    ])
+
+
 def deployment_job(spark: SparkSession, model_path: str, oof: DataFrame, rules: DataFrame,
                    config: training.ModelConfig, output: str | None = None) -> DataFrame:
     """The deployment record of a saved model."""

@@ -137,3 +137,44 @@ def test_baseline_and_deployment_jobs(ranked, tmp_path):
         ranked.sparkSession, path, oof, evaluation.operating_thresholds(oof), configs[0], str(tmp_path / "config")).first()
     assert len(record.model.sha256) == 64 and record.monitoring_reference["rows"] == 60
     assert 0 <= record.risk_score.action_threshold <= 1
+
+
+def test_registered_fits_do_the_whole_job(spark, monkeypatch):
+    """The search takes the whole grid, the refit its winner, the evaluation job full rounds, five repeats and all reports."""
+    from types import SimpleNamespace
+
+    from parcelcast.plans import catalog
+
+    seen = {}
+    rows = spark.createDataFrame([(1, 1, "train"), (2, 2, "test")], "order_id long, row_num long, split string")
+    data = SimpleNamespace(spark=spark, sf_dir="whole-job-test", split=rows, part=lambda n: rows.filter(rows["split"] == n))
+    monkeypatch.setattr(catalog, "Data", lambda *_: data)
+    monkeypatch.setattr(catalog.splits, "fold_bounds", lambda n, *_: [])
+
+    def search(ranked, folds, configs, *_):
+        seen["configs"] = configs
+        found = [(c.config_id, c.family, i, 0.9 if c.config_id == "hist_gradient_boosting_03" else 0.1) for c in configs for i in (1, 2)]
+        frame = spark.createDataFrame(found, "config_id string, model_family string, fold int, pr_auc double")
+        for name in ("roc_auc", "recall", "precision", "f1"):
+            frame = frame.withColumn(name, frame["pr_auc"])
+        return frame, None
+
+    def evaluate(*args, repeats=5):
+        seen["repeats"] = repeats
+        return {"ranking": rows.select("order_id"), "scored": rows}
+
+    def tune(split, configs):
+        seen["tuned"] = configs
+        return dict.fromkeys(["model", "development", "oof", "rules", "fold_metrics"])
+
+    monkeypatch.setattr(catalog.training, "run_search", search)
+    monkeypatch.setattr(catalog.training, "refit_best", lambda development, config: seen.setdefault("refit", config))
+    monkeypatch.setattr(catalog.training, "score_rows", lambda model, test: test.selectExpr("order_id", "0.5D AS probability"))
+    monkeypatch.setattr(jobs, "tuning_job", tune)
+    monkeypatch.setattr(jobs, "evaluation_job", evaluate)
+    assert catalog.QUERIES["run_search"](spark, data.sf_dir).count() == 2 * 22
+    assert catalog.QUERIES["refit_best"](spark, data.sf_dir).count() == 1
+    assert seen["configs"] == training.search_configs() and seen["refit"].config_id == "hist_gradient_boosting_03"
+    got = catalog.QUERIES["evaluation_job"](spark, data.sf_dir)
+    assert sorted(r["report"] for r in got.collect()) == ["ranking", "ranking", "scored", "scored"]
+    assert seen["repeats"] == 5 and [c.params["n_estimators"] for c in seen["tuned"]] == [350]
