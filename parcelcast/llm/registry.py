@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from parcelcast.llm import decontaminate, hamming, htmltext, jaccard, linededup, mixing, nbsvm, substrings, tokenids, toxicity
+from parcelcast.llm import (
+    decontaminate, filteraudit, hamming, htmltext, jaccard, linededup, mixing, nbsvm, substrings, tokenids, toxicity,
+)
 
 
 def queries() -> dict:
@@ -18,6 +20,7 @@ def queries() -> dict:
         "op8_substring_dedup": substrings.op8_substring_dedup,
         "op9_token_ids": tokenids.op9_token_ids,
         "op10_quality": nbsvm.op10_quality,
+        "op13_filter_audit": filteraudit.op13_filter_audit,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -27,4 +30,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_top_k": hamming.ORACLE,
         "op3_line_dedup": linededup.ORACLE,
         "op7_mixing": mixing.ORACLE,
+        "op13_filter_audit": filteraudit.ORACLE,
     }
