@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from parcelcast.llm import (
-    decontaminate, filteraudit, hamming, htmltext, jaccard, linededup, mixing, nbsvm, substrings, tokenids, toxicity,
+    decontaminate, dualtree, filteraudit, hamming, htmltext, jaccard, linededup, mixing, nbsvm, secrets, substrings, tokenids, toxicity,
 )
 
 
@@ -20,6 +20,8 @@ def queries() -> dict:
         "op8_substring_dedup": substrings.op8_substring_dedup,
         "op9_token_ids": tokenids.op9_token_ids,
         "op10_quality": nbsvm.op10_quality,
+        "op11_secrets": secrets.op11_secrets,
+        "op12_lexical_search": dualtree.op12_lexical_search,
         "op13_filter_audit": filteraudit.op13_filter_audit,
         "pipeline": corpus_pipeline.run,
     }
@@ -30,5 +32,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_top_k": hamming.ORACLE,
         "op3_line_dedup": linededup.ORACLE,
         "op7_mixing": mixing.ORACLE,
+        "op12_lexical_search": dualtree.ORACLE,
         "op13_filter_audit": filteraudit.ORACLE,
     }
