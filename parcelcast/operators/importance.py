@@ -4,23 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from parcelcast.contracts import ContractError, MODEL_FEATURES, ORDER_KEY, TARGET
 from parcelcast.operators.evaluation import ranking_metrics
 from parcelcast.operators.ordering import global_rank, with_scalar
-from parcelcast.operators.preprocessing import feature_names
-from parcelcast.operators.training import SEED, score_rows
+from parcelcast.operators.training import Model, SEED, score_rows
+from parcelcast.operators.trees import TreeModel
 
 
-def native_importance(model: PipelineModel) -> DataFrame:
+def native_importance(model: TreeModel) -> DataFrame:
     """The fitted trees' own importances by transformed feature name."""
-    names = feature_names(model)
-    values = model.stages[-1].featureImportances.toArray().tolist()
-    if len(names) != len(values):
-        raise ContractError("feature names and importances differ in length")
-    return SparkSession.active().createDataFrame(list(zip(names, values)), "feature string, importance double").orderBy(
+    if not isinstance(model, TreeModel):
+        raise ContractError("only trees have importances of their own")
+    return SparkSession.active().createDataFrame(model.importances(), "feature string, importance double").orderBy(
         F.desc("importance"), "feature"
     )
 
@@ -43,7 +40,7 @@ def shuffled_pairs(df: DataFrame, repeats: int, seed: int, columns: Sequence[str
 
 
 def permutation_importance(
-    model: PipelineModel, rows: DataFrame, n_repeats: int = 5, seed: int = SEED,
+    model: Model, rows: DataFrame, n_repeats: int = 5, seed: int = SEED,
     columns: Sequence[str] = tuple(MODEL_FEATURES),
 ) -> DataFrame:
     """Loss of average precision when one raw feature is shuffled: mean and deviation over repeats.

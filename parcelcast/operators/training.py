@@ -1,4 +1,4 @@
-"""Model registry, temporal cross-validation and search with Spark ML estimators."""
+"""Model registry, temporal cross-validation and search: regressions with Spark ML, trees with `operators.trees`."""
 
 from __future__ import annotations
 
@@ -7,29 +7,31 @@ import json
 import time
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import (
-    DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from pyspark.errors import AnalysisException
+
 from parcelcast.contracts import ContractError, ORDER_KEY, PREDICTION_TS, TARGET
 from parcelcast.operators.evaluation import (
     SCORE, best_f1_threshold, classification_metrics, confusion_matrix,
 )
 from parcelcast.operators.preprocessing import build_preprocessor, class_weights
 from parcelcast.operators.splits import Fold
+from parcelcast.operators.trees import TreeModel, fit_trees, score_many, settings_of
 from parcelcast.session import materialize
 
 SEED = 42
 _WEIGHT = "_weight"
-_HELD_BACK = "_held_back"
-UNLIMITED_DEPTH = 30  # the deepest tree Spark grows
+LINEAR_FAMILIES = ("logistic_regression", "linear")
+TREE_FAMILIES = ("tree", "random_forest", "ensemble", "hist_gradient_boosting", "boosting", "xgboost")
+Model = PipelineModel | TreeModel
 
 
 @dataclass(frozen=True)
@@ -132,87 +134,41 @@ def resolved_configs(ranked: DataFrame, folds: Sequence[Fold], configs: Sequence
     )
 
 
-def _weights(train: DataFrame, family: str, params: dict) -> tuple[float, float, float, int]:
-    """(weight of on-time rows, weight of late rows, total weight, rows)."""
+def _weights(train: DataFrame, params: dict) -> tuple[float, float, float]:
+    """(weight of on-time rows, weight of late rows, total weight) of a regression."""
     w = class_weights(train)
-    if family == "xgboost":
-        asked = params.get("scale_pos_weight", 1.0)
-        on_time, late = 1.0, (w["scale_pos_weight"] if asked == "auto" else float(asked))
-    elif family in ("logistic_regression", "linear") and params.get("class_weight") is None:
-        on_time, late = 1.0, 1.0
-    else:
-        on_time, late = w["balanced_0"], w["balanced_1"]
-    return on_time, late, on_time * (w["rows"] - w["positives"]) + late * w["positives"], int(w["rows"])
-
-
-def _tree_depth(leaves: int) -> int:
-    """Depth of a balanced tree with that many leaves: Spark limits trees by depth, not by leaves."""
-    return max(1, (leaves + 1).bit_length() - 1)
-
-
-def build_estimator(config: ModelConfig, total_weight: float):
-    """The Spark ML estimator of a configuration."""
-    p, family = config.params, config.family
-    common = {"labelCol": TARGET, "featuresCol": "features", "weightCol": _WEIGHT}
-    if family in ("logistic_regression", "linear"):
-        # Spark averages the loss over the weights; the penalty is divided by their sum to match
-        return LogisticRegression(
-            **common, regParam=1.0 / (p.get("C", 1.0) * total_weight), elasticNetParam=0.0, standardization=False,
-            maxIter=p.get("max_iter", 2000),
-        )
-    if family == "tree":
-        return DecisionTreeClassifier(
-            **common, maxDepth=p["max_depth"], minInstancesPerNode=p["min_samples_leaf"], seed=SEED
-        )
-    if family in ("random_forest", "ensemble"):
-        return RandomForestClassifier(
-            **common, numTrees=p["n_estimators"], maxDepth=p.get("max_depth") or UNLIMITED_DEPTH,
-            minInstancesPerNode=p["min_samples_leaf"], featureSubsetStrategy=p.get("max_features", "sqrt"), seed=SEED,
-            maxMemoryInMB=1024,
-        )
-    if family in ("hist_gradient_boosting", "boosting"):
-        return GBTClassifier(
-            **common, maxIter=p.get("max_iter", 220), stepSize=p["learning_rate"],
-            maxDepth=_tree_depth(p["max_leaf_nodes"]), minInstancesPerNode=p["min_samples_leaf"],
-            validationIndicatorCol=_HELD_BACK, validationTol=1e-7, seed=SEED,
-        )
-    if family == "xgboost":
-        return GBTClassifier(
-            **common, maxIter=p["n_estimators"], maxDepth=p["max_depth"], stepSize=p["learning_rate"],
-            minInstancesPerNode=p["min_child_weight"], subsamplingRate=p["subsample"],
-            featureSubsetStrategy=str(p["colsample_bytree"]), seed=SEED,
-        )
-    raise ContractError(f"unknown model family: {family}")
-
-
-def with_budget(config: ModelConfig, max_trees: int | None) -> ModelConfig:
-    """The configuration with at most ``max_trees`` trees or boosting rounds."""
-    if max_trees is None:
-        return config
-    if config.family in ("hist_gradient_boosting", "boosting"):
-        return replace(config, params={**config.params, "max_iter": min(config.params.get("max_iter", 220), max_trees)})
-    if "n_estimators" in config.params:
-        return replace(config, params={**config.params, "n_estimators": min(config.params["n_estimators"], max_trees)})
-    return config
+    on_time, late = (1.0, 1.0) if params.get("class_weight") is None else (w["balanced_0"], w["balanced_1"])
+    return on_time, late, on_time * (w["rows"] - w["positives"]) + late * w["positives"]
+
+
+def build_estimator(config: ModelConfig, total_weight: float) -> LogisticRegression:
+    """The Spark ML estimator of a regression."""
+    if config.family not in LINEAR_FAMILIES:
+        raise ContractError(f"unknown model family: {config.family}")
+    # Spark averages the loss over the weights; the penalty is divided by their sum to match
+    return LogisticRegression(
+        labelCol=TARGET, featuresCol="features", weightCol=_WEIGHT, elasticNetParam=0.0, standardization=False,
+        regParam=1.0 / (config.params.get("C", 1.0) * total_weight), maxIter=config.params.get("max_iter", 2000),
+    )
 
 
 def fit_model(train: DataFrame, config: ModelConfig, preprocessor: PipelineModel | None = None,
-              tasks: int | None = None) -> PipelineModel:
-    """Preprocessing and model fitted on ``train``; ``preprocessor`` may be shared by models of the same rows.
+              tasks: int | None = None) -> Model:
+    """The model fitted on ``train``; ``preprocessor`` may be shared by regressions of the same rows.
 
-    Boosting with early stopping holds back the last tenth of the rows in time, so that no later row helps
-    to choose the model. ``tasks`` merges the partitions of the vectors into fewer.
+    Trees bin the raw rows themselves. ``tasks`` merges the partitions of a regression's vectors into fewer.
     """
+    if config.family in TREE_FAMILIES:
+        bounds = train.agg(F.min("row_num").alias("lo"), F.max("row_num").alias("hi")).first()
+        rows = train.withColumn("row_num", F.col("row_num") - F.lit(bounds["lo"] - 1))
+        last = bounds["hi"] - bounds["lo"] + 1
+        return fit_trees(rows, [Fold(1, last, last)], [settings_of(config.family, config.params, SEED)])[0][0]
+    build_estimator(config, 1.0)  # refuses an unknown family before any job
     preprocessor = preprocessor or build_preprocessor(train)
-    on_time, late, total, _ = _weights(train, config.family, config.params)
+    on_time, late, total = _weights(train, config.params)
     weighted = train.withColumn(_WEIGHT, F.when(F.col(TARGET) == 1, F.lit(late)).otherwise(F.lit(on_time)))
-    if config.family in ("hist_gradient_boosting", "boosting"):
-        bounds = train.agg(F.min("row_num").alias("lo"), F.max("row_num").alias("hi")).first()
-        cut = bounds["lo"] + int((bounds["hi"] - bounds["lo"] + 1) * 0.9)
-        weighted = weighted.withColumn(_HELD_BACK, F.col("row_num") >= F.lit(cut))
-    kept = ["features", TARGET, _WEIGHT, *([_HELD_BACK] if _HELD_BACK in weighted.columns else [])]
     # every iteration reads the vectors again; lost blocks are recomputed
-    vectors = preprocessor.transform(weighted).select(*kept).persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = preprocessor.transform(weighted).select("features", TARGET, _WEIGHT).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = build_estimator(config, total).fit(vectors.coalesce(tasks) if tasks else vectors)
     finally:
@@ -226,7 +182,7 @@ def positive_probability(scored: DataFrame) -> Column:
     return F.when(F.size(column) == 2, column[1]).otherwise(F.raise_error(F.lit("expected two classes")))
 
 
-def score_rows(model: PipelineModel, rows: DataFrame) -> DataFrame:
+def score_rows(model: Model, rows: DataFrame) -> DataFrame:
     """``rows`` with a ``probability`` column, without the pipeline's intermediate columns."""
     scored = model.transform(rows)
     return scored.select(*rows.columns, positive_probability(scored).alias(SCORE))
@@ -257,23 +213,37 @@ def side_by_side(spark: SparkSession, work: Callable, tasks: Sequence, paralleli
 
 def train_compare(
     train: DataFrame, validation: DataFrame, configs: Sequence[ModelConfig] | None = None, parallelism: int = 4
-) -> tuple[DataFrame, dict[str, PipelineModel], DataFrame]:
+) -> tuple[DataFrame, dict[str, Model | None], DataFrame]:
     """Fit each model on train and rank them by average precision on validation.
 
-    Returns the ranking, the fitted models, and the validation scores of all models.
+    Returns the ranking, the fitted models, and the validation scores of all models. Trees grow together, beside the
+    other fits; their time is shared out evenly.
     """
-    preprocessor = build_preprocessor(train)
     configs = list(configs or model_registry())
-    fitted = side_by_side(
-        train.sparkSession, lambda c: fit_and_score(train, validation, c, preprocessor), configs, parallelism
-    )
-    models = {c.config_id: model for c, (model, _, _) in zip(configs, fitted)}
-    seconds = [(c.config_id, c.family, float(spent)) for c, (_, _, spent) in zip(configs, fitted)]
-    parts = [
-        scored.select(F.lit(c.config_id).alias("model"), *_KEPT) for c, (_, scored, _) in zip(configs, fitted)
-    ]
+    others = [c for c in configs if c.family not in TREE_FAMILIES]
+    grown = [c for c in configs if c.family in TREE_FAMILIES]
+    spark, last = train.sparkSession, train.agg(F.max("row_num")).first()[0]
+    preprocessor = build_preprocessor(train) if any(c.family in LINEAR_FAMILIES for c in others) else None
+
+    def work(config: ModelConfig | None):
+        if config is not None:
+            return fit_and_score(train, validation, config, preprocessor)
+        started = time.perf_counter()
+        models = fit_trees(train, [Fold(1, last, last)], [settings_of(c.family, c.params, SEED) for c in grown])[0]
+        return models, None, time.perf_counter() - started
+
+    *fitted, forest = side_by_side(spark, work, [*others, None], parallelism) if grown else [*side_by_side(spark, work, others, parallelism), None]
+    models = {c.config_id: model for c, (model, _, _) in zip(others, fitted)}
+    seconds = {c.config_id: spent for c, (_, _, spent) in zip(others, fitted)}
+    parts = [scored.select(F.lit(c.config_id).alias("model"), *_KEPT) for c, (_, scored, _) in zip(others, fitted)]
+    if forest:
+        trees = {c.config_id: m for c, m in zip(grown, forest[0])}
+        models |= trees
+        seconds |= {c: forest[2] / len(trees) for c in trees}
+        parts.append(score_many(validation, trees, _KEPT[:3], "model").select("model", *_KEPT))
     scores = materialize(reduce(DataFrame.unionByName, parts))
-    timing = train.sparkSession.createDataFrame(seconds, "model string, family string, fit_seconds double")
+    timing = spark.createDataFrame([(c.config_id, c.family, float(seconds[c.config_id])) for c in configs],
+                                   "model string, family string, fit_seconds double")
     ranking = classification_metrics(scores, groups=["model"]).join(timing, "model")
     return ranking.orderBy(F.desc("pr_auc"), "model"), models, scores
 
@@ -315,28 +285,46 @@ def run_search(
 ) -> tuple[DataFrame, DataFrame]:
     """(fold metrics, out-of-fold scores) of all configurations.
 
-    Each fold's preprocessing is fitted once and shared by the configurations; the (configuration, fold) fits
-    run side by side.  Every fit sees rows up to its fold's train end only.
+    The trees of all (configuration, fold) pairs grow together; the regressions run side by side with them, on
+    preprocessing fitted once per fold. Every fit sees rows up to its fold's train end only. The time of the trees is shared
+    out evenly.
     """
     spark, position = ranked.sparkSession, F.col("row_num")
     trains = {f.number: ranked.filter(f.in_train(position)) for f in folds}
-    fitted = side_by_side(spark, lambda f: build_preprocessor(trains[f.number]), folds, parallelism)
-    preprocessors = {f.number: p for f, p in zip(folds, fitted)}
+    grown = [c for c in configs if c.family in TREE_FAMILIES]
+    others = [c for c in configs if c.family not in TREE_FAMILIES]
+    family = {c.config_id: c.family for c in configs}
+    kept = ["config_id", "model_family", *_KEPT, "fold"]
+
+    def forest():
+        started = time.perf_counter()
+        fitted = fit_trees(ranked, folds, [settings_of(c.family, c.params, SEED) for c in grown])
+        spent = (time.perf_counter() - started) / (len(grown) * len(folds))
+        named = F.create_map(*[F.lit(x) for c in grown for x in (c.config_id, c.family)])
+        parts = [
+            score_many(ranked.filter(f.in_validation(position)), {c.config_id: m for c, m in zip(grown, models)}, _KEPT[:3])
+            .select("config_id", named[F.col("config_id")].alias("model_family"), *_KEPT, F.lit(f.number).alias("fold"))
+            for f, models in zip(folds, fitted)
+        ]
+        return parts, [(c.config_id, f.number, spent) for c in grown for f in folds]
 
     def one(task: tuple[ModelConfig, Fold]):
         config, fold = task
         _, scored, spent = fit_and_score(
-            trains[fold.number], ranked.filter(fold.in_validation(position)), config, preprocessors[fold.number]
+            trains[fold.number], ranked.filter(fold.in_validation(position)), config, preprocessors.get(fold.number)
         )
-        named = scored.select(
-            F.lit(config.config_id).alias("config_id"), F.lit(config.family).alias("model_family"), *_KEPT,
-            F.lit(fold.number).alias("fold"),
-        )
-        return named, (config.config_id, fold.number, float(spent))
-
-    done = side_by_side(spark, one, [(c, f) for c in configs for f in folds], parallelism)
-    scores = materialize(reduce(DataFrame.unionByName, [part for part, _ in done]))
-    timing = spark.createDataFrame([row for _, row in done], "config_id string, fold int, fit_seconds double")
+        named = scored.withColumns({"config_id": F.lit(config.config_id), "model_family": F.lit(family[config.config_id]),
+                                    "fold": F.lit(fold.number)})
+        return [named.select(*kept)], [(config.config_id, fold.number, float(spent))]
+
+    preprocessors: dict[int, PipelineModel] = {}
+    if any(c.family in LINEAR_FAMILIES for c in others):
+        fitted = side_by_side(spark, lambda f: build_preprocessor(trains[f.number]), folds, parallelism)
+        preprocessors = {f.number: p for f, p in zip(folds, fitted)}
+    tasks = ([None] if grown else []) + [(c, f) for c in others for f in folds]
+    done = side_by_side(spark, lambda task: one(task) if task else forest(), tasks, parallelism)
+    scores = materialize(reduce(DataFrame.unionByName, [part for parts, _ in done for part in parts]))
+    timing = spark.createDataFrame([row for _, rows in done for row in rows], "config_id string, fold int, fit_seconds double")
     return fold_metrics(scores).join(timing, ["config_id", "fold"]), scores
 
 
@@ -375,18 +363,27 @@ def family_summary(summary: DataFrame) -> DataFrame:
     )
 
 
-def refit_best(development: DataFrame, config: ModelConfig) -> PipelineModel:
+def refit_best(development: DataFrame, config: ModelConfig) -> Model:
     return fit_model(development, config)
 
 
-def save_model(model: PipelineModel, path: str) -> str:
-    model.write().overwrite().save(path)
+_TREES = "trees"
+
+
+def save_model(model: Model, path: str) -> str:
+    if isinstance(model, TreeModel):
+        model.save(SparkSession.active(), f"{path}/{_TREES}")
+    else:
+        model.write().overwrite().save(path)
     return path
 
 
-def load_model(path: str, probe: DataFrame | None = None) -> PipelineModel:
+def load_model(path: str, probe: DataFrame | None = None) -> Model:
     """Reload a model; with ``probe`` rows, refuse it unless every score is finite and within [0, 1]."""
-    model = PipelineModel.load(path)
+    try:
+        model = TreeModel.load(SparkSession.active(), f"{path}/{_TREES}")
+    except AnalysisException:  # no such folder: a pipeline
+        model = PipelineModel.load(path)
     if probe is not None:
         s = F.col(SCORE)
         bad = score_rows(model, probe).filter(~F.coalesce(s.between(0.0, 1.0), F.lit(False))).limit(1).count()

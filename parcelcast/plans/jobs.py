@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from parcelcast.contracts import ORDER_KEY, PREDICTION_TS, TARGET
 from parcelcast.operators import cleaning, drift, evaluation, features, importance, scoring, splits, training
 from parcelcast.operators.evaluation import SCORE
+from parcelcast.operators.trees import TreeModel
 from parcelcast.session import materialize, scratch_path
 from parcelcast.sources import files, standins
 
@@ -86,7 +86,7 @@ def tuning_job(split: DataFrame, configs: Sequence[training.ModelConfig], n_spli
 
 
 def evaluation_job(
-    model: PipelineModel, development: DataFrame, test: DataFrame, oof: DataFrame, rules: DataFrame,
+    model: training.Model, development: DataFrame, test: DataFrame, oof: DataFrame, rules: DataFrame,
     fold_metrics: DataFrame, config_id: str, repeats: int = 5,
 ) -> dict[str, DataFrame]:
     """All reports of a tuned candidate; the scored test rows are written once and shared."""
@@ -110,7 +110,7 @@ def evaluation_job(
             "approval_lag_hours", "distance_band", "promise_band", "approval_lag_band", "prediction_month",
         ),
     }
-    if hasattr(model.stages[-1], "featureImportances"):
+    if isinstance(model, TreeModel):
         reports["native_importance"] = importance.native_importance(model)
     return reports
 

@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from parcelcast import contracts as K
-from parcelcast.operators import evaluation, importance, preprocessing, profiling, splits, training
+from parcelcast.operators import evaluation, importance, preprocessing, profiling, splits, training, trees
 from parcelcast.plans import jobs
 
 
@@ -75,8 +75,10 @@ def test_registries():
     assert len(full) == 22 and {c.family for c in quick} == set(training.SEARCH_GRIDS)
     assert full[1].params == {"C": 0.1, "class_weight": "balanced"} and full[1].config_id == "logistic_regression_02"
     assert [c.config_id for c in full if c.family == "xgboost"][-1] == "xgboost_08"
-    assert [training._tree_depth(n) for n in (15, 31)] == [4, 5]
-    assert training.with_budget(quick[1], 7).params["n_estimators"] == 7
+    assert [trees.settings_of(c.family, c.params, 1).max_leaves for c in full if c.family == "hist_gradient_boosting"] == [15, 31, 15, 31]
+    xgb = trees.settings_of("xgboost", quick[-1].params, 1)
+    assert (xgb.l2, xgb.column_share, xgb.row_share, xgb.min_weight, xgb.late_weight, xgb.patience) == (2.0, 0.85, 0.85, 5, "scale", None)
+    assert trees.settings_of("boosting", training.model_registry()[-1].params, 1).patience == 15
 
 
 def test_temporal_search_end_to_end(ranked, tmp_path):
@@ -108,9 +110,9 @@ def test_shuffle_is_a_permutation_within_each_repeat(ranked):
     assert all(r.d == r.o for r in same)
 
 
-def test_boosting_with_early_stopping_keeps_several_trees(ranked):
+def test_boosting_keeps_several_trees(ranked):
     config = training.ModelConfig("b", "boosting", {"learning_rate": 0.1, "max_iter": 5, "max_leaf_nodes": 7, "min_samples_leaf": 5})
-    assert training.fit_model(ranked, config).stages[-1].getNumTrees > 1
+    assert training.fit_model(ranked, config).n_trees == 5
 
 
 def test_unknown_family():
