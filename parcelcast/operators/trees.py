@@ -48,6 +48,7 @@ BLOCK_ROWS = 4096
 LEAST_BLOCK_ROWS = 256
 LOCAL_ROWS = 1 << 16
 ROUNDS_AT_ONCE = 25
+TABLE_CELLS = 1 << 22  # histogram cells of a level that a task holds at most
 CHECKPOINT_TREES = 24
 HELD_BACK = 0.1
 LEAST_GAIN = 1e-7
@@ -437,25 +438,64 @@ def place_rows(nodes: Nodes, bins: np.ndarray, path: np.ndarray) -> np.ndarray:
     return path
 
 
+class LevelTables:
+    """Histograms over all features of the open nodes of a level.
+
+    Only the smaller child of a split is counted, the other is what remains of the parent: whole numbers, so nothing is lost.
+    """
+
+    def __init__(self, bins: np.ndarray, stats: np.ndarray, spec: BinSpec):
+        self.stats, self.width = stats, spec.width * len(spec.sizes)
+        self.base = bins + np.arange(len(spec.sizes), dtype=np.int64) * spec.width
+        self.of: dict[int, np.ndarray] = {}
+
+    def count(self, path: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        """(nodes x cells x sums) of the rows whose path is among the sorted ``wanted``."""
+        node = np.minimum(np.searchsorted(wanted, path), len(wanted) - 1)
+        rows = np.flatnonzero(wanted[node] == path)
+        key = (self.base[rows] + (node[rows] * self.width)[:, None]).ravel()
+        features, size = self.base.shape[1], len(wanted) * self.width
+        sums = [np.bincount(key, weights=np.repeat(self.stats[rows, s], features), minlength=size) for s in range(3)]
+        return np.stack(sums, axis=1).reshape(len(wanted), self.width, 3)
+
+    def level(self, path: np.ndarray, paths: np.ndarray, totals: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Occupied cells of all open nodes, keyed by the node's place in ``paths``."""
+        smaller = {p: min((p, p ^ 1), key=lambda c: (totals[c][2], c)) if p // 2 in self.of else p for p in paths.tolist()}
+        counted = np.unique(list(smaller.values()))
+        tables = dict(zip(counted.tolist(), self.count(path, counted)))
+        self.of = {p: tables[p] if p in tables else self.of[p // 2] - tables[p ^ 1] for p in paths.tolist()}
+        key, sums = [], []
+        for i, p in enumerate(paths.tolist()):
+            at = np.flatnonzero(self.of[p][:, 2])
+            key.append(at + i * self.width)
+            sums.append(self.of[p][at])
+        return np.concatenate(key), np.concatenate(sums)
+
+
 def grow(bins: np.ndarray, stats: np.ndarray, root: int, rule: Rule, spec: BinSpec) -> Nodes:
     """The branch below ``root``, grown from all its rows."""
     out = Nodes(totals={root: stats.sum(axis=0)})
     rule.balance(out.totals[root])
+    tables = LevelTables(bins, stats, spec) if rule.settings.node_columns is None else None
     rows, path, todo = np.arange(len(bins)), np.full(len(bins), root), [root]
     todo = todo if out.totals[root][2] >= 2 * max(1, rule.settings.min_rows) else []
     while todo:
         paths = np.array(sorted(todo))
         node = np.minimum(np.searchsorted(paths, path), len(paths) - 1)
         inside = paths[node] == path
-        rows, path, node = rows[inside], path[inside], node[inside]
         features, categories = rule.candidates(spec, paths)
-        key, sums = cells(bins[rows], stats[rows], node, features, categories, spec.width)
+        if tables and len(paths) * tables.width <= TABLE_CELLS:
+            key, sums = tables.level(path, paths, out.totals)
+        else:
+            rows, path, node = rows[inside], path[inside], node[inside]
+            key, sums = cells(bins[rows], stats[rows], node, features, categories, spec.width)
+            inside, tables = np.ones(len(rows), dtype=bool), None
         totals = np.stack([out.totals[int(p)] for p in paths])
         split = best_splits(rule, spec, key, sums, totals, features, categories)
-        kept = split.feature[node] >= 0
-        rows, path, node = rows[kept], path[kept], node[kept]
-        b = bins[rows, split.feature[node]]
-        path = 2 * path + ~np.where(split.equal[node], b == split.cut[node], b <= split.cut[node])
+        moving = np.flatnonzero(inside & (split.feature[node] >= 0))
+        at = node[moving]
+        b = bins[rows[moving], split.feature[at]]
+        path[moving] = 2 * path[moving] + ~np.where(split.equal[at], b == split.cut[at], b <= split.cut[at])
         todo = out.worth_opening(out.add(paths, split), rule.settings, root)
     return out
 
