@@ -3,7 +3,9 @@
 Markup is stripped to lines, one per block element. Parts that by their element, role, class or id are menus, headers,
 footers, sidebars, notices, adverts, forms or comments become empty lines, and so does every border between layout boxes
 outside an article or main element. Class and id words count as a whole or as the head noun of a name (``site-header``, not
-``has-sidebar``), and a part with most of the page's text is no noise. The text lengths are summed over windows of ``window``
+``has-sidebar``), and a part with most of the page's text is no noise. Headings and inline elements are never noise by such words,
+nor are paragraphs inside an article or main element; there, boxes are not so by the words of TOPICS, and by an id only if it
+says comments, sharing or adverts. Embedded media (svg, video, ...) and select boxes leave the line they stand in whole. The text lengths are summed over windows of ``window``
 lines: the sum surges where a run of text begins and dives to zero after it ends. A run is dense if its largest window reaches
 ``surge`` characters; if none does, the longest run is taken.
 
@@ -13,7 +15,12 @@ else is, the region is the outermost boxes with dense runs, what lies between th
 page part (navigation, header, footer, menu, form) or menu. Parts dropped inside a region do not end it. Of unmarked parts,
 two links or more without other text are a menu, if they are not dense.
 
-Null, empty and text-free pages give the empty text. Repeated rows give equal texts; other columns are ignored.
+Broken markup loses no more than itself: an element that is never closed, or a slash in its tag, takes nothing along, a quote that
+is never closed ends with its tag; only script, style and comments without an end run to the end of the page. Tags are found in
+one pass that is linear in the page, however long or broken.
+
+Null, empty and text-free pages give the empty text. Repeated rows give equal texts, rows of equal or null ids one each;
+very long pages are read whole; an empty table gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,8 +36,12 @@ from pyspark.sql import DataFrame
 from parcelcast.llm.common import bound_batches, table
 
 # Element names of HTML
-RAW = "script|style|noscript|template|textarea|title|iframe|object|svg|math|select|canvas|audio|video"
-SKIPPED = frozenset("head nav header footer aside form menu dialog button fieldset figcaption".split())
+RAW = frozenset("script style noscript template textarea title".split())
+ENDLESS = frozenset("script style".split())  # that run to the end of the page if nothing closes them
+EMBEDDED = frozenset("iframe object svg math select canvas audio video".split())
+SKIPPED = frozenset("head nav header footer aside form menu dialog button fieldset".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike "
+                   "strong sub sup time tt u var wbr br picture".split())
 BOXES = frozenset("div section article main body center table tbody tr td th".split())
 BLOCKS = BOXES | frozenset(
     "p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre hr address figure details summary caption hgroup html".split())
@@ -44,6 +55,8 @@ NOISE = re.compile(
     r"comments?|replies|respond|disqus|related|recommend\w*|share|sharing|social|newsletter|subscribe|signup|login|search|"
     r"pagination|pager|toc|tags|skip|hidden|legal|disclaimer")
 TALK = re.compile(r"comments?|replies|respond|disqus|hidden")
+TOPICS = frozenset("legal disclaimer search alert alerts".split())  # classes that an article may give to boxes of its own
+INSIDE_ID = re.compile(r"ads?|advert\w*|adsense|sponsor\w*|comments?|replies|respond|disqus|share|sharing|social")
 # Words at the end of a class name that leave the noun before them as its head, and words that turn it into something else
 HOLDERS = frozenset("area bar block box button buttons container content group icon icons inner item items left link links list "
                     "outer panel post posts right row section slot top bottom unit wrap wrapper".split())
@@ -51,9 +64,8 @@ ABOUT = frozenset("has no not non with without show hide use enable disable over
 OWN = frozenset("article entry post story content text".split())  # whose header and footer belong to the text
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
-_DROPPED = re.compile(rf"<!--.*?(?:-->|$)|<({RAW})\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</\1\s*>|$)|<[!?][^>]*>",
-                      re.S | re.I)
-_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>")
+_OPEN = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][a-zA-Z0-9:-]*))")
+_QUOTE = re.compile(r"=\s*+([\"'])")
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 
 
@@ -74,8 +86,79 @@ def _noise_word(token: str) -> str:
     return words[-1]
 
 
-def _noise(name: str, attributes: str) -> str:
+class Tag(NamedTuple):
+    start: int
+    end: int
+    closing: bool
+    name: str
+    attributes: str
+
+
+def _tags(page: str) -> tuple[str, list[Tag]]:
+    """The page without comments, declarations and raw elements, and its tags: one pass from left to right."""
+    out, tags, size, at = [], [], 0, 0
+    last = {c: page.rfind(c) for c in "\"'>"}
+    quotes, open_raw = True, set()
+
+    def tag_end(i: int) -> int:
+        """Place of the ``>`` that ends a tag whose name ends at ``i``; quoted values are passed over."""
+        nonlocal quotes
+        first = page.find(">", i)
+        if not quotes:
+            return first
+        while True:
+            end = page.find(">", i)
+            if end < 0:
+                quotes = False  # a quote swallowed all ends: from here on quotes do not count
+                return first
+            quoted = _QUOTE.search(page, i, end)
+            if not quoted or last[quoted[1]] < quoted.end():
+                return end
+            i = page.find(quoted[1], quoted.end()) + 1
+
+    def keep(a: int, b: int) -> None:
+        nonlocal size
+        out.append(page[a:b])
+        size += b - a
+
+    start = 0
+    while (found := _OPEN.search(page, at)) and (found[1] or found.start() < last[">"]):
+        if found[1]:
+            end = page.find("-->", found.end())
+            end = len(page) if end < 0 else end + 3
+            drop = True
+        elif found[2]:
+            end, drop = page.find(">", found.end()) + 1, True
+        else:
+            end, name = tag_end(found.end()) + 1, found[4].lower()
+            drop = name in RAW
+            if drop and not found[3] and name not in open_raw:
+                close = re.compile(rf"</{name}\s*>", re.I).search(page, end)
+                if close:
+                    end = close.end()
+                elif name in ENDLESS:
+                    end = len(page)
+                else:
+                    open_raw.add(name)  # nothing closes it any more
+        if drop:
+            keep(start, found.start())
+            out.append(" ")
+            size += 1
+            start = end
+        else:
+            keep(start, found.start())
+            tags.append(Tag(size, size + end - found.start(), bool(found[3]), name, page[found.end(): end - 1]))
+            keep(found.start(), end)
+            start = end
+        at = end
+    keep(start, len(page))
+    return "".join(out), tags
+
+
+def _noise(name: str, attributes: str, inside: bool) -> str:
     """Why an element is noise: ``element`` by what it is, ``name`` by its class or id, empty if it is none."""
+    if name == "header" and inside:
+        return ""
     if name in SKIPPED:
         return "name" if name in ("form", "fieldset") else "element"
     if not attributes or name in CONTENT or name == "body" or name == "html":
@@ -87,20 +170,23 @@ def _noise(name: str, attributes: str) -> str:
         return "element"
     if re.search(r"display\s*:\s*none", found.get("style", "")):
         return "element"
-    words = [w for key in ("class", "id") for token in found.get(key, "").split() if (w := _noise_word(token))]
+    if name in INLINE or name in HEADINGS or inside and name == "p":
+        return ""
+    words = [w for key in ("class", "id") for token in found.get(key, "").split() if (w := _noise_word(token))
+             and (not inside or (w not in TOPICS if key == "class" else INSIDE_ID.fullmatch(w)))]
     return "" if not words else "element" if any(TALK.fullmatch(w) for w in words) else "name"
 
 
-def _partners(tags: list[re.Match]) -> dict[int, int]:
+def _partners(tags: list[Tag]) -> dict[int, int]:
     """For the opening tags that are closed, the number of the closing tag."""
     open_by_name: dict[str, list[int]] = {}
     closed = {}
     for i, tag in enumerate(tags):
-        name = tag[2].lower()
-        if tag[1]:
+        name = tag.name
+        if tag.closing:
             if stack := open_by_name.get(name):
                 closed[stack.pop()] = i
-        elif name not in VOID:
+        elif name not in VOID and not (name in EMBEDDED and tag.attributes.endswith("/")):
             open_by_name.setdefault(name, []).append(i)
     return closed
 
@@ -115,7 +201,7 @@ class Line(NamedTuple):
     ends: bool = False  # a dropped part that ends the text of the page
 
 
-def _parse(page: str, tags: list[re.Match], closed: dict[int, int], opened: set[int], window: int):
+def _parse(page: str, tags: list[Tag], closed: dict[int, int], opened: set[int], window: int):
     """Lines, the dropped elements (tag, why, inside), and whether an article or main element stands outside of those."""
     lines: list[Line] = []
     dropped: list[tuple[int, str, bool]] = []
@@ -140,22 +226,26 @@ def _parse(page: str, tags: list[re.Match], closed: dict[int, int], opened: set[
     at, i = 0, 0
     while i < len(tags):
         tag = tags[i]
-        text = page[at: tag.start()]
+        text = page[at: tag.start]
         held.append(text)
         if anchor:
             linked += len(text.strip())
-        at, name = tag.end(), tag[2].lower()
-        why = "" if tag[1] or i not in closed or i in opened or inside and name == "header" and not tag[3] else _noise(name, tag[3])
-        if why:
+        at, name = tag.end, tag.name
+        why = "" if tag.closing or i not in closed or i in opened else _noise(name, tag.attributes, inside > 0)
+        if not tag.closing and i in closed and (name in EMBEDDED or why and name in INLINE):
+            i = closed[i]  # leaves its line whole
+            at = tags[i].end
+            held.append(" ")
+        elif why:
             flush()
             if not inside:
                 lines.extend(gap)
                 lines.append(Line("", top=top, ends=name in ENDS))
             dropped.append((i, why, inside > 0))
             i = closed[i]
-            at = tags[i].end()
+            at = tags[i].end
         elif name in CONTENT:
-            if tag[1]:
+            if tag.closing:
                 flush()
                 inside = max(0, inside - 1)
                 border()
@@ -165,17 +255,17 @@ def _parse(page: str, tags: list[re.Match], closed: dict[int, int], opened: set[
                 content = True
         elif name in BOXES:
             border()
-            if not tag[1] and i > top_end and i in closed and name not in ("body", "center"):
+            if not tag.closing and i > top_end and i in closed and name not in ("body", "center"):
                 top, top_end = i, closed[i]
             elif i == top_end:
                 top = -1
         elif name in BLOCKS:
             flush()
-            heading = not tag[1] and len(name) == 2 and name in HEADINGS
+            heading = not tag.closing and len(name) == 2 and name in HEADINGS
         elif name == "br":
             held.append(" ")
         elif name == "a":
-            anchor = int(not tag[1])
+            anchor = int(not tag.closing)
             links += anchor
         i += 1
     held.append(page[at:])
@@ -208,8 +298,7 @@ def page_lines(page: str, window: int = 3, surge: int = 80) -> list[Line]:
     A part that looks like noise but holds most of the page's text is opened: by name, if no article or main element is
     outside of it; as an element of its kind (or comments), if moreover nothing dense is.
     """
-    page = _DROPPED.sub(" ", page)
-    tags = list(_TAG.finditer(page))
+    page, tags = _tags(page)
     closed = _partners(tags)
     opened: set[int] = set()
     sums: list[int] = []  # characters of text, and of text in links, up to each tag
@@ -222,10 +311,10 @@ def page_lines(page: str, window: int = 3, surge: int = 80) -> list[Line]:
         if not sums:
             at = total = link_total = anchor = 0
             for tag in tags:
-                n = len("".join(page[at: tag.start()].split()))
-                total, link_total, at = total + n, link_total + n * anchor, tag.end()
-                if tag[2] in "aA":
-                    anchor = int(not tag[1])
+                n = len("".join(page[at: tag.start].split()))
+                total, link_total, at = total + n, link_total + n * anchor, tag.end
+                if tag.name == "a":
+                    anchor = int(not tag.closing)
                 sums.append(total)
                 link_sums.append(link_total)
             total += len("".join(page[at:].split()))
