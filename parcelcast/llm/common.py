@@ -61,12 +61,12 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"], _POWERS["down"]
 
 
-def text_slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Row ranges of about SLICE_BYTES of text."""
+def text_slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``limit`` bytes of text."""
     sizes = np.diff(_offsets(texts))
     start, held = 0, 0
     for i, size in enumerate(sizes.tolist()):
-        if held and held + size > SLICE_BYTES:
+        if held and held + size > limit:
             yield start, i
             start, held = i, 0
         held += size

@@ -22,6 +22,7 @@ from parcelcast.llm.common import Words, bound_batches, distinct, mix, scan, tex
 from parcelcast.llm.labelled import held_out, platt, training_sample
 
 BITS = 18
+ACCEPT_BYTES = 1 << 18  # text whose n-grams ``accept`` holds at once; a longer document is taken by itself
 
 
 def _kinds() -> np.ndarray:
@@ -164,12 +165,15 @@ def score(docs: DataFrame, model: QualityModel, threshold: float = 0.3) -> DataF
 def accept(docs: DataFrame, model: QualityModel, threshold: float = 0.3) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose score reaches the threshold."""
 
-    def run(batches):
-        for batch, words in scan(batches):
-            margins = np.array([model.margin(ids) for ids in feature_ids(words)])
-            yield batch.filter(pa.array(model.score(margins) >= threshold))
+    @F.arrow_udf("boolean")
+    def good(texts: pa.Array) -> pa.Array:
+        margins = []
+        for lo, hi in text_slices(texts, ACCEPT_BYTES):
+            margins += [model.margin(ids) for ids in feature_ids(Words(texts.slice(lo, hi - lo)))]
+        return pa.array(model.score(np.array(margins, dtype=np.float64)) >= threshold)
 
-    return bound_batches(docs).mapInArrow(run, docs.schema)
+    # only the texts go to Python and only the verdicts come back
+    return bound_batches(docs).filter(good(F.coalesce("text", F.lit(""))))
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, max_rows: int = 5000) -> DataFrame:
