@@ -6,13 +6,14 @@ import math
 import random
 import re
 import time
+import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from parcelcast.llm import dualtree, filteraudit, secrets
+from parcelcast.llm import dualtree, filteraudit, htmltext, nbsvm, secrets, toxicity
 
 SCHEMA = "doc_id long, text string, source string, part string, mask int, print string, salt string, item long, score string, n int, terms string"
 AWKWARD = [None, "", " \t\n", "one", "One TWO", "É Öx9 é", "A b c d é " * 40, "z " * 30000, "x" * 200000, "secret", "#"]
@@ -270,3 +271,97 @@ def test_lehmer_rank_is_the_place_in_the_list():
     assert [filteraudit.lehmer_rank(o, 5) for o in every] == list(range(120))
     for prefix in itertools.permutations(range(5), 2):
         assert filteraudit.lehmer_rank(prefix, 5) == next(i for i, o in enumerate(every) if o[:2] == prefix)
+
+
+# --- op 2
+
+
+def sentence(rng, least=60):
+    out = ""
+    while len(out) < least:
+        out += rng.choice(["river", "stone", "über", "light & shade", "a < b", "éclair", "x"]) + rng.choice([" ", ", ", ". "])
+    return " ".join(out.split())
+
+
+def escape(text):
+    return text.replace("&", "&amp;").replace("<", "&lt;").replace("é", "&eacute;")
+
+
+def planted_page(seed):
+    """(html, article): page furniture of many kinds around and inside an article whose text is known."""
+    rng = random.Random(seed)
+    noise = [
+        '<div class="share-buttons"><a href="#">Share</a></div>', '<aside><p>Aside</p></aside>', '<div class="ad">Buy this</div>',
+        "<form><p>Name</p><input></form>", "<script>var x = '<p>no</p>' < 3;</script>", "<style>p > b { }</style>", "<!-- <p>no</p> -->",
+        '<div id="comments"><p>First!</p></div>', '<nav><ul><li><a href="/">Home</a></li></ul></nav>']
+    inline = ["", '<svg viewBox="0"/>', "<svg><path d='M0'/></svg>", "<video src=x>", '<span class="side">', "<b>", '<i title="a > b">']
+    blocks, body = [], []
+    for i in range(rng.randrange(3, 9)):
+        kind = rng.choice(["p", "p", "h2", "li", "short", "figure", "nested"])
+        text = sentence(rng) if kind not in ("h2", "short") else rng.choice(["Related", "Search", "The end", "Alerts & ads"])
+        inner = escape(text)
+        if (opened := rng.choice(inline)) and " " in inner and "&" not in inner:
+            head, tail = inner.split(" ", 1)
+            close = "</span>" if "span" in opened else "</b>" if opened == "<b>" else "</i>" if opened.startswith("<i") else ""
+            inner = f"{head} {opened}{tail}{close}"
+        body.append({"p": f"<p>{inner}</p>", "short": f'<p id="notice">{inner}</p>', "h2": f'<h2 id="related">{inner}</h2>', "li": f"<ul><li>{inner}</li></ul>",
+                     "figure": f"<figure><img src=x><figcaption>{inner}</figcaption></figure>",
+                     "nested": f'<section id="legal"><div><p>\n  {inner}\n</p></div></section>'}[kind])
+        blocks.append(text)
+        if rng.random() < 0.5:
+            body.append(rng.choice(noise))
+    title = sentence(rng, 10)
+    page = ("<!DOCTYPE html><html><head><title>T</title></head><body><header class='site-header'><a href='/'><svg/>Logo</a></header>"
+            f"{rng.choice(noise)}<article><header class='entry-header'><h1>{escape(title)}</h1></header>{''.join(body)}</article>"
+            f"{rng.choice(noise)}<footer><p>Copyright</p></footer></body></html>")
+    return page, "\n".join(" ".join(b.split()) for b in [title, *blocks])
+
+
+def test_planted_articles_come_out_whole(spark):
+    pages = [planted_page(seed) for seed in range(200)]
+    rows = [(i, "u", h, "t", 1) for i, (h, _) in enumerate(pages)] + [(None, None, None, "t", 1), (1, "u", pages[1][0], "t", 1)]
+    got = htmltext.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r["text"] == ("" if r["page_id"] is None else pages[r["page_id"]][1]) and r["n_chars"] == len(r["text"])
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<p>A <svg class='i'/> B</p><p>After</p>", "A B\nAfter"), ("<p>A <video src=x> B</p><p>After</p>", "A B\nAfter"),
+    ("<p>A <select><option>no</select> B</p>", "A B"), ("<p title='a > b'>x</p>", "x"), ('<p title="open>x</p><p>y</p>', "x\ny"),
+    ("<p>a <b c</p>", "a"), ("a < b and c > d", "a < b and c > d"), ("<script>x", ""), ("x<!-- y", "x"), ("<textarea>x", "x")])
+def test_broken_markup_loses_no_more_than_itself(html, text):
+    assert htmltext.main_text(html) == text
+
+
+@pytest.mark.parametrize("piece", ['<b "', "<svg ", '<a b="', '<a b=">" c', "<", "<!--", "<script>", "<textarea>", "<div>", "<p a='", "<p>x", '<div class="ad">x</div>'])
+def test_broken_pages_of_a_megabyte_take_seconds(piece):
+    started = time.process_time()
+    htmltext.main_text("<p>" + piece * (1_000_000 // len(piece)))
+    assert time.process_time() - started < 15
+
+
+# --- op 5 and op 10
+
+
+@pytest.mark.parametrize("labels", [[], [1], [0, 1], [1, 0, 1], [0, 0, 0, 1], [1, 1, 1, 1, 0, 0], [0, 0, 0, 0, 1]])
+def test_few_labels_give_scores(spark, labels):
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 5]
+    docs = documents(spark, [(i, f"good text number {i}" if i % 2 else "vile vile words", "s") for i in range(40)] + [(None, None, None)])
+    marks = spark.createDataFrame([(ids[k], y, y) for k, y in enumerate(labels)], "doc_id long, toxic int, quality int")
+    for module in (toxicity, nbsvm):
+        got = module.classify(docs, marks).collect()
+        assert len(got) == 41 and all(0 <= r["score"] <= 1 for r in got)
+
+
+def test_accepted_rows_are_those_that_score_enough(spark):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(["good", "fine", "text"] if i % 2 else ["#", "$$", "zz"]) for _ in range(30)) for i in range(60)] + AWKWARD
+    docs = documents(spark, [(i, t, "s") for i, t in enumerate(texts)] + [(None, texts[1], "s"), (3, texts[2], "s")])
+    marks = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    model = nbsvm.fit(docs, marks)
+    kept = nbsvm.accept(docs, model)
+    scored = nbsvm.score(docs, model).filter("predicted = 1")
+    key = lambda rows: sorted(str(r["doc_id"]) for r in rows)
+    assert kept.columns == docs.columns and 0 < kept.count() < len(texts)
+    assert key(kept.collect()) == key(scored.collect())
