@@ -1020,17 +1020,23 @@ def _(d: Data):
     return evaluation.rule_metrics(d.scored, evaluation.operating_thresholds(d.scored))
 
 
+def _evaluated(d: Data):
+    """(reports, ledger) of the candidate's evaluation: one configuration, full rounds, five repeats."""
+    config = next(c for c in training.search_configs(quick=True) if c.family == "xgboost")
+    return _shared(d.spark, d.sf_dir, "evaluation", lambda: jobs.evaluation_job(d.split, [config], scratch_path(d.spark, "evaluation")))
+
+
 @query("evaluation_job")
 def _(d: Data):
-    config = next(c for c in training.search_configs(quick=True) if c.family == "xgboost")
-    tuned = jobs.tuning_job(d.split, [config])
-    reports = jobs.evaluation_job(
-        tuned["model"], tuned["development"], d.part("test"), tuned["oof"], tuned["rules"], tuned["fold_metrics"],
-        config.config_id,
-    )
+    reports, _ = _evaluated(d)
     return jobs.long_reports({name: tidy(report) for name, report in reports.items()})
 
 
+@query("evaluation_manifest")
+def _(d: Data):
+    return _evaluated(d)[1].manifest().select("report", "inputs", "rows")
+
+
 # --- drift ---------------------------------------------------------------------------------------------------
 
 

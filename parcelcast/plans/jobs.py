@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Callable, Sequence
+from functools import cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -11,6 +11,7 @@ from parcelcast.contracts import ORDER_KEY, PREDICTION_TS, TARGET
 from parcelcast.operators import cleaning, drift, evaluation, features, importance, scoring, splits, training
 from parcelcast.operators.evaluation import SCORE
 from parcelcast.operators.trees import TreeModel
+from parcelcast.plans.ledger import Ledger, fingerprint
 from parcelcast.session import materialize, scratch_path
 from parcelcast.sources import files, standins
 
@@ -85,36 +86,75 @@ def tuning_job(split: DataFrame, configs: Sequence[training.ModelConfig], n_spli
             "best": best, "oof": oof, "rules": rules, "model": model, "development": development}
 
 
-def evaluation_job(
+def evaluation_reports(
     model: training.Model, development: DataFrame, test: DataFrame, oof: DataFrame, rules: DataFrame,
-    fold_metrics: DataFrame, config_id: str, repeats: int = 5,
-) -> dict[str, DataFrame]:
-    """All reports of a tuned candidate; the scored test rows are written once and shared."""
-    scored = materialize(evaluation.with_segments(training.score_rows(model, test)))
-    named = [("development_oof", "temporal_oof", oof), ("test", "observed_holdout_diagnostic", scored)]
-    ranking = [
-        evaluation.ranking_metrics(df).select(F.lit(n).alias("dataset"), F.lit(status).alias("evaluation_status"), "*")
-        for n, status, df in named
-    ]
+    fold_metrics: DataFrame, config_id: str, scored: DataFrame, repeats: int = 5,
+) -> dict[str, Callable[[], DataFrame]]:
+    """How to build each report of a tuned candidate; ``scored`` holds the test rows with segments and scores."""
+    def ranking() -> DataFrame:
+        named = [("development_oof", "temporal_oof", oof), ("test", "observed_holdout_diagnostic", scored)]
+        return reduce(DataFrame.unionByName, [
+            evaluation.ranking_metrics(df).select(F.lit(n).alias("dataset"), F.lit(status).alias("evaluation_status"), "*")
+            for n, status, df in named
+        ])
+
     reports = {
-        "ranking": ranking[0].unionByName(ranking[1]),
-        "rule_metrics": evaluation.rule_metrics(scored, rules),
-        "threshold_sweep": evaluation.threshold_sweep(scored),
-        "calibration": evaluation.calibration_table(scored),
-        "robustness": evaluation.temporal_robustness(fold_metrics, config_id),
-        "segments": evaluation.segment_reports(scored),
-        "drift": drift.drift_summary(development, test),
-        "permutation": importance.permutation_importance(model, test, repeats),
-        "scored": scored.select(
+        "ranking": ranking,
+        "rule_metrics": lambda: evaluation.rule_metrics(scored, rules),
+        "threshold_sweep": lambda: evaluation.threshold_sweep(scored),
+        "calibration": lambda: evaluation.calibration_table(scored),
+        "robustness": lambda: evaluation.temporal_robustness(fold_metrics, config_id),
+        "segments": lambda: evaluation.segment_reports(scored),
+        "drift": lambda: drift.drift_summary(development, test),
+        "permutation": lambda: importance.permutation_importance(model, test, repeats),
+        "scored": lambda: scored.select(
             ORDER_KEY, PREDICTION_TS, TARGET, SCORE, "customer_state", "mean_distance_km", "promised_delivery_days",
             "approval_lag_hours", "distance_band", "promise_band", "approval_lag_band", "prediction_month",
         ),
     }
     if isinstance(model, TreeModel):
-        reports["native_importance"] = importance.native_importance(model)
+        reports["native_importance"] = lambda: importance.native_importance(model)
     return reports
 
 
+def evaluation_job(
+    split: DataFrame, configs: Sequence[training.ModelConfig], path: str, repeats: int = 5, n_splits: int = 4,
+    initial: float = 0.50,
+) -> tuple[dict[str, DataFrame], Ledger]:
+    """All reports of the best configuration, with the search and the refit before them, entered in a ledger below ``path``.
+
+    A run that was stopped goes on where it was: the search, the model, the scored rows and every report are parts of
+    their own.
+    """
+    spark = split.sparkSession
+    settings = {"configs": [[c.config_id, c.family, c.params] for c in configs], "repeats": repeats, "n_splits": n_splits,
+                "initial": initial, "seed": training.SEED}
+    book = Ledger(spark, path, fingerprint({"split": split}, settings))
+    views = splits.split_views(split)
+
+    @cache
+    def development() -> DataFrame:
+        return splits.development_union(views["train"], views["validation"])
+
+    @cache
+    def searched() -> tuple[DataFrame, DataFrame]:
+        rows = development()
+        return training.run_search(rows, splits.fold_bounds(rows.count(), n_splits, initial), configs)
+
+    fold_metrics = book.table("fold_metrics", lambda: searched()[0])
+    scores = book.table("out_of_fold", lambda: searched()[1])
+    best = training.best_config(training.summarize_search(fold_metrics)).first()["config_id"]
+    config = next(c for c in configs if c.config_id == best)
+    oof = scores.filter(F.col("config_id") == best)
+    rules = book.table("rules", lambda: evaluation.operating_thresholds(oof))
+    model = book.model("model", lambda: training.refit_best(development(), config))
+    test = views["test"]
+    scored = book.table("scored_rows", lambda: evaluation.with_segments(training.score_rows(model, test)))
+    known = split.filter(F.col("split") != "test")
+    builders = evaluation_reports(model, known, test, oof, rules, fold_metrics, best, scored, repeats)
+    return {name: book.table(name, build) for name, build in builders.items()}, book
+
+
 def long_reports(reports: dict[str, DataFrame]) -> DataFrame:
     """All rows of all reports in one table: the report's name and the row as JSON, nulls included."""
     return reduce(DataFrame.unionByName, [

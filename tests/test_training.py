@@ -161,18 +161,13 @@ def test_registered_fits_do_the_whole_job(spark, monkeypatch):
             frame = frame.withColumn(name, frame["pr_auc"])
         return frame, None
 
-    def evaluate(*args, repeats=5):
-        seen["repeats"] = repeats
-        return {"ranking": rows.select("order_id"), "scored": rows}
-
-    def tune(split, configs):
-        seen["tuned"] = configs
-        return dict.fromkeys(["model", "development", "oof", "rules", "fold_metrics"])
+    def evaluate(split, configs, path, repeats=5):
+        seen["tuned"], seen["repeats"] = configs, repeats
+        return {"ranking": rows.select("order_id"), "scored": rows}, None
 
     monkeypatch.setattr(catalog.training, "run_search", search)
     monkeypatch.setattr(catalog.training, "refit_best", lambda development, config: seen.setdefault("refit", config))
     monkeypatch.setattr(catalog.training, "score_rows", lambda model, test: test.selectExpr("order_id", "0.5D AS probability"))
-    monkeypatch.setattr(jobs, "tuning_job", tune)
     monkeypatch.setattr(jobs, "evaluation_job", evaluate)
     assert catalog.QUERIES["run_search"](spark, data.sf_dir).count() == 2 * 22
     assert catalog.QUERIES["refit_best"](spark, data.sf_dir).count() == 1
