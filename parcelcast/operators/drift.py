@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from parcelcast.contracts import CATEGORICAL_FEATURES, NUMERIC_FEATURES
-from parcelcast.functions.expressions import pct, ratio
-from parcelcast.operators.ordering import COLUMN_ID, exact_quantiles, melt_numeric, named_columns, with_scalar
+from parcelcast.functions.expressions import pct, present, ratio
+from parcelcast.operators.ordering import COLUMN_ID, named_columns, with_scalar
+from parcelcast.operators.selection import ACCURACY, sketched, summarize
 
 SHARE_FLOOR = 1e-6
 MISSING_VALUE = "__MISSING__"
@@ -77,26 +78,24 @@ def numeric_psi(
 ) -> DataFrame:
     """Index of each numeric column over reference-quantile bins plus a bin for missing values.
 
-    All columns go through one job.  Fewer than three distinct edges give an index of 0.
+    Fewer than three distinct edges give an index of 0.
     """
     columns = list(columns)
     sided = _sided(reference.select(*columns), comparison.select(*columns))
     probs = {f"e{i}": i / bins for i in range(bins + 1)}
-    quantiles = exact_quantiles(melt_numeric(reference, [], columns), [COLUMN_ID], "value", probs, accuracy)
-    edges = quantiles.select(COLUMN_ID, F.array_distinct(F.array(*probs)).alias("edges"))
-    long = melt_numeric(sided, ["is_reference"], columns)
-    x = F.when(~F.isnan("value"), F.col("value"))
-    inner = F.slice("edges", F.lit(2), F.greatest(F.size("edges") - F.lit(2), F.lit(0)))
-    bin_id = F.when(x.isNull(), F.lit(_MISSING_BIN)).otherwise(
-        F.lit(1) + F.size(F.filter(inner, lambda e: e < x))
-    )
-    # one row of at most ``bins + 1`` edges for each column asked for
-    binned = long.join(F.broadcast(edges), COLUMN_ID, "left")
-    has_bins = F.coalesce(F.size("edges") >= 3, F.lit(False))
-    counts = binned.groupBy(COLUMN_ID, bin_id.alias("bin"), has_bins.alias("has_bins")).agg(*_side_counts())
-    shifts = _index_per_feature(
-        counts, [COLUMN_ID], _sizes(sided), F.col("bin") == _MISSING_BIN, F.col("has_bins")
-    )
+    found = (sketched if accuracy else summarize)(reference, {c: F.col(c) for c in columns}, probs, accuracy or ACCURACY)
+    edges = {c: list(dict.fromkeys(found[c][p] for p in probs)) if c in found else [] for c in columns}
+
+    def bin_of(c: str) -> Column:
+        x = F.col(c).cast("double")
+        inner = F.array(*[F.lit(e) for e in edges[c][1:-1]]).cast("array<double>")
+        return F.when(present(x), F.lit(1) + F.size(F.filter(inner, lambda e: e < x))).otherwise(F.lit(_MISSING_BIN))
+
+    # the bins are counted map-side: a task sends on at most ``bins + 1`` rows a column and side
+    long = sided.select("is_reference", F.posexplode(F.array(*[bin_of(c) for c in columns])).alias(COLUMN_ID, "bin"))
+    counts = long.groupBy(COLUMN_ID, "bin").agg(*_side_counts())
+    binned = F.array(*[F.lit(len(edges[c]) >= 3) for c in columns])[F.col(COLUMN_ID)]
+    shifts = _index_per_feature(counts, [COLUMN_ID], _sizes(sided), F.col("bin") == _MISSING_BIN, binned)
     return named_columns(shifts, columns)
 
 

@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from parcelcast.contracts import SIGNAL_FEATURES, TARGET
 from parcelcast.functions.expressions import as_column, flag_count, month_of
 from parcelcast.operators.ordering import (
-    COLUMN_ID, describe_columns, exact_quantiles, melt_numeric, named_columns, null_safe_match, value_counts_table,
+    COLUMN_ID, exact_quantiles, melt_numeric, named_columns, null_safe_match, value_counts_table,
     with_scalar,
 )
+from parcelcast.operators.selection import describe_columns
 
 # Weekday names, Monday first.
 WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]

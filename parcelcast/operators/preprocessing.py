@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from parcelcast.contracts import CATEGORICAL_FEATURES, MODEL_FEATURES, NUMERIC_FEATURES, TARGET, require_columns
 from parcelcast.functions.expressions import present
-from parcelcast.operators.ordering import describe_columns
+from parcelcast.operators.selection import describe_columns
 
 
 @dataclass(frozen=True)
@@ -39,7 +39,7 @@ def indicator(column: str) -> str:
 def fit_numeric(
     train: DataFrame, columns: Sequence[str] = tuple(NUMERIC_FEATURES), accuracy: int | None = None
 ) -> NumericFit:
-    """Exact medians and the moments after imputation, from one distribution summary of all columns.
+    """Exact medians and the moments after imputation, from one summary of all columns.
 
     Filling g gaps with the median m shifts count, mean and squared deviations in closed form, so the imputed
     table is never scanned.  A column without any value is left out; a constant one keeps scale 1.

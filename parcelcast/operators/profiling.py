@@ -11,7 +11,8 @@ from parcelcast.contracts import (
     AVAILABILITY_REGISTRY, CLEANING_RULES, JOIN_STRATEGY, LIFECYCLE_RULES, ORDER_TIMESTAMPS,
 )
 from parcelcast.functions.expressions import flag_count, pct
-from parcelcast.operators.ordering import describe_columns, describe_values
+from parcelcast.operators.ordering import describe_values
+from parcelcast.operators.selection import describe_columns
 
 
 def _stacked(parts: Sequence[DataFrame]) -> DataFrame:
