@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from parcelcast.contracts import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from parcelcast.functions.expressions import pct, present, ratio
-from parcelcast.operators.ordering import COLUMN_ID, named_columns, with_scalar
+from parcelcast.operators.ordering import COLUMN_ID, melt_numeric, named_columns, with_scalar
 from parcelcast.operators.selection import ACCURACY, sketched, summarize
 
 SHARE_FLOOR = 1e-6
@@ -86,14 +86,11 @@ def numeric_psi(
     found = (sketched if accuracy else summarize)(reference, {c: F.col(c) for c in columns}, probs, accuracy or ACCURACY)
     edges = {c: list(dict.fromkeys(found[c][p] for p in probs)) if c in found else [] for c in columns}
 
-    def bin_of(c: str) -> Column:
-        x = F.col(c).cast("double")
-        inner = F.array(*[F.lit(e) for e in edges[c][1:-1]]).cast("array<double>")
-        return F.when(present(x), F.lit(1) + F.size(F.filter(inner, lambda e: e < x))).otherwise(F.lit(_MISSING_BIN))
-
-    # the bins are counted map-side: a task sends on at most ``bins + 1`` rows a column and side
-    long = sided.select("is_reference", F.posexplode(F.array(*[bin_of(c) for c in columns])).alias(COLUMN_ID, "bin"))
-    counts = long.groupBy(COLUMN_ID, "bin").agg(*_side_counts())
+    # the bins are counted map-side: a task sends on at most ``bins + 1`` rows a column
+    long = melt_numeric(sided, ["is_reference"], columns)
+    inner = F.array(*[F.array(*[F.lit(e) for e in edges[c][1:-1]]).cast("array<double>") for c in columns])[F.col(COLUMN_ID)]
+    bin_id = F.when(present("value"), F.lit(1) + F.size(F.filter(inner, lambda e: e < F.col("value")))).otherwise(F.lit(_MISSING_BIN))
+    counts = long.groupBy(COLUMN_ID, bin_id.alias("bin")).agg(*_side_counts())
     binned = F.array(*[F.lit(len(edges[c]) >= 3) for c in columns])[F.col(COLUMN_ID)]
     shifts = _index_per_feature(counts, [COLUMN_ID], _sizes(sided), F.col("bin") == _MISSING_BIN, binned)
     return named_columns(shifts, columns)

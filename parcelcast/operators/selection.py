@@ -1,10 +1,12 @@
 """Exact quantiles of many columns by bracketed selection.
 
-One sketch aggregate over the table gives, for every wanted rank of every column, two values that enclose it; a second
-aggregate counts exactly what lies below and inside; only the values inside, a share of about four times the sketch's relative
-error, are exploded, counted by value and ranked. So the table is never melted, sorted or written again, and each pass shuffles
-a row per task. A sketch that misses a rank shows in the counts; its bracket is then the whole column. The driver reads a few
-numbers per column and quantile.
+One sketch aggregate over the table gives, for every wanted rank of every column, two values that enclose it; a second pass
+counts exactly what lies below each pair and keeps only the values inside, a share of about four times the sketch's relative
+error, counted by value; these are ranked. So the table is never melted, sorted or written again. A sketch that misses a rank
+shows in the counts; its bracket is then the whole column. The driver reads a few numbers per column and quantile.
+
+The second pass works on Arrow batches: as one aggregate it would have two counts for each column and quantile, 836 for the
+deciles of the features; generating, compiling and running it took 25 s on 10,000 rows.
 """
 
 from __future__ import annotations
@@ -12,10 +14,13 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from parcelcast.functions.expressions import present
 from parcelcast.operators.ordering import QUARTILES, describe_columns as describe_melted, running_totals
+from parcelcast.session import materialize
 
 ACCURACY = 10000  # of the sketch: relative rank error 1 / ACCURACY
 MAX_GROUPS = 32  # groups whose columns are selected side by side; more of them are ranked by group
@@ -27,35 +32,37 @@ def summarize(df: DataFrame, columns: Mapping[str, Column], probs: Mapping[str,
     slim = df.select(*[F.when(present(c), c.cast("double") + F.lit(0.0)).alias(f"x{i}") for i, c in enumerate(columns.values())])
     margin = 2.0 / accuracy
     asked = [max(0.0, p - margin) for p in probs.values()] + [min(1.0, p + margin) for p in probs.values()]
-    stats = slim.agg(*[e for i in range(len(names)) for e in (
-        F.percentile_approx(f"x{i}", asked, accuracy).alias(f"q{i}"), F.count(f"x{i}").alias(f"n{i}"),
-        F.min(f"x{i}").alias(f"lo{i}"), F.max(f"x{i}").alias(f"hi{i}"), F.avg(f"x{i}").alias(f"mean{i}"),
-        F.stddev_samp(f"x{i}").alias(f"std{i}"))]).first()
+    stats = {r["i"]: r for r in _by_column(slim, F.percentile_approx("x", asked, accuracy).alias("q"))}
     out: dict[str, dict] = {}
-    wanted = []  # [column, quantile, first and second rank, bracket, values below it]
+    wanted = []  # [column, quantile, first and second rank, bracket]
     for i, name in enumerate(names):
-        n = stats[f"n{i}"]
-        if not n:
+        if i not in stats:
             continue
-        out[name] = {"count": n, "mean": stats[f"mean{i}"], "std": stats[f"std{i}"], "min": stats[f"lo{i}"], "max": stats[f"hi{i}"]}
+        _, q, n, least, most, mean, std = stats[i]
+        out[name] = {"count": n, "mean": mean, "std": std, "min": least, "max": most}
         for k, (label, p) in enumerate(probs.items()):
             at = p * (n - 1)
-            low = stats[f"lo{i}"] if math.floor(at) == 0 else stats[f"q{i}"][k]
-            high = stats[f"hi{i}"] if math.ceil(at) == n - 1 else stats[f"q{i}"][len(probs) + k]
-            wanted.append([i, label, math.floor(at), math.ceil(at), low, high, 0])
-    todo = wanted
+            low = least if math.floor(at) == 0 else q[k]
+            high = most if math.ceil(at) == n - 1 else q[len(probs) + k]
+            wanted.append([i, label, math.floor(at), math.ceil(at), low, high])
+    picked: dict[int, tuple[float, float]] = {}
+    todo = list(range(len(wanted)))
     while todo:
-        counts = slim.agg(*[e for w, (i, _, _, _, low, high, _) in enumerate(todo) for e in (
-            F.count_if(F.col(f"x{i}") < low).alias(f"b{w}"), F.count_if(F.col(f"x{i}") <= high).alias(f"u{w}"))]).first()
-        missed = []
-        for w, entry in enumerate(todo):
-            entry[6] = counts[f"b{w}"]
-            if not (counts[f"b{w}"] <= entry[2] and entry[3] < counts[f"u{w}"]):
-                entry[4], entry[5] = stats[f"lo{entry[0]}"], stats[f"hi{entry[0]}"]
-                missed.append(entry)
+        inside = materialize(_inside(slim, [(e, wanted[e][0], wanted[e][4], wanted[e][5]) for e in todo]))
+        counts = {(r["e"], r["kind"]): r["n"] for r in inside.filter("kind < 2").groupBy("e", "kind").agg(F.sum("n").alias("n")).collect()}
+        missed, ranks = [], []
+        for e in todo:
+            i, _, first, second, low, high = wanted[e]
+            below, upto = counts[e, _BELOW], counts[e, _UPTO]
+            if not (below <= first and second < upto):
+                wanted[e][4], wanted[e][5] = stats[i]["least"], stats[i]["most"]
+                missed.append(e)
+            elif low < high:
+                ranks.append((e, first - below, second - below))
+        if ranks:
+            picked |= _ranked(inside.filter(F.col("kind") == _VALUE), ranks)
         todo = missed
-    picked = _ranked_inside(slim, wanted)
-    for e, (i, label, first, second, low, high, _) in enumerate(wanted):
+    for e, (i, label, _, _, low, high) in enumerate(wanted):
         a, b = picked.get(e, (low, high))
         at = probs[label] * (out[names[i]]["count"] - 1)
         out[names[i]][label] = a + (b - a) * (at - math.floor(at))
@@ -64,23 +71,60 @@ def summarize(df: DataFrame, columns: Mapping[str, Column], probs: Mapping[str,
 
 def sketched(df: DataFrame, columns: Mapping[str, Column], probs: Mapping[str, float], accuracy: int) -> dict[str, dict]:
     """Quantiles of each column from the sketch alone: one pass, no interpolation."""
-    x = {name: F.when(present(c), c.cast("double") + F.lit(0.0)) for name, c in columns.items()}
-    row = df.agg(*[F.percentile_approx(c, list(probs.values()), accuracy).alias(f"q{i}") for i, c in enumerate(x.values())]).first()
-    return {name: dict(zip(probs, row[f"q{i}"])) for i, name in enumerate(x) if row[f"q{i}"] is not None}
-
-
-def _ranked_inside(slim: DataFrame, wanted: Sequence[Sequence]) -> dict[int, tuple[float, float]]:
-    """The values at both ranks of every bracket that holds more than one value."""
-    open_ = [e for e, w in enumerate(wanted) if w[4] < w[5]]
-    if not open_:
-        return {}
-    inside = F.array_compact(F.array(*[
-        F.when(F.col(f"x{wanted[e][0]}").between(wanted[e][4], wanted[e][5]), F.struct(F.lit(e).alias("e"), F.col(f"x{wanted[e][0]}").alias("v")))
-        for e in open_]))
-    values = slim.select(F.explode(inside).alias("s")).groupBy("s.e", "s.v").agg(F.count(F.lit(1)).alias("n"))
-    ranked = running_totals(values, ["e"], ["v"], ["n"])
-    ranks = slim.sparkSession.createDataFrame([(e, wanted[e][2] - wanted[e][6], wanted[e][3] - wanted[e][6]) for e in open_],
-                                              "e int, first long, second long")
+    slim = df.select(*[F.when(present(c), c.cast("double") + F.lit(0.0)).alias(f"x{i}") for i, c in enumerate(columns.values())])
+    names = list(columns)
+    return {names[r["i"]]: dict(zip(probs, r["q"])) for r in _by_column(slim, F.percentile_approx("x", list(probs.values()), accuracy).alias("q"))}
+
+
+def _by_column(slim: DataFrame, sketch: Column) -> list:
+    """i, q, n, least, most, mean and std of every column with values: cells are aggregated as they are read, a task sends on
+    one row a column. (One wide aggregate says the same in six expressions a column, which Java does not compile well.)"""
+    cells = slim.select(F.posexplode(F.array(*slim.columns)).alias("i", "x")).filter("x IS NOT NULL")
+    return cells.groupBy("i").agg(
+        sketch, F.count("x").alias("n"), F.min("x").alias("least"), F.max("x").alias("most"), F.avg("x").alias("mean"),
+        F.stddev_samp("x").alias("std")).collect()
+
+
+_BELOW, _UPTO, _VALUE = 0, 1, 2
+
+
+def _inside(slim: DataFrame, brackets: Sequence[tuple[int, int, float, float]]) -> DataFrame:
+    """e, kind, v, n: rows below and up to each bracket (number, column, low, high), by task, and the values inside by batch."""
+    by_column: dict[int, list] = {}
+    for e, i, low, high in brackets:
+        by_column.setdefault(i, []).append((e, low, high))
+
+    def rows(e, kind: int, v, n) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(e, pa.int32()), pa.array(np.full(len(e), kind, dtype=np.int32)), pa.array(v, pa.float64()),
+                                           pa.array(n, pa.int64())], names=["e", "kind", "v", "n"])
+
+    def run(batches):
+        below, upto = ({e: 0 for e, *_ in brackets} for _ in range(2))
+        for batch in batches:
+            found = []
+            for i, own in by_column.items():
+                x = np.sort(batch.column(i).drop_null().to_numpy())
+                for e, low, high in own:
+                    a, b = np.searchsorted(x, low, "left"), np.searchsorted(x, high, "right")
+                    below[e] += int(a)
+                    upto[e] += int(b)
+                    if low < high and a < b:
+                        v, n = np.unique(x[a:b], return_counts=True)
+                        found.append((np.full(len(v), e, dtype=np.int32), v, n))
+            if found:
+                e, v, n = (np.concatenate([f[k] for f in found]) for k in range(3))
+                yield rows(e, _VALUE, v, n)
+        for kind, counts in ((_BELOW, below), (_UPTO, upto)):
+            yield rows(list(counts), kind, [None] * len(counts), list(counts.values()))
+
+    return slim.mapInArrow(run, "e int, kind int, v double, n long")
+
+
+def _ranked(values: DataFrame, wanted: Sequence[tuple[int, int, int]]) -> dict[int, tuple[float, float]]:
+    """The values at two ranks (from 0) among those inside a bracket."""
+    counted = values.groupBy("e", "v").agg(F.sum("n").alias("n"))
+    ranked = running_totals(counted, ["e"], ["v"], ["n"])
+    ranks = values.sparkSession.createDataFrame(list(wanted), "e int, first long, second long")
 
     def at(rank: str) -> Column:
         return F.max(F.when((F.col("run_n") - F.col("n") <= F.col(rank)) & (F.col(rank) < F.col("run_n")), F.col("v")))
