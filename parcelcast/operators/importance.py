@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from parcelcast.contracts import ContractError, MODEL_FEATURES, ORDER_KEY, TARGET
 from parcelcast.operators.evaluation import ranking_metrics
 from parcelcast.operators.ordering import global_rank, with_scalar
 from parcelcast.operators.training import Model, SEED, score_rows
-from parcelcast.operators.trees import TreeModel
+from parcelcast.operators.trees import TreeModel, hashed
+
+FEISTEL_ROUNDS = 6
 
 
 def native_importance(model: TreeModel) -> DataFrame:
@@ -22,21 +26,43 @@ def native_importance(model: TreeModel) -> DataFrame:
     )
 
 
+def permuted(positions: np.ndarray, n: int, *key: int) -> np.ndarray:
+    """A keyed bijection on 0..n-1: Feistel rounds on the least even number of bits that hold n, repeated for the values that
+    fall outside (they walk along their cycle until it comes back in). Each position is worked out by itself."""
+    half = np.uint64(max(1, ((n - 1).bit_length() + 1) // 2))
+    mask = (np.uint64(1) << half) - np.uint64(1)
+    out, todo = positions.astype(np.uint64), np.arange(len(positions))
+    while len(todo):
+        left, right = out[todo] >> half, out[todo] & mask
+        for turn in range(FEISTEL_ROUNDS):
+            left, right = right, left ^ (hashed(right, *key, turn) & mask)
+        out[todo] = left << half | right
+        todo = todo[out[todo] >= np.uint64(n)]
+    return out.astype(np.int64)
+
+
 def shuffled_pairs(df: DataFrame, repeats: int, seed: int, columns: Sequence[str]) -> DataFrame:
     """For each repeat, every row with the columns of another row, paired by a seeded random permutation.
 
-    Rows and donors are ordered by two independent hashes of the id within each repeat.  Both orders hold the
-    same number of rows per repeat, so joining on the overall position pairs them within the repeat.
+    Ids are ranked once, on their own. A row then knows without any sorting to which position it lends its columns in each
+    repeat, and one hash join on the position brings them there: wide rows are shuffled once a repeat, never ordered.
     """
-    def ranked(role: str, rows: DataFrame) -> DataFrame:
-        copies = rows.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-        key = F.xxhash64(F.lit(f"{seed}:{role}"), F.col("repeat"), F.col(ORDER_KEY))
-        return global_rank(copies, ["repeat", key, ORDER_KEY], "_rank")
-
-    donors = ranked("donor", df.select(ORDER_KEY, *columns)).select(
-        "_rank", *[F.col(c).alias(f"donor__{c}") for c in columns]
-    )
-    return ranked("row", df).join(donors, "_rank").drop("_rank")
+    placed = df.join(global_rank(df.select(ORDER_KEY), [ORDER_KEY], "_place"), ORDER_KEY)
+    n = df.count()
+
+    @F.arrow_udf("long")
+    def target(place: pa.Array, repeat: pa.Array) -> pa.Array:
+        at, turn = place.to_numpy(), repeat.to_numpy()
+        out = np.empty(len(at), dtype=np.int64)
+        for k in np.unique(turn).tolist():
+            mine = turn == k
+            out[mine] = permuted(at[mine] - 1, n, seed, k) + 1
+        return pa.array(out)
+
+    donors = placed.select("_place", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("repeat"),
+                           *[F.col(c).alias(f"donor__{c}") for c in columns])
+    donors = donors.withColumn("_place", target("_place", "repeat"))
+    return placed.join(donors, "_place").drop("_place")
 
 
 def permutation_importance(

@@ -236,14 +236,18 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def uniform(values: np.ndarray, *seeds: int) -> np.ndarray:
-    """Numbers in [0, 1) drawn from ``values`` and the seeds."""
+def hashed(values: np.ndarray, *seeds: int) -> np.ndarray:
+    """64 random bits drawn from each value and the seeds."""
     base = np.uint64(0)
     with np.errstate(over="ignore"):
         for s in seeds:
             base = _mixed(np.array([base + np.uint64(s) * _GOLDEN + _GOLDEN], dtype=np.uint64))[0]
-        mixed = _mixed(_mixed(values.astype(np.uint64) * _GOLDEN + base) + _GOLDEN)
-    return (mixed >> np.uint64(11)).astype(np.float64) / float(1 << 53)
+        return _mixed(_mixed(values.astype(np.uint64) * _GOLDEN + base) + _GOLDEN)
+
+
+def uniform(values: np.ndarray, *seeds: int) -> np.ndarray:
+    """Numbers in [0, 1) drawn from ``values`` and the seeds."""
+    return (hashed(values, *seeds) >> np.uint64(11)).astype(np.float64) / float(1 << 53)
 
 
 # --- best splits ---------------------------------------------------------------------------------------------
