@@ -6,13 +6,17 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from parcelcast.contracts import ContractError, MODEL_FEATURES, ORDER_KEY, TARGET
 from parcelcast.operators.evaluation import ranking_metrics
 from parcelcast.operators.ordering import global_rank, with_scalar
+from parcelcast.operators.preprocessing import feature_names
 from parcelcast.operators.training import Model, SEED, score_rows
-from parcelcast.operators.trees import TreeModel, hashed
+from parcelcast.operators.trees import TreeModel, hashed, path_contributions
 
 FEISTEL_ROUNDS = 6
 
@@ -95,6 +99,54 @@ def permutation_importance(
     )
 
 
+def tree_contributions(model: TreeModel, rows: DataFrame, key: str = ORDER_KEY) -> DataFrame:
+    """key, feature and contribution in long form: each row's decision paths through all trees, by transformed feature.
+
+    With ``path_base`` the contributions of a row add up to its raw score; features that no split uses are left out.
+    """
+    names = model.spec.names()
+    used = [i for i, (_, gain) in enumerate(model.importances()) if gain > 0]
+
+    def run(batches):
+        for batch in batches:
+            values, _ = path_contributions(model, model.spec.bins([batch.column(1 + i) for i in range(len(model.spec.inputs))]))
+            for i in used:
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array([names[i]] * batch.num_rows, pa.string()), pa.array(values[:, i])],
+                    names=[key, "feature", "contribution"])
+
+    schema = T.StructType([rows.schema[key], T.StructField("feature", T.StringType()), T.StructField("contribution", T.DoubleType())])
+    return rows.select(key, *[F.col(c).alias(f"_{c}") for c in model.spec.inputs]).mapInArrow(run, schema)
+
+
+def path_base(model: TreeModel) -> float:
+    """The raw score of a row before any split is looked at."""
+    return path_contributions(model, np.zeros((0, len(model.spec.sizes)), dtype=model.spec.dtype))[1]
+
+
+def regression_contributions(model: PipelineModel, rows: DataFrame, background: DataFrame, key: str = ORDER_KEY) -> DataFrame:
+    """key, feature and contribution w * (x - mean) of a fitted regression, by transformed feature; means of ``background``.
+
+    ``regression_base`` and the contributions of a row add up to its raw score.
+    """
+    names, fitted = feature_names(model), model.stages[-1]
+    means = _vector_means(model, background)
+    parts = F.zip_with(vector_to_array("features"), F.array(*[F.lit(m) for m in means]), lambda x, m: x - m)
+    weighed = F.zip_with(parts, F.array(*[F.lit(w) for w in fitted.coefficients.toArray().tolist()]), lambda x, w: x * w)
+    long = PipelineModel(model.stages[:-1]).transform(rows).select(key, F.posexplode(weighed).alias("i", "contribution"))
+    return long.select(key, F.array(*[F.lit(n) for n in names])[F.col("i")].alias("feature"), "contribution")
+
+
+def regression_base(model: PipelineModel, background: DataFrame) -> float:
+    fitted = model.stages[-1]
+    return float(fitted.intercept + np.dot(fitted.coefficients.toArray(), _vector_means(model, background)))
+
+
+def _vector_means(model: PipelineModel, background: DataFrame) -> list[float]:
+    vectors = PipelineModel(model.stages[:-1]).transform(background)
+    return vectors.select(Summarizer.mean(F.col("features"))).first()[0].toArray().tolist()
+
+
 def linear_contributions(df: DataFrame, weights: dict[str, float], key: str = ORDER_KEY) -> DataFrame:
     """Contributions w * (x - mean x) of a linear score in long form; a missing value contributes nothing."""
     means = df.agg(*[F.avg(c).alias(c) for c in weights])

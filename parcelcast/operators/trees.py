@@ -534,6 +534,32 @@ class Ensemble:
         return out
 
 
+def path_contributions(model: "TreeModel", bins: np.ndarray) -> tuple[np.ndarray, float]:
+    """((rows x columns) contributions, base): what each split on a row's paths adds to the value of the node above it.
+
+    Base and contributions of a row add up to its raw score: the margin of a boosted model, the probability of the others.
+    """
+    ensemble, spec = model.ensemble, model.spec
+    number = {c: i for i, c in enumerate(spec.columns)}
+    column = np.array([number.get((int(f), int(cut) if equal else -1), 0) for f, equal, cut in zip(ensemble.feature, ensemble.equal, ensemble.cut)])
+    scale = 1.0 if model.settings.boosting else 1.0 / max(1, model.n_trees)
+    out = np.zeros((len(bins), len(spec.columns)))
+    step = max(1, (1 << 18) // max(1, len(ensemble.roots)))
+    for lo in range(0, len(bins), step):
+        part = bins[lo: lo + step]
+        rows = np.arange(len(part))[:, None]
+        at = np.broadcast_to(ensemble.roots, (len(part), len(ensemble.roots)))
+        for _ in range(ensemble.depth):
+            b, cut = part[rows, ensemble.feature[at]], ensemble.cut[at]
+            below = np.where(np.where(ensemble.equal[at], b == cut, b <= cut), ensemble.left[at], ensemble.right[at])
+            moved = (ensemble.value[below] - ensemble.value[at]).ravel()
+            key = (rows * len(spec.columns) + column[at]).ravel()
+            out[lo: lo + step] += np.bincount(key, weights=moved, minlength=out[lo: lo + step].size).reshape(len(part), -1)
+            at = below
+    base = float(ensemble.value[ensemble.roots].sum()) * scale + (model.base if model.settings.boosting else 0.0)
+    return out * scale, base
+
+
 def flat_tree(nodes: Nodes, rule: Rule) -> tuple:
     """(feature, equal, cut, left, right, value, depth, gain) of the nodes that are kept, by place in the tree."""
     kept = nodes.selected(1, rule.settings.max_leaves)

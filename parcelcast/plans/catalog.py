@@ -1037,6 +1037,20 @@ def _(d: Data):
     return _evaluated(d)[1].manifest().select("report", "inputs", "rows")
 
 
+@query("baseline_job")
+def _(d: Data):
+    ranking, _, metrics, matrices = jobs.baseline_job(d.split)
+    return jobs.long_reports({"ranking": tidy(ranking), "metrics": tidy(metrics), "confusion": tidy(matrices)})
+
+
+@query("deployment_job")
+def _(d: Data):
+    reports, book = _evaluated(d)
+    config = next(c for c in training.search_configs(quick=True) if c.family == "xgboost")
+    record = jobs.deployment_job(d.spark, book.entry("model")["part"], book.part("out_of_fold"), book.part("rules"), config)
+    return jobs.long_reports({"deployment": record})
+
+
 # --- drift ---------------------------------------------------------------------------------------------------
 
 
@@ -1085,6 +1099,19 @@ def _(d: Data):
     return importance.permutation_importance(_tree(d), d.part("test"), n_repeats=5)
 
 
+@query("tree_attribution")
+def _(d: Data):
+    model = training.fit_model(d.part("train"), _baseline("hist_gradient_boosting"))
+    return importance.global_attribution(importance.tree_contributions(model, d.part("test")))
+
+
+@query("regression_attribution")
+def _(d: Data):
+    train = d.part("train")
+    model = training.fit_model(train, _baseline("logistic_regression"))
+    return importance.global_attribution(importance.regression_contributions(model, d.part("test"), train))
+
+
 @query("global_attribution")
 def _(d: Data):
     return importance.global_attribution(importance.linear_contributions(d.features, LINEAR_WEIGHTS))

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parcelcast import contracts as K
-from parcelcast.operators import importance, trees
+from parcelcast.operators import importance, training, trees
 from parcelcast.operators.splits import Fold
 
 
@@ -47,3 +47,27 @@ def test_only_the_planted_feature_costs(rows):
     assert all(r["importance_mean"] == pytest.approx(0, abs=0.02) for r in one[1:]) and len(one) == 41
     again = importance.permutation_importance(model, rows.repartition(5), 5, columns=K.MODEL_FEATURES).collect()
     assert [(r["feature"], round(r["importance_mean"], 9)) for r in again[:1]] == [(r["feature"], round(r["importance_mean"], 9)) for r in one[:1]]
+
+
+def test_path_contributions_add_up_to_the_raw_score(rows):
+    settings = [trees.TreeSettings(True, 6, 0.3, max_leaves=7, min_rows=5, l2=1.0), trees.TreeSettings(False, 4, min_rows=3, node_columns="sqrt", bootstrap=True)]
+    for model in trees.fit_trees(rows, [Fold(1, 401, 401)], settings)[0]:
+        long = importance.tree_contributions(model, rows)
+        total = {r["order_id"]: r["t"] for r in long.groupBy("order_id").agg(F.sum("contribution").alias("t")).collect()}
+        base = importance.path_base(model)
+        for r in training.score_rows(model, rows).select("order_id", "probability").collect():
+            raw = base + total[r["order_id"]]
+            assert (1 / (1 + np.exp(-raw)) if model.settings.boosting else raw) == pytest.approx(r["probability"], abs=1e-9)
+        top = importance.global_attribution(long).first()
+        assert top["feature"] == "numeric__promised_delivery_days" and top["mean_absolute_contribution"] > 0
+
+
+def test_regression_contributions_add_up_to_the_raw_score(rows):
+    model = training.fit_model(rows, training.ModelConfig("l", "linear", {"C": 1.0, "class_weight": "balanced", "max_iter": 50}))
+    long = importance.regression_contributions(model, rows, rows)
+    total = {r["order_id"]: r["t"] for r in long.groupBy("order_id").agg(F.sum("contribution").alias("t")).collect()}
+    base = importance.regression_base(model, rows)
+    for r in training.score_rows(model, rows).select("order_id", "probability").collect():
+        assert 1 / (1 + np.exp(-(base + total[r["order_id"]]))) == pytest.approx(r["probability"], abs=1e-6)
+    means = long.groupBy("feature").agg(F.avg("contribution").alias("m")).collect()
+    assert all(r["m"] == pytest.approx(0, abs=1e-9) for r in means)
