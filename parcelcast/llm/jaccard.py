@@ -16,7 +16,9 @@ one shingle. Two documents link when ``100 * intersection >= percent * union``.
    components is lost, and copies are not expanded into all pairs.
 
 Null and empty texts, and those without words, have an empty set and link with nothing. A row with a null id has no
-component and is linked with nothing. Rows with equal ids are reported each, with the component of the id.
+component and is linked with nothing. Rows with equal ids are judged each by its own text: where the smallest id of two classes
+is the same, the classes go by hashes of id and fingerprint instead, and a component is named by its smallest id in the end.
+Very long texts are read whole; an empty table gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -85,7 +87,7 @@ def _chunk_rows(chunks: dict[int, np.ndarray]) -> pa.RecordBatch:
 
 
 def signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """doc_id, n, fingerprint (fp1, fp2), rare-first prefix, and set sizes by hash bucket."""
+    """doc_id, row (hash of the text), n, fingerprint (fp1, fp2), rare-first prefix, and set sizes by hash bucket."""
     counts = bucket_counts(docs, size)
 
     def run(batches):
@@ -98,17 +100,17 @@ def signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 rank = counts[(s >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
                 prefixes.append(s[np.argsort(rank, kind="stable")[:keep]])  # ties by hash: s is sorted
                 sizes.append(n)
-                prints.append((int(mix(s).sum()), int(mix(s ^ np.uint64(0x5DEECE66D)).sum())) if n else (0, 0))
+                prints.append(_fingerprint(s))
                 hist.append(np.bincount((s & np.uint64(SUFFIX_BUCKETS - 1)).astype(np.int64), minlength=SUFFIX_BUCKETS))
             fp = np.array(prints, dtype=np.uint64).reshape(-1, 2).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(fp[:, 0].copy()), pa.array(fp[:, 1].copy()),
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(fp[:, 0].copy()), pa.array(fp[:, 1].copy()),
                  lists(np.concatenate(prefixes).view(np.int64), [len(p) for p in prefixes]),
                  lists(np.concatenate(hist).astype(np.int32), [SUFFIX_BUCKETS] * len(hist))],
-                names=["doc_id", "n", "fp1", "fp2", "prefix", "hist"])
+                names=["doc_id", "row", "n", "fp1", "fp2", "prefix", "hist"])
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n long, fp1 long, fp2 long, prefix array<long>, hist array<int>")
+    return docs.select("doc_id", F.xxhash64("text").alias("row"), "text").mapInArrow(
+        run, "doc_id long, row long, n long, fp1 long, fp2 long, prefix array<long>, hist array<int>")
 
 
 def _needed(n: Column, m: Column, percent: int) -> Column:
@@ -128,19 +130,37 @@ def _suffix_filter(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFr
     return both.filter(apart <= F.col("n_a") + F.col("n_b") - 2 * _needed(F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets link; sets are made anew for the documents that are in a pair."""
-    ids = store(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "pair-ids")
+def _fingerprint(s: np.ndarray) -> tuple[int, int]:
+    return (int(mix(s).sum()), int(mix(s ^ np.uint64(0x5DEECE66D)).sum())) if len(s) else (0, 0)
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int, named: DataFrame | None = None) -> DataFrame:
+    """The pairs (a, b) of classes whose sets link; sets are made anew for the documents that are in a pair.
+
+    ``named``: rep, doc_id and fp1 of the classes, where ids alone do not tell them apart.
+    """
+    reps = store(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct(), "pair-ids")
+    if named is None:
+        ids = reps.select(F.col("rep").alias("doc_id"))
+    else:
+        own = store(reps.join(named, "rep"), "pair-classes")
+        ids = store(own.select("doc_id").distinct(), "pair-ids")
     texts, _ = split_rows(docs.select("doc_id", "text"), ids)
-    texts = texts.join(ids, "doc_id").select(F.col("doc_id").alias("rep"), "text")
+    texts = texts.join(ids, "doc_id").select("doc_id", "text")
 
     def sets_of(batches):
         for batch, words in scan(batches, lower=True):
+            sets = shingle_sets(words, size)
+            prints = np.array([_fingerprint(s)[0] for s in sets], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([s.tobytes() for s in shingle_sets(words, size)], pa.binary())], names=["rep", "items"])
-
-    sets = store(texts.mapInArrow(sets_of, "rep long, items binary"), "sets")
-    if sets.groupBy("rep").count().filter("count > 1").limit(1).count():  # rows with equal ids: one stands for the id
+                [batch.column(0), pa.array(prints), pa.array([s.tobytes() for s in sets], pa.binary())], names=["doc_id", "fp1", "items"])
+
+    sets = store(texts.mapInArrow(sets_of, "doc_id long, fp1 long, items binary"), "sets")
+    if named is not None:
+        sets = sets.join(own, ["doc_id", "fp1"]).select("rep", "items")
+    else:
+        sets = sets.select(F.col("doc_id").alias("rep"), "items")
+    if sets.groupBy("rep").count().filter("count > 1").limit(1).count():  # repeated rows: their sets are equal
         sets = store(sets.dropDuplicates(["rep"]), "sets")
     side = lambda k: sets.select(F.col("rep").alias(k), F.col("items").alias(f"s_{k}"))
 
@@ -162,10 +182,21 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
 
 def near_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
+    return _components(docs, size, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def _components(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """``near_components`` with ``row``, the hash of the text, and ``part``, which tells components apart where ids do not."""
     signed = store(signatures(bound_batches(docs), size, percent), "signatures")
     key = ["fp1", "fp2", "n"]
     classes = store(signed.filter("n > 0 AND doc_id IS NOT NULL").groupBy(*key).agg(
         F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"), F.first("hist").alias("hist")), "classes")
+    named = None
+    clashes = classes.groupBy("rep").count().filter("count > 1").select("rep", F.lit(True).alias("clash"))
+    if clashes.limit(1).count():
+        classes = store(classes.join(clashes, "rep", "left").withColumnRenamed("rep", "doc_id").withColumn(
+            "rep", F.when(F.col("clash"), F.xxhash64("doc_id", "fp1", "fp2")).otherwise(F.col("doc_id"))).drop("clash"), "classes")
+        named = classes.select("rep", "doc_id", "fp1")
     # bare tokens are counted first, so that most, which one class has alone, are shuffled without their places
     tokens = classes.select(F.explode("prefix").alias("token")).groupBy("token").count()
     twice = store(tokens.filter("count > 1").select("token"), "shared-tokens")
@@ -196,7 +227,7 @@ def near_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFr
             F.least("rep", e["rep"]).alias("a"), F.greatest("rep", e["rep"]).alias("b"))
 
     pairs = store(with_end("lo").union(with_end("hi")).distinct(), "pairs")
-    first = _verified(store(_suffix_filter(pairs, classes, percent), "pairs"), docs, size, percent)
+    first = _verified(store(_suffix_filter(pairs, classes, percent), "pairs"), docs, size, percent, named)
     labels = components(first)
     rows = store(hits.drop("lo", "hi").join(labels, hits["rep"] == labels["node"], "left").select(
         "token", "rep", "n", "pos", F.coalesce("label", "rep").alias("label")), "labelled")
@@ -207,7 +238,7 @@ def near_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFr
     rest = x.join(y, meet & _may_link(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"), percent)).select(
         F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
     rest = store(_suffix_filter(store(rest, "rest"), classes, percent), "rest")
-    second = _verified(rest, docs, size, percent)
+    second = _verified(rest, docs, size, percent, named)
     if second.limit(1).count():
         # components of components: the later links join labels of the first round
         of = lambda k: labels.select(F.col("node").alias(k), F.col("label").alias(f"l_{k}"))
@@ -218,17 +249,34 @@ def near_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFr
         labels = labels.join(upper, "label", "left").select("node", F.coalesce("top", "label").alias("label")).unionByName(
             alone.select(F.col("label").alias("node"), F.col("top").alias("label")))
         labels = store(labels, "labels")
-    classes = classes.join(labels, classes["rep"] == labels["node"], "left").select(*key, F.coalesce("label", "rep").alias("label"))
-    found = signed.select("doc_id", *key).join(classes, key, "left")
-    return found.select("doc_id", F.col("n").alias("n_shingles"), F.when(
-        F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id")).alias("component_id"))
-
-
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """One document of each group of near copies: the one whose id names the group. Rows with a null id all stay."""
-    kept = near_components(docs, **options).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    first = docs.join(kept, docs["doc_id"] == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
-    return first.unionByName(docs.filter(docs["doc_id"].isNull()))
+    classes = classes.join(labels, classes["rep"] == labels["node"], "left").withColumn("label", F.coalesce("label", "rep"))
+    if named is not None:
+        names = classes.groupBy("label").agg(F.min("doc_id").alias("name"))
+        classes = classes.drop("doc_id").join(names, "label")
+    else:
+        classes = classes.withColumn("name", F.col("label"))
+    found = signed.select("doc_id", "row", *key).join(classes.select(*key, "label", "name"), key, "left")
+    return found.select("doc_id", "row", F.col("n").alias("n_shingles"), F.col("label").alias("part"), F.when(
+        F.col("doc_id").isNotNull(), F.coalesce("name", "doc_id")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
+    """One document of each group of near copies: the one of the smallest id, equal ids by a hash of the text.
+
+    Of equal rows one stays. Rows with a null id and texts without words are nobody's copy and all stay. Only rows whose id is
+    that of a copy are shuffled.
+    """
+    found = store(_components(docs, size, percent).filter("doc_id IS NOT NULL AND part IS NOT NULL"), "components")
+    best = found.groupBy("part").agg(F.min(F.struct("doc_id", "row")).alias("best"))
+    rows = found.groupBy("doc_id", "row", "part").count()
+    told = rows.join(best, "part").withColumn("stays", F.struct("doc_id", "row") == F.col("best"))
+    touched = store(told.filter("NOT stays OR count > 1").select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), "stays"), "copies")
+    marked = docs.withColumn("_row", F.xxhash64("text"))
+    some, rest = split_rows(marked, touched.select(F.col("_id").alias("doc_id")).distinct())
+    joined = some.join(touched.withColumnRenamed("_row", "_touched"), (some["doc_id"] == F.col("_id")) & (some["_row"] == F.col("_touched")), "left")
+    once = joined.filter("stays").dropDuplicates(["_id", "_touched"])
+    untouched = joined.filter("stays IS NULL")
+    return once.unionByName(untouched).select(*docs.columns).unionByName(rest.select(*docs.columns))
 
 
 def op4_ngram_jaccard(spark, sf_dir):

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from parcelcast.llm import dualtree, filteraudit, htmltext, nbsvm, secrets, toxicity
+from parcelcast.llm import dualtree, filteraudit, htmltext, jaccard, nbsvm, secrets, toxicity
 
 SCHEMA = "doc_id long, text string, source string, part string, mask int, print string, salt string, item long, score string, n int, terms string"
 AWKWARD = [None, "", " \t\n", "one", "One TWO", "É Öx9 é", "A b c d é " * 40, "z " * 30000, "x" * 200000, "secret", "#"]
@@ -365,3 +365,59 @@ def test_accepted_rows_are_those_that_score_enough(spark):
     key = lambda rows: sorted(str(r["doc_id"]) for r in rows)
     assert kept.columns == docs.columns and 0 < kept.count() < len(texts)
     assert key(kept.collect()) == key(scored.collect())
+
+
+# --- op 4: rows with equal ids
+
+
+def shingles(text, size):
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").encode().split()
+    return frozenset(tuple(words[i: i + size]) for i in range(max(1, len(words) - size + 1))) if words else frozenset()
+
+
+def brute_groups(rows, size, percent):
+    """Row numbers by component, from all pairs of rows."""
+    sets = [shingles(t, size) for _, t, _ in rows]
+    label = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if rows[a][0] is not None and rows[b][0] is not None and sets[a] and sets[b]:
+                if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                    x, y = label[a], label[b]
+                    label = [min(x, y) if v in (x, y) else v for v in label]
+    return label
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_rows_with_equal_ids_are_judged_by_their_texts(spark, seed):
+    rng = random.Random(seed)
+    base = [" ".join(f"w{rng.randrange(500)}" for _ in range(40)) for _ in range(12)]
+    rows = [(1, "v w x y z " * 9, "s"), (1, base[0], "s"), (2, base[0] + " more", "s"), (3, "v w x y z " * 9 + "q", "s"), (1, "", "s"), (1, "one two", "s"),
+            (None, base[0], "s"), (None, base[0], "s"), (4, None, "s"), (4, None, "s"), (9, base[1], "s"), (9, base[1], "s"), (8, base[1], "s")]
+    for i in range(60):
+        words = rng.choice(base).split(" ")
+        if rng.random() < 0.5:
+            words[rng.randrange(40)] = f"w{rng.randrange(500)}"
+        rows.append((rng.randrange(10, 30), " ".join(words), "s"))
+    docs = documents(spark, rows)
+    label = brute_groups(rows, 4, 85)
+    want = [(i, len(shingles(t, 4)), min((r[0] for r, v in zip(rows, label) if v == x and r[0] is not None), default=None) if i is not None else None)
+            for (i, t, _), x in zip(rows, label)]
+    assert sorted(map(tuple, jaccard.near_components(docs).collect()), key=str) == sorted(want, key=str)
+    kept = jaccard.keep_one(docs)
+    got = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert kept.columns == docs.columns
+    alone = [(i, t) for i, t, _ in rows if i is None or not shingles(t, 4)]
+    groups = {}
+    for (i, t, _), x in zip(rows, label):
+        if i is not None and shingles(t, 4):
+            groups.setdefault(x, []).append((i, t))
+    assert len(got) == len(alone) + len(groups)
+    left = list(got)
+    for row in alone:
+        left.remove(row)
+    for members in groups.values():  # one of the smallest id of each group of texts
+        mine = [r for r in left if r in members and r[0] == min(i for i, _ in members)]
+        assert mine
+        left.remove(mine[0])
+    assert not left and sorted(map(str, got)) == sorted(str((r["doc_id"], r["text"])) for r in jaccard.keep_one(docs.repartition(5)).collect())
