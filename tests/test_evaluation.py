@@ -9,9 +9,12 @@ from parcelcast import contracts as K
 from parcelcast.operators import evaluation as E
 
 few = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-F1 = ([0, 0, 0, 1, 1, 1], [0.05, 0.10, 0.40, 0.45, 0.70, 0.90])
-RECALL = ([0, 0, 0, 0, 1, 1, 1, 1], [0.05, 0.10, 0.25, 0.40, 0.30, 0.50, 0.70, 0.90])
-MIXED = ([0, 0, 1, 1], [0.1, 0.7, 0.8, 0.2])
+# late at 0.62, 0.37 and 0.93: at 0.5 two of three are caught and two of four on-time rows as well
+CONFUSED = ([1, 0, 1, 0, 0, 1, 0], [0.62, 0.58, 0.37, 0.11, 0.49, 0.93, 0.71])
+# F1 from the highest score on: 2/5, 1/3, 4/7, 3/4, 2/3, 4/5, 8/11
+WAVERING = ([0, 1, 0, 1, 1, 0, 1], [0.12, 0.22, 0.31, 0.47, 0.58, 0.66, 0.83])
+# precision and recall from the highest score on: 1 and 1/6, 1/2 and 1/6, 2/3 and 1/3, 3/4 and 1/2, 4/5 and 2/3, 2/3 and 2/3, 5/7 and 5/6, ...
+DESCENDING = ([1, 0, 1, 1, 1, 0, 1, 0, 1, 0], [0.97, 0.91, 0.84, 0.77, 0.69, 0.51, 0.44, 0.35, 0.28, 0.16])
 
 
 def scores(spark, y, p):
@@ -31,8 +34,8 @@ def brute(y, p):
 
 
 def test_perfect_ranking(spark):
-    r = E.ranking_metrics(scores(spark, [0, 0, 1, 1], [0.1, 0.2, 0.8, 0.9])).first()
-    assert (r.pr_auc, r.roc_auc, r.pr_auc_lift, r.prevalence) == (1.0, 1.0, 2.0, 0.5)
+    r = E.ranking_metrics(scores(spark, [1, 0, 1, 0, 0], [0.64, 0.21, 0.77, 0.35, 0.08])).first()
+    assert (r.pr_auc, r.roc_auc, r.pr_auc_lift, r.prevalence) == (1.0, 1.0, 2.5, 0.4)
 
 
 @few
@@ -55,10 +58,10 @@ def test_single_class_has_no_auc(spark):
 
 
 def test_confusion_counts(spark):
-    df = scores(spark, *MIXED)
+    df = scores(spark, *CONFUSED)
     r = E.threshold_metrics(df, 0.5).first()
-    assert (r.tp, r.fp, r.tn, r.fn) == (1, 1, 1, 1)
-    assert [tuple(x)[1:] for x in E.confusion_matrix(df).collect()] == [(1, 1), (1, 1)]
+    assert (r.tp, r.fp, r.tn, r.fn) == (2, 2, 2, 1)
+    assert [tuple(x)[1:] for x in E.confusion_matrix(df).collect()] == [(2, 2), (1, 2)]
 
 
 def test_score_equal_to_the_threshold_is_positive(spark):
@@ -69,12 +72,12 @@ def test_sweep_has_the_float_noise_of_the_grid(spark):
     grid = E.sweep_thresholds()
     assert len(grid) == 19 and grid[-1] == 0.95 and grid == pytest.approx(list(np.linspace(0.05, 0.95, 19)))
     assert grid == [float(x) for x in np.linspace(0.05, 0.95, 19)]
-    assert E.threshold_sweep(scores(spark, *MIXED)).count() == 19
+    assert E.threshold_sweep(scores(spark, *CONFUSED)).count() == 19
 
 
 def test_best_f1(spark):
-    r = E.best_f1_threshold(scores(spark, *F1)).first()
-    assert (r.threshold, r.precision, r.recall, r.f1) == (0.45, 1.0, 1.0, 1.0)
+    r = E.best_f1_threshold(scores(spark, *WAVERING)).first()
+    assert (r.threshold, r.precision, r.recall, r.f1) == (0.22, pytest.approx(2 / 3), 1.0, pytest.approx(0.8))
 
 
 def test_best_f1_ties_go_to_the_lowest_threshold(spark):
@@ -84,9 +87,9 @@ def test_best_f1_ties_go_to_the_lowest_threshold(spark):
 
 
 def test_recall_floor(spark):
-    df = scores(spark, *RECALL)
+    df = scores(spark, *DESCENDING)
     r = E.min_recall_threshold(df).first()
-    assert r.recall >= 0.5 and r.precision == 1.0 and r.threshold == 0.5
+    assert (r.threshold, r.precision, r.recall) == (0.69, pytest.approx(0.8), pytest.approx(2 / 3))
     assert r.threshold_rule == "maximize_precision_subject_to_recall>=0.50"
     assert [x.threshold_rule for x in E.operating_thresholds(df).collect()][0] == "best_oof_f1"
     with pytest.raises(K.ContractError):
