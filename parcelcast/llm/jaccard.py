@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from parcelcast.llm.common import (
-    Words, bitmap, bound_batches, distinct, held, lists, mix, scan, split_rows, store, table,
+    Words, bitmap, bound_batches, distinct, held, lists, mix, scan, split_rows, store, table, text_slices,
 )
 from parcelcast.llm.components import components
 
@@ -147,36 +147,39 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int, named:
         ids = store(own.select("doc_id").distinct(), "pair-ids")
     texts, _ = split_rows(docs.select("doc_id", "text"), ids)
     texts = texts.join(ids, "doc_id").select("doc_id", "text")
-
-    def sets_of(batches):
-        for batch, words in scan(batches, lower=True):
-            sets = shingle_sets(words, size)
-            prints = np.array([_fingerprint(s)[0] for s in sets], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(prints), pa.array([s.tobytes() for s in sets], pa.binary())], names=["doc_id", "fp1", "items"])
-
-    sets = store(texts.mapInArrow(sets_of, "doc_id long, fp1 long, items binary"), "sets")
     if named is not None:
-        sets = sets.join(own, ["doc_id", "fp1"]).select("rep", "items")
+        def with_print(batches):
+            for batch, words in scan(batches, lower=True):
+                prints = np.array([_fingerprint(s)[0] for s in shingle_sets(words, size)], dtype=np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints), batch.column(1)], names=["doc_id", "fp1", "text"])
+
+        marked = texts.mapInArrow(with_print, "doc_id long, fp1 long, text string")
+        texts = marked.join(own, ["doc_id", "fp1"]).select("rep", "text")
     else:
-        sets = sets.select(F.col("doc_id").alias("rep"), "items")
-    if sets.groupBy("rep").count().filter("count > 1").limit(1).count():  # repeated rows: their sets are equal
-        sets = store(sets.dropDuplicates(["rep"]), "sets")
-    side = lambda k: sets.select(F.col("rep").alias(k), F.col("items").alias(f"s_{k}"))
+        texts = texts.select(F.col("doc_id").alias("rep"), "text")
+    # texts go to the pairs, not sets: hashes do not compress
+    texts = store(texts, "pair-texts")
+    if texts.groupBy("rep").count().filter("count > 1").limit(1).count():  # repeated rows: their sets are equal
+        texts = store(texts.dropDuplicates(["rep"]), "pair-texts")
+    side = lambda k: texts.select(F.col("rep").alias(k), F.col("text").alias(f"t_{k}"))
 
     def run(batches):
         for batch in batches:
+            ids = np.concatenate([batch.column(0).to_numpy(), batch.column(1).to_numpy()])
+            known, first, at = np.unique(ids, return_index=True, return_inverse=True)
+            each = pa.chunked_array([batch.column(2), batch.column(3)]).combine_chunks().take(pa.array(first))
+            sets: list[np.ndarray] = []
+            for lo, hi in text_slices(each):
+                sets += shingle_sets(Words(each.slice(lo, hi - lo), lower=True), size)
             keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
-                if len(x) > len(y):
-                    x, y = y, x
+            for i, j in zip(at[: batch.num_rows].tolist(), at[batch.num_rows:].tolist()):
+                x, y = (sets[i], sets[j]) if len(sets[i]) <= len(sets[j]) else (sets[j], sets[i])
                 common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum()) if len(y) else 0
                 keep.append(common > 0 and 100 * common >= percent * (len(x) + len(y) - common))
             if any(keep):
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
 
-    joined = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "s_a", "s_b")
+    joined = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "t_a", "t_b")
     return store(joined.mapInArrow(run, "a long, b long"), "links")
 
 
