@@ -117,11 +117,13 @@ def fit_bins(ranked: DataFrame, folds: Sequence, max_bins: int = MAX_BINS) -> di
         *[F.when(present(c), F.col(c).cast("double")).alias(c) for c in NUMERIC_FEATURES])
     probs = [i / max_bins for i in range(1, max_bins)]
     half = max_bins // 2 - 1
-    stats = members.groupBy("fold").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(TARGET).alias("positives"),
-        *[F.percentile_approx(c, probs, SKETCH_ACCURACY).alias(f"q_{c}") for c in NUMERIC_FEATURES],
-        *[F.count(c).alias(f"n_{c}") for c in NUMERIC_FEATURES], *[F.max(c).alias(f"m_{c}") for c in NUMERIC_FEATURES],
-    ).collect()
+    # cells are aggregated as they are read, the label as one more column: a task sends on one row a fold and column
+    cells_ = members.select("fold", F.posexplode(F.array(*NUMERIC_FEATURES, F.col(TARGET).cast("double"))).alias("i", "x"))
+    found = cells_.filter("x IS NOT NULL").groupBy("fold", "i").agg(
+        F.percentile_approx("x", probs, SKETCH_ACCURACY).alias("q"), F.count("x").alias("n"), F.max("x").alias("most"), F.sum("x").alias("total"))
+    stats: dict[int, dict[int, tuple]] = {}
+    for r in found.collect():
+        stats.setdefault(r["fold"], {})[r["i"]] = (r["q"], r["n"], r["most"], r["total"])
     texts = members.select("fold", *CATEGORICAL_FEATURES).unpivot(["fold"], CATEGORICAL_FEATURES, "feature", "value")
     limit = MAX_CATEGORIES * len(folds) * len(CATEGORICAL_FEATURES)
     counted = texts.filter("value IS NOT NULL").groupBy("fold", "feature", "value").agg(F.count(F.lit(1)).alias("n")).limit(limit + 1).collect()
@@ -130,22 +132,24 @@ def fit_bins(ranked: DataFrame, folds: Sequence, max_bins: int = MAX_BINS) -> di
         held.setdefault((r["fold"], r["feature"]), []).append((-r["n"], r["value"]))
     ends = {f.number: int(f.train_end) for f in folds}
     out = {}
-    for r in stats:
+    for fold, of_column in stats.items():
+        _, rows, _, positives = of_column[len(NUMERIC_FEATURES)]
         edges, medians, gaps = {}, {}, []
-        for c in NUMERIC_FEATURES:
-            if r[f"n_{c}"]:
-                values = np.unique(np.array(r[f"q_{c}"], dtype=np.float64))
-                edges[c], medians[c] = values[values < r[f"m_{c}"]], float(r[f"q_{c}"][half])
-                if r[f"n_{c}"] < r["rows"]:
+        for i, c in enumerate(NUMERIC_FEATURES):
+            if i in of_column:
+                q, n, most, _ = of_column[i]
+                values = np.unique(np.array(q, dtype=np.float64))
+                edges[c], medians[c] = values[values < most], float(q[half])
+                if n < rows:
                     gaps.append(c)
         categories, modes = {}, {}
         for c in CATEGORICAL_FEATURES:
-            found = sorted(held.get((r["fold"], c), []))
-            if len(found) > MAX_CATEGORIES:
+            known = sorted(held.get((fold, c), []))
+            if len(known) > MAX_CATEGORIES:
                 raise ContractError(f"{c} has more than {MAX_CATEGORIES} values")
-            if found:
-                categories[c], modes[c] = sorted(v for _, v in found), found[0][1]
-        out[r["fold"]] = BinSpec(edges, medians, gaps, categories, modes, r["rows"], int(r["positives"] or 0), ends[r["fold"]])
+            if known:
+                categories[c], modes[c] = sorted(v for _, v in known), known[0][1]
+        out[fold] = BinSpec(edges, medians, gaps, categories, modes, rows, int(positives), ends[fold])
     return out
 
 
