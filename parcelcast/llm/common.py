@@ -144,17 +144,18 @@ class Words:
         return zip(self.bounds[:-1].tolist(), self.bounds[1:].tolist())
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
-    """Parts of the batches of about SLICE_BYTES of text, and their text."""
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Parts of the batches of about ``limit`` bytes of text, and their text."""
     for batch in batches:
         texts = text_column(batch, column)
-        for lo, hi in text_slices(texts):
+        for lo, hi in text_slices(texts, limit):
             yield batch.slice(lo, hi - lo), texts.slice(lo, hi - lo)
 
 
-def scan(batches: Iterator[pa.RecordBatch], lower: bool = False, column: str = "text") -> Iterator[tuple[pa.RecordBatch, Words]]:
+def scan(batches: Iterator[pa.RecordBatch], lower: bool = False, column: str = "text",
+         limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, Words]]:
     """Slices of the batches with their words."""
-    for batch, texts in slices(batches, column):
+    for batch, texts in slices(batches, column, limit):
         yield batch, Words(texts, lower)
 
 

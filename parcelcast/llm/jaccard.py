@@ -33,6 +33,7 @@ from parcelcast.llm.common import (
 from parcelcast.llm.components import components
 
 BUCKET_BITS, CHUNKS, SUFFIX_BUCKETS, TOKEN_BITS = 19, 128, 32, 25
+TEXT_BYTES = 1 << 18  # text whose shingles a task holds at once; a longer document is taken by itself
 
 
 def shingle_sets(words: Words, size: int) -> list[np.ndarray]:
@@ -56,7 +57,7 @@ def bucket_counts(docs: DataFrame, size: int) -> np.ndarray:
 
     def count(batches):
         total = np.zeros(1 << BUCKET_BITS, dtype=np.int64)
-        for _, words in scan(batches, lower=True):
+        for _, words in scan(batches, lower=True, limit=TEXT_BYTES):
             sets = shingle_sets(words, size)
             if sets:
                 total += np.bincount((np.concatenate(sets) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=len(total))
@@ -91,7 +92,7 @@ def signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
     counts = bucket_counts(docs, size)
 
     def run(batches):
-        for batch, words in scan(batches, lower=True):
+        for batch, words in scan(batches, lower=True, limit=TEXT_BYTES):
             sets = shingle_sets(words, size)
             prefixes, sizes, prints, hist = [], [], [], []
             for s in sets:
@@ -149,7 +150,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int, named:
     texts = texts.join(ids, "doc_id").select("doc_id", "text")
     if named is not None:
         def with_print(batches):
-            for batch, words in scan(batches, lower=True):
+            for batch, words in scan(batches, lower=True, limit=TEXT_BYTES):
                 prints = np.array([_fingerprint(s)[0] for s in shingle_sets(words, size)], dtype=np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints), batch.column(1)], names=["doc_id", "fp1", "text"])
 
@@ -169,7 +170,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int, named:
             known, first, at = np.unique(ids, return_index=True, return_inverse=True)
             each = pa.chunked_array([batch.column(2), batch.column(3)]).combine_chunks().take(pa.array(first))
             sets: list[np.ndarray] = []
-            for lo, hi in text_slices(each):
+            for lo, hi in text_slices(each, TEXT_BYTES):
                 sets += shingle_sets(Words(each.slice(lo, hi - lo), lower=True), size)
             keep = []
             for i, j in zip(at[: batch.num_rows].tolist(), at[batch.num_rows:].tolist()):
