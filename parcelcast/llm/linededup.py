@@ -7,13 +7,14 @@ is ``tenths`` tenths or more; lines are judged on the input. Lines without words
    and ties go by hash. A word is a 64-bit key that sorts in this order.
 2. Lines with equal sets (128-bit fingerprints) form a class, known by its first line. All but that first line go.
 3. The prefix of a class, n - ceil(t n) + 1 of its rarest words, is joined on the words' keys, shortened to 32 bits: a chance
-   match costs a comparison only. Length and positional filters and 64-bit membership signatures (each bit that differs
-   needs a word that differs) leave pairs whose similarity is verified on the sets.
+   match costs a comparison only. Length and positional filters and 128-bit parity signatures (a word that differs turns
+   one bit over, however many words there are) leave pairs whose similarity is verified on the sets.
 4. Words in the prefixes of more than ``hot`` classes are dealt with in two steps, so that no group is expanded into all
    pairs: each class meets the first class of the word; only classes without a match yet meet all that precede them.
 
 Null and empty texts are one line without words. A null id counts as the largest id. Rows with equal ids have lines at equal
-places, none of which is earlier than the other, so such lines are not removed for each other's sake.
+places, none of which is earlier than the other, so such lines are not removed for each other's sake; each is judged by its
+own words. Lines may be of any length. Of ``docs`` only ``doc_id`` and ``text`` are read; an empty table has no lines.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from parcelcast.llm.common import store, table
 TENTHS, HOT = 8, 256
 BUCKETS = 1 << 16
 LAST = (1 << 63) - 1
+SIGNATURE = ["s1", "s2"]
 _SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -64,27 +66,40 @@ def with_sets(lines: DataFrame, levels: bytes) -> DataFrame:
     return lines.withColumn("t", F.sort_array(F.array_distinct(F.transform(_words(F.col("line")), key))))
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, levels: bytes, tenths: int) -> DataFrame:
-    """Pairs of line places (xd, xl), (yd, yl) whose sets are similar."""
-    places = pairs.select(F.col("xd").alias("d"), F.col("xl").alias("l")).union(pairs.select("yd", "yl")).distinct()
-    sets = store(with_sets(lines_of(docs).join(places, ["d", "l"]).dropDuplicates(["d", "l"]), levels).select("d", "l", "t"), "line-sets")
-    side = lambda k: sets.select(F.col("d").alias(f"{k}d"), F.col("l").alias(f"{k}l"), F.col("t").alias(f"{k}t"))
-    both = pairs.join(side("x"), ["xd", "xl"]).join(side("y"), ["yd", "yl"])
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, levels: bytes, tenths: int) -> DataFrame:
+    """c of the classes that are similar to an earlier one, of pairs (x, y) of class numbers."""
+    asked = pairs.select(F.col("x").alias("c")).union(pairs.select("y")).distinct()
+    # written, so that its size is known when the join with the lines is planned
+    places = store(classes.join(asked, "c").select("c", "fp1", "f.d", "f.l"), "line-places")
+    # rows with equal ids have several lines at a place: the fingerprint tells them apart
+    sets = with_sets(lines_of(docs).join(places, ["d", "l"]), levels).filter(F.xxhash64("t") == F.col("fp1"))
+    sets = store(sets.select("c", "d", "l", "t").dropDuplicates(["c"]), "line-sets")
+    side = lambda k: sets.select(F.col("c").alias(k), F.struct("d", "l").alias(f"{k}f"), F.col("t").alias(f"{k}t"))
+    both = pairs.join(side("x"), "x").join(side("y"), "y")
     common, total = F.size(F.array_intersect("xt", "yt")), F.size("xt") + F.size("yt")
-    return both.filter(common * 10 >= (total - common) * tenths).select("xd", "xl", "yd", "yl")
+    later = F.when(F.col("xf") > F.col("yf"), F.col("x")).when(F.col("yf") > F.col("xf"), F.col("y"))
+    return both.filter(common * 10 >= (total - common) * tenths).select(later.alias("c")).filter("c IS NOT NULL").distinct()
 
 
-def _pairs(x: DataFrame, y: DataFrame, tenths: int) -> DataFrame:
-    """Distinct (x, y) with a shared prefix word, y before x, that pass all filters."""
+def _pairs(x: DataFrame, y: DataFrame, order: Column, tenths: int) -> DataFrame:
+    """Distinct (x, y) of class numbers with a shared prefix word, in ``order``, that pass all filters."""
     x, y = x.alias("x"), y.alias("y")
     n, m = F.col("x.n"), F.col("y.n")
     need = F.ceil((n + m) * tenths / (10 + tenths))
-    earlier = (F.col("y.d") < F.col("x.d")) | ((F.col("y.d") == F.col("x.d")) & (F.col("y.l") < F.col("x.l")))
+    differ = sum(F.bit_count(F.col(f"x.{s}").bitwiseXOR(F.col(f"y.{s}"))) for s in SIGNATURE)
     fits = (F.least(n, m) * 10 >= F.greatest(n, m) * tenths) & (
-        F.least(n - F.col("x.pos"), m - F.col("y.pos")) >= need) & (
-        F.bit_count(F.col("x.sig").bitwiseXOR(F.col("y.sig"))) <= n + m - 2 * need)
-    return x.join(y, (F.col("x.word") == F.col("y.word")) & earlier & fits).select(
-        F.col("x.d").alias("xd"), F.col("x.l").alias("xl"), F.col("y.d").alias("yd"), F.col("y.l").alias("yl")).distinct()
+        F.least(n - F.col("x.pos"), m - F.col("y.pos")) >= need) & (differ <= n + m - 2 * need)
+    return x.join(y, (F.col("x.word") == F.col("y.word")) & order & fits).select(
+        F.col("x.c").alias("x"), F.col("y.c").alias("y")).distinct()
+
+
+def _parity(t: Column, half: int) -> Column:
+    """64 bits, each the parity of the number of words that fall on it: a word more or less turns one bit over."""
+    def turned(s: Column, w: Column) -> Column:
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63).cast("long")).cast("int"))
+        return F.when(w.bitwiseAND(F.lit(64).cast("long")) == 64 * half, s.bitwiseXOR(bit)).otherwise(s)
+
+    return F.aggregate(t, F.lit(0).cast("long"), turned)
 
 
 def removed_lines(docs: DataFrame, tenths: int = TENTHS, hot: int = HOT) -> DataFrame:
@@ -92,31 +107,29 @@ def removed_lines(docs: DataFrame, tenths: int = TENTHS, hot: int = HOT) -> Data
     levels = rarity_levels(docs)
     t, n = F.col("t"), F.size("t")
     keep = (n - F.floor((n * tenths + 9) / 10) + 1).cast("int")
-    signature = F.aggregate(t, F.lit(0).cast("long"), lambda s, w: s.bitwiseOR(
-        F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63).cast("long")).cast("int"))))
     marked = with_sets(lines_of(docs), levels).select(
-        "d", "l", n.alias("n"), F.xxhash64("t").alias("fp1"), F.xxhash64(F.lit("second"), "t").alias("fp2"), signature.alias("sig"),
+        "d", "l", n.alias("n"), F.xxhash64("t").alias("fp1"), F.xxhash64(F.lit("second"), "t").alias("fp2"),
+        *(_parity(t, half).alias(s) for half, s in enumerate(SIGNATURE)),
         F.when(n > 0, F.transform(F.slice(t, F.lit(1), F.greatest(keep, F.lit(1))), lambda w: F.shiftright(w, 32).cast("int"))).alias("prefix"))
     marked = store(marked, "lines")
     key = ["fp1", "fp2", "n"]
     classes = store(marked.filter("n > 0").groupBy(*key).agg(
-        F.min(F.struct("d", "l")).alias("f"), F.first("sig").alias("sig"), F.first("prefix").alias("prefix")), "line-classes")
-    words = classes.select("f.d", "f.l", "n", "sig", F.posexplode("prefix").alias("pos", "word"))
-    entry = F.struct("d", "l", "n", "sig", "pos")
-    often = store(words.groupBy("word").agg(F.count(F.lit(1)).alias("c"), F.min(entry).alias("lo")).filter(
-        F.col("c") > hot).drop("c"), "frequent-words")
-    rare = words.join(often.select("word"), "word", "left_anti")
-    some = words.join(often, "word")
-    first_of = some.select("word", "lo.*").distinct()
-    met = _verified(store(_pairs(some.drop("lo"), first_of, tenths), "line-pairs"), docs, levels, tenths)
-    flagged = store(met.select(F.col("xd").alias("d"), F.col("xl").alias("l")).distinct(), "flagged")
-    still = some.drop("lo").join(flagged, ["d", "l"], "left_anti")
-    rest = store(_pairs(rare, rare, tenths).union(_pairs(still, some.drop("lo"), tenths)).distinct(), "line-pairs")
-    flagged = flagged.union(_verified(rest, docs, levels, tenths).select("xd", "xl")).distinct().select("d", "l", F.lit(True).alias("flag"))
-    judged = classes.select(*key, "f").join(flagged, (F.col("f.d") == flagged["d"]) & (F.col("f.l") == flagged["l"]), "left").select(
-        *key, "f", F.coalesce("flag", F.lit(False)).alias("flag"))
+        F.min(F.struct("d", "l")).alias("f"), *(F.first(c).alias(c) for c in (*SIGNATURE, "prefix"))).withColumn(
+        "c", F.monotonically_increasing_id()), "line-classes")  # numbered once, in the written table
+    words = classes.select("c", "f", "n", *SIGNATURE, F.posexplode("prefix").alias("pos", "word"))
+    often = store(words.groupBy("word").count().filter(F.col("count") > hot).select("word"), "frequent-words")
+    rare = words.drop("f").join(often, "word", "left_anti")
+    some = store(words.join(often, "word"), "frequent-places")
+    first_of = some.groupBy("word").agg(F.min(F.struct("f", "c", "n", *SIGNATURE, "pos")).alias("lo")).select("word", "lo.*").distinct()
+    earlier = F.col("y.f") < F.col("x.f")
+    met = store(_pairs(some, first_of, earlier, tenths), "line-pairs")
+    flagged = store(_verified(met, classes, docs, levels, tenths), "flagged")
+    still = some.join(flagged, "c", "left_anti")
+    rest = store(_pairs(rare, rare, F.col("y.c") < F.col("x.c"), tenths).union(_pairs(still, some, earlier, tenths)).distinct(), "line-pairs")
+    flagged = flagged.union(_verified(rest, classes, docs, levels, tenths)).distinct().withColumn("flag", F.lit(True))
+    judged = classes.join(flagged, "c", "left").select(*key, "f", F.coalesce("flag", F.lit(False)).alias("flag"))
     later = (F.col("d") > F.col("f.d")) | ((F.col("d") == F.col("f.d")) & (F.col("l") > F.col("f.l")))
-    return marked.drop("sig", "prefix").join(judged, key, "left").select(
+    return marked.select("d", "l", *key).join(judged, key, "left").select(
         "d", "l", "n", F.coalesce(later | F.col("flag"), F.lit(False)).alias("gone"))
 
 

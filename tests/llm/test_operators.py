@@ -169,6 +169,16 @@ def test_line_text_and_empty_table(spark):
     assert linededup.removed_lines(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("hot", [1, 256])
+def test_lines_of_equal_ids_are_judged_by_their_own_words(spark, hot):
+    long = " ".join(f"w{i}" for i in range(400))
+    rows = [(1, "v w x y z"), (1, "a b c d e"), (2, "a b c d e f"), (3, "v w x y z q"), (3, "v w x y z q"), (None, "k l m n o"), (None, "p l m n o"),
+            (4, long), (5, long.replace("w7 ", "other ")), (6, long.replace("w", "u"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["d"], r["gone"]) for r in linededup.removed_lines(docs, hot=hot).collect())
+    assert got == [(1, False), (1, False), (2, True), (3, True), (3, True), (4, False), (5, True), (6, False)] + [(linededup.LAST, False)] * 2
+
+
 # --- op 4
 
 
