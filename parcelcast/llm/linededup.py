@@ -71,8 +71,9 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, levels: byt
     asked = pairs.select(F.col("x").alias("c")).union(pairs.select("y")).distinct()
     # written, so that its size is known when the join with the lines is planned
     places = store(classes.join(asked, "c").select("c", "fp1", "f.d", "f.l"), "line-places")
-    # rows with equal ids have several lines at a place: the fingerprint tells them apart
-    sets = with_sets(lines_of(docs).join(places, ["d", "l"]), levels).filter(F.xxhash64("t") == F.col("fp1"))
+    # rows with equal ids have several lines at a place: the fingerprint tells them apart (as an equality it would become a
+    # key of the join, and the sets of all lines would be built for it)
+    sets = with_sets(lines_of(docs).join(places, ["d", "l"]), levels).filter(F.xxhash64("t").bitwiseXOR(F.col("fp1")) == 0)
     sets = store(sets.select("c", "d", "l", "t").dropDuplicates(["c"]), "line-sets")
     side = lambda k: sets.select(F.col("c").alias(k), F.struct("d", "l").alias(f"{k}f"), F.col("t").alias(f"{k}t"))
     both = pairs.join(side("x"), "x").join(side("y"), "y")
