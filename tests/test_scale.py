@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 from parcelcast.operators import evaluation, features, ordering, profiling
+from parcelcast.plans import jobs
 from parcelcast.sources import files, standins
 
 SF = "/root/testdata/sf0.001"
@@ -111,3 +112,22 @@ def test_rank_is_the_same_after_recomputation(spark):
     df = spark.range(2000).select("id", (F.col("id") % 11).alias("t"))
     ranked = ordering.global_rank(df.repartition(6), ["t", "id"])
     assert ranked.exceptAll(ordering.global_rank(df.repartition(3), ["t", "id"])).count() == 0
+
+
+def test_feature_shuffles_follow_the_rows_not_the_session(spark, monkeypatch):
+    """Rows by order are placed once a path, by a number of partitions of their own: no wide row is shuffled again."""
+    monkeypatch.setattr(features, "PARTITION_ROWS", 500)
+    tables = {name: standins.view(spark, SF, name) for name in jobs.FEATURE_INPUTS}
+    want = features._parts(tables["order_items"], tables["payments"])
+    assert want == -(-tables["order_items"].count() // 500) > 8
+    tuned = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for k, v in tuned.items():
+        spark.conf.set(k, v)
+    try:
+        text = plan(jobs.build_features(spark, SF))
+    finally:
+        for k in tuned:
+            spark.conf.unset(k)
+    placed = re.findall(r"Exchange hashpartitioning\(order_id#\d+L, (\d+)\)", text)
+    assert len(placed) >= 5 and set(placed) == {str(want)}
+    assert not re.search(r"Exchange hashpartitioning\(order_id#\d+L, (product_id|category|seller_id|seller_state)", text)
