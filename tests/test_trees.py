@@ -210,3 +210,44 @@ def test_unseen_and_missing_values_score(ranked, fitted):
 def test_a_fold_without_rows_is_refused(ranked):
     with pytest.raises(K.ContractError):
         trees.fit_trees(ranked.filter("row_num > 500"), [splits.Fold(1, 100, 200)], [TREE])
+
+
+def test_waves_are_bounded_by_rows_and_models_are_sent_without_single_trees(ranked, monkeypatch):
+    calls, real = [], trees.run_step
+
+    def counted(blocks, plan, tasks):
+        calls.append(len(plan.units))
+        return real(blocks, plan, tasks)
+
+    monkeypatch.setattr(trees, "run_step", counted)
+    monkeypatch.setattr(trees, "WAVE_ROWS", 700)
+    settings = TreeSettings(False, 20, min_rows=3, node_columns="sqrt", bootstrap=True)
+    model = trees.fit_trees(ranked, FOLDS[:1], [settings])[0][0]
+    cores = ranked.sparkSession.sparkContext.defaultParallelism
+    assert max(calls) <= cores < 20 and model.n_trees == 20
+    sent = model.for_scoring()
+    assert not sent.trees and sent.n_trees == 20 and scores(sent, ranked) == scores(model, ranked)
+
+
+def test_models_of_some_hundred_thousand_rows_grow_in_one_task():
+    """Rounds of 25 trees, not a job for each level of each tree."""
+    unit = trees.Unit(0, 1, Rule(DEPTH))
+    unit.nodes.totals[1] = np.array([0.0, 0.0, 420_000.0])
+    unit.decide([1], trees.LOCAL_ROWS)
+    assert unit.open == {1: True}
+    unit.nodes.totals[1] = np.array([0.0, 0.0, 4_200_000.0])
+    unit.decide([1], trees.LOCAL_ROWS)
+    assert unit.open == {1: False}
+
+
+def test_level_tables_count_what_the_rows_hold():
+    rng = np.random.default_rng(8)
+    spec = spec_of(edges=9)
+    bins = np.column_stack([rng.integers(0, 10, (500, 3)), rng.integers(0, 5, 500)]).astype(np.uint8)
+    stats = np.column_stack([rng.integers(-9, 9, (500, 2)), np.ones(500)]).astype(float)
+    path = rng.integers(2, 5, 500)
+    got = trees.LevelTables(bins, stats, spec).count(path, np.array([2, 4])).reshape(2, 4, spec.width, 3)
+    for i, p in enumerate((2, 4)):
+        for f in range(4):
+            for b in range(spec.width):
+                assert (got[i, f, b] == stats[(path == p) & (bins[:, f] == b)].sum(axis=0)).all()
