@@ -225,6 +225,8 @@ def test_waves_are_bounded_by_rows_and_models_are_sent_without_single_trees(rank
     model = trees.fit_trees(ranked, FOLDS[:1], [settings])[0][0]
     cores = ranked.sparkSession.sparkContext.defaultParallelism
     assert max(calls) <= cores < 20 and model.n_trees == 20
+    assert all(np.shares_memory(t[i], whole) for t in model.trees for i, whole in (
+        (0, model.ensemble.feature), (1, model.ensemble.equal), (5, model.ensemble.value)))  # the driver holds them once
     sent = model.for_scoring()
     assert not sent.trees and sent.n_trees == 20 and scores(sent, ranked) == scores(model, ranked)
 
