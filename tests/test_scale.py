@@ -131,3 +131,13 @@ def test_feature_shuffles_follow_the_rows_not_the_session(spark, monkeypatch):
     placed = re.findall(r"Exchange hashpartitioning\(order_id#\d+L, (\d+)\)", text)
     assert len(placed) >= 5 and set(placed) == {str(want)}
     assert not re.search(r"Exchange hashpartitioning\(order_id#\d+L, (product_id|category|seller_id|seller_state)", text)
+
+
+def test_product_features_place_rows_by_order_once(spark, monkeypatch):
+    """(order, product) and (order, category) take no shuffle of their own, and what a task holds does not grow."""
+    monkeypatch.setattr(features, "PARTITION_ROWS", 500)
+    items, products, translation = (standins.view(spark, SF, n) for n in ("order_items", "products", "category_translation"))
+    text = plan(features.order_product_features(items, products, translation))
+    parts = features._parts(items)
+    assert re.findall(r"Exchange hashpartitioning\(order_id#\d+L[^)]*\)", text) and not re.search(r"hashpartitioning\(order_id#\d+L, (product_id|category)", text)
+    assert set(re.findall(r"hashpartitioning\(order_id#\d+L, (\d+)\)", text)) == {str(parts)}
