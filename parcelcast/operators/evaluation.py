@@ -40,7 +40,11 @@ def score_table(df: DataFrame, groups: Sequence[str] = (), label: str = TARGET,
 
 def score_curve(df: DataFrame, groups: Sequence[str] = (), label: str = TARGET, score: str = SCORE) -> DataFrame:
     """Score table with true positives ``run_pos`` and predicted positives ``run_n`` at 'score >= threshold'."""
-    return running_totals(score_table(df, groups, label, score), list(groups), [F.desc("score")], ["pos", "n"])
+    return _curve(score_table(df, groups, label, score), groups)
+
+
+def _curve(table: DataFrame, groups: Sequence[str]) -> DataFrame:
+    return running_totals(table, list(groups), [F.desc("score")], ["pos", "n"])
 
 
 def _average_precision() -> Column:
@@ -81,6 +85,12 @@ def ranking_metrics(df: DataFrame, groups: Sequence[str] = (), label: str = TARG
     return score_curve(df, groups, label, score).groupBy(*groups).agg(*_ranking_aggregates())
 
 
+def ranking_of_counts(counts: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
+    """``ranking_metrics`` of rows that are counted already: positives ``pos`` and rows ``n`` by ``score``, in any number of parts."""
+    table = counts.groupBy(*groups, "score").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
+    return _curve(table, groups).groupBy(*groups).agg(*_ranking_aggregates())
+
+
 def _confusion(threshold: float) -> dict[str, Column]:
     chosen = F.col("score") >= F.lit(float(threshold))
     tp = F.coalesce(F.sum(F.when(chosen, F.col("pos"))), F.lit(0))

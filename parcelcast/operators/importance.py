@@ -12,7 +12,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from parcelcast.contracts import ContractError, MODEL_FEATURES, ORDER_KEY, TARGET
-from parcelcast.operators.evaluation import ranking_metrics
+from parcelcast.operators.evaluation import ranking_metrics, ranking_of_counts
 from parcelcast.operators.ordering import global_rank, with_scalar
 from parcelcast.operators.preprocessing import feature_names
 from parcelcast.operators.training import Model, SEED, score_rows
@@ -54,21 +54,90 @@ def shuffled_pairs(df: DataFrame, repeats: int, seed: int, columns: Sequence[str
     placed = df.join(global_rank(df.select(ORDER_KEY), [ORDER_KEY], "_place"), ORDER_KEY)
     n = df.count()
 
-    @F.arrow_udf("long")
-    def target(place: pa.Array, repeat: pa.Array) -> pa.Array:
-        at, turn = place.to_numpy(), repeat.to_numpy()
-        out = np.empty(len(at), dtype=np.int64)
-        for k in np.unique(turn).tolist():
-            mine = turn == k
-            out[mine] = permuted(at[mine] - 1, n, seed, k) + 1
-        return pa.array(out)
-
-    donors = placed.select("_place", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("repeat"),
-                           *[F.col(c).alias(f"donor__{c}") for c in columns])
-    donors = donors.withColumn("_place", target("_place", "repeat"))
+    @F.arrow_udf("array<long>")
+    def targets(place: pa.Array) -> pa.Array:
+        at = place.to_numpy()
+        out = np.stack([permuted(at - 1, n, seed, k) + 1 for k in range(repeats)], axis=1)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * repeats, pa.int32()), pa.array(out.ravel()))
+
+    # asked once a row and multiplied afterwards: Spark keeps the rows that wait for Python, on disk if need be
+    donors = placed.withColumn("_targets", targets("_place")).select(
+        F.posexplode("_targets").alias("repeat", "_place"), *[F.col(c).alias(f"donor__{c}") for c in columns])
     return placed.join(donors, "_place").drop("_place")
 
 
+_BINS = "_bins"
+_COUNTS = T.StructType([T.StructField("feature", T.IntegerType()), T.StructField("repeat", T.IntegerType()), T.StructField("score", T.DoubleType()),
+                        T.StructField("pos", T.LongType()), T.StructField("n", T.LongType())])
+
+
+def _binned(model: TreeModel, rows: DataFrame) -> DataFrame:
+    """Id, label and the bin numbers of each row, all that trees see of it, as bytes."""
+    spec = model.spec
+    names = [ORDER_KEY, TARGET, _BINS]
+
+    def run(batches):
+        for batch in batches:
+            bins = spec.bins([batch.column(2 + i) for i in range(len(spec.inputs))])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([b.tobytes() for b in bins], pa.binary())], names=names)
+
+    schema = T.StructType([rows.schema[ORDER_KEY], rows.schema[TARGET], T.StructField(_BINS, T.BinaryType())])
+    return rows.select(ORDER_KEY, TARGET, *[F.col(c).alias(f"_{c}") for c in spec.inputs]).mapInArrow(run, schema)
+
+
+def _variant_counts(model: TreeModel, pairs: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Positives and rows by feature, repeat and score, each row with one feature of its donor at a time; feature -1 is the row as it is.
+
+    The variants of a batch are scored and counted where they arise: they are no rows of their own.
+    """
+    sent, spec = model.for_scoring(), model.spec
+    used = set(model.ensemble.feature[model.ensemble.left != np.arange(len(model.ensemble.left))].tolist())
+    places = []  # the bins that hang on a feature, as far as any split looks at them
+    for c in columns:
+        of = [spec.numeric.index(c)] if c in spec.edges else [len(spec.numeric) + spec.texts.index(c)] if c in spec.texts else []
+        of += [len(spec.edges) + spec.gaps.index(c)] if c in spec.gaps else []
+        places.append([p for p in of if p in used])
+
+    def counted(feature: int, repeat: np.ndarray, score: np.ndarray, late: np.ndarray) -> pa.RecordBatch:
+        order = np.lexsort((score, repeat))
+        r, s = repeat[order], score[order]
+        first = np.flatnonzero(np.concatenate([[True], (r[1:] != r[:-1]) | (s[1:] != s[:-1])]))
+        n = np.diff(np.append(first, len(r)))
+        return pa.RecordBatch.from_arrays([
+            pa.array(np.full(len(first), feature), pa.int32()), pa.array(r[first], pa.int32()), pa.array(s[first]),
+            pa.array(np.add.reduceat(late[order], first)), pa.array(n, pa.int64())], names=_COUNTS.names)
+
+    def matrix(column: pa.Array) -> np.ndarray:
+        return np.frombuffer(b"".join(column.to_pylist()), dtype=spec.dtype).reshape(len(column), -1)
+
+    def run(batches):
+        for batch in batches:
+            batch = batch.filter(batch.column(0).is_valid())
+            if not batch.num_rows:
+                continue
+            late = batch.column(0).cast(pa.int64()).to_numpy()
+            repeat, own, donor = batch.column(1).to_numpy(), matrix(batch.column(2)), matrix(batch.column(3))
+            score = sent.probabilities(own)
+            yield counted(-1, repeat, score, late)
+            for feature, of in enumerate(places):
+                other = np.flatnonzero((own[:, of] != donor[:, of]).any(axis=1))
+                changed, variant = score.copy(), own[other]
+                variant[:, of] = donor[np.ix_(other, of)]
+                changed[other] = sent.probabilities(variant)
+                yield counted(feature, repeat, changed, late)
+
+    return pairs.select(TARGET, "repeat", _BINS, f"donor__{_BINS}").mapInArrow(run, _COUNTS)
+
+
+def _tree_drops(model: TreeModel, rows: DataFrame, repeats: int, seed: int, columns: Sequence[str]) -> DataFrame:
+    """feature and drop for each feature and repeat. Rows go to their donors as bin numbers, a byte or two a column."""
+    pairs = shuffled_pairs(_binned(model, rows), repeats, seed, [_BINS])
+    found = ranking_of_counts(_variant_counts(model, pairs, columns), ["feature", "repeat"]).select("feature", "repeat", "pr_auc")
+    base = found.filter("feature = -1").select("repeat", F.col("pr_auc").alias("base"))
+    names = F.array(*[F.lit(c) for c in columns])
+    return found.filter("feature >= 0").join(base, "repeat").select(names[F.col("feature")].alias("feature"), (F.col("base") - F.col("pr_auc")).alias("drop"))
+
+
 def permutation_importance(
     model: Model, rows: DataFrame, n_repeats: int = 5, seed: int = SEED,
     columns: Sequence[str] = tuple(MODEL_FEATURES),
@@ -79,6 +148,15 @@ def permutation_importance(
     through one pass, and all their metrics come from one grouped job.
     """
     columns = list(columns)
+    drops = _tree_drops(model, rows, n_repeats, seed, columns) if isinstance(model, TreeModel) else _drops(model, rows, n_repeats, seed, columns)
+    return (
+        drops.groupBy("feature")
+        .agg(F.avg("drop").alias("importance_mean"), F.stddev_pop("drop").alias("importance_std"))
+        .orderBy(F.desc("importance_mean"), "feature")
+    )
+
+
+def _drops(model: PipelineModel, rows: DataFrame, n_repeats: int, seed: int, columns: list[str]) -> DataFrame:
     base = rows.select(ORDER_KEY, TARGET, *columns)
     baseline = ranking_metrics(score_rows(model, base)).select("pr_auc").scalar()
     pairs = shuffled_pairs(base, n_repeats, seed, columns)
@@ -89,14 +167,7 @@ def permutation_importance(
     variants = pairs.withColumn("feature", F.explode(F.array(*[F.lit(c) for c in columns]))).select(
         "feature", "repeat", TARGET, *[variant(c) for c in columns]
     )
-    drops = ranking_metrics(score_rows(model, variants), ["feature", "repeat"]).withColumn(
-        "drop", baseline - F.col("pr_auc")
-    )
-    return (
-        drops.groupBy("feature")
-        .agg(F.avg("drop").alias("importance_mean"), F.stddev_pop("drop").alias("importance_std"))
-        .orderBy(F.desc("importance_mean"), "feature")
-    )
+    return ranking_metrics(score_rows(model, variants), ["feature", "repeat"]).withColumn("drop", baseline - F.col("pr_auc"))
 
 
 def tree_contributions(model: TreeModel, rows: DataFrame, key: str = ORDER_KEY) -> DataFrame:

@@ -71,3 +71,20 @@ def test_regression_contributions_add_up_to_the_raw_score(rows):
         assert 1 / (1 + np.exp(-(base + total[r["order_id"]]))) == pytest.approx(r["probability"], abs=1e-6)
     means = long.groupBy("feature").agg(F.avg("contribution").alias("m")).collect()
     assert all(r["m"] == pytest.approx(0, abs=1e-9) for r in means)
+
+
+def test_tree_variants_are_counted_where_they_arise(rows, monkeypatch):
+    pairs = importance.shuffled_pairs(rows.select("order_id", K.TARGET), 3, 1, [K.TARGET])._jdf.queryExecution().optimizedPlan().toString()
+    assert pairs.index("Generate") < pairs.index("ArrowEvalPython")  # rows are multiplied after Python, which holds waiting rows on disk
+    settings = [trees.TreeSettings(False, 1, max_depth=3, min_rows=5), trees.TreeSettings(True, 5, 0.3, max_leaves=7, min_rows=5, l2=1.0)]
+    some = rows.withColumn("mean_distance_km", F.when(F.col("order_id") % 2 == 0, F.col("mean_distance_km")))
+    for model in trees.fit_trees(some, [Fold(1, 401, 401)], settings)[0]:
+        want = {r["feature"]: r for r in importance._drops(model, some, 3, 7, list(K.MODEL_FEATURES)).groupBy("feature").agg(
+            F.avg("drop").alias("importance_mean"), F.stddev_pop("drop").alias("importance_std")).collect()}
+        with monkeypatch.context() as patched:
+            patched.setattr(importance, "score_rows", None)  # variants are no rows of a table
+            got = importance.permutation_importance(model, some, 3, 7).collect()
+        assert len(got) == len(want) == 41
+        for r in got:
+            for c in ("importance_mean", "importance_std"):
+                assert r[c] == pytest.approx(want[r["feature"]][c], abs=1e-12)
