@@ -278,3 +278,14 @@ def test_drawn_categories_are_counted_once_a_node(monkeypatch):
             assert len(drawn[0]) <= len(plain[0]) and (got.feature >= 0).any()
             for name in ("feature", "equal", "cut", "gain", "left"):
                 assert (getattr(got, name) == getattr(want, name)).all()
+
+
+def test_open_nodes_are_dealt_out_evenly():
+    units = [trees.Unit(0, 1, Rule(DEPTH)) for _ in range(20)]
+    for i, u in enumerate(units):
+        u.nodes.totals[1] = np.array([0.0, 0.0, 1000.0 + i])
+        u.decide([1], trees.LOCAL_ROWS)
+    places = trees.Plan(units, [], {}).places(8)
+    loads = np.bincount(list(places.values()), minlength=8)
+    assert len(places) == 20 and loads.max() - loads.min() <= 1  # hashed, one task had up to four of them and another none
+    assert sorted(places[i, 1] for i in range(12, 20)) == list(range(8))  # the largest ones in tasks of their own
