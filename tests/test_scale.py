@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
-from parcelcast.operators import evaluation, features, ordering, profiling
+from parcelcast import contracts as K
+from parcelcast.operators import evaluation, features, ordering, profiling, selection, splits, trees
 from parcelcast.plans import jobs
 from parcelcast.sources import files, standins
 
@@ -141,3 +142,29 @@ def test_product_features_place_rows_by_order_once(spark, monkeypatch):
     parts = features._parts(items)
     assert re.findall(r"Exchange hashpartitioning\(order_id#\d+L[^)]*\)", text) and not re.search(r"hashpartitioning\(order_id#\d+L, (product_id|category)", text)
     assert set(re.findall(r"hashpartitioning\(order_id#\d+L, (\d+)\)", text)) == {str(parts)}
+
+
+def test_the_sketches_that_are_merged_do_not_grow_with_the_partitions(spark, monkeypatch):
+    sc, x = spark.sparkContext, F.col("id").cast("double")
+    rows = spark.range(0, 40000, 1, 300)
+
+    def most_tasks(name, work):
+        sc.setJobGroup(name, name)
+        try:
+            found = work()
+        finally:
+            sc.setLocalProperty("spark.jobGroup.id", None)
+        tracker = sc.statusTracker()
+        stages = [s for j in tracker.getJobIdsForGroup(name) for s in tracker.getJobInfo(j).stageIds]
+        return found, max(info.numTasks for info in map(tracker.getStageInfo, stages) if info)
+
+    found, tasks = most_tasks("sketched", lambda: selection.sketched(rows, {"x": x}, {"m": 0.5}, 1000))
+    assert tasks <= sc.defaultParallelism and abs(found["x"]["m"] - 20000) <= 100
+    assert selection.summarize(rows, {"x": x}, {"m": 0.5})["x"]["m"] == 19999.5
+    ranked = rows.select((F.col("id") + 1).alias("row_num"), (F.col("id") % 2).cast("int").alias(K.TARGET),
+                         *[x.alias(c) for c in K.NUMERIC_FEATURES], *[F.lit("a").alias(c) for c in K.CATEGORICAL_FEATURES])
+    with monkeypatch.context() as m:
+        sketches, real = [], trees.for_sketches
+        m.setattr(trees, "for_sketches", lambda df: sketches.append(real(df)) or sketches[-1])
+        assert trees.fit_bins(ranked, [splits.Fold(1, 40000, 40000)])[1].rows == 40000
+    assert sketches[0].rdd.getNumPartitions() <= sc.defaultParallelism
