@@ -141,6 +141,21 @@ def test_level_by_level_equals_whole_branches(ranked, fitted):
             assert all((np.asarray(p) == q).all() and (np.asarray(p) == r).all() for p, q, r in zip(x, y, z))
 
 
+def test_large_boosted_models_count_a_level_a_job_and_send_no_rows(ranked, fitted, monkeypatch):
+    """A model too large for a task: a job a level counts the smaller children, margins are those of the last round."""
+    monkeypatch.setattr(trees, "run_step", lambda *a: pytest.fail("rows or margins are handled again"))
+    monkeypatch.setattr(trees, "CHECKPOINT_TREES", 2)
+    asked, real = [], trees._added_up
+    monkeypatch.setattr(trees, "_added_up", lambda rows, wanted, *rest: asked.append(wanted) or real(rows, wanted, *rest))
+    for settings, want in ((LEAVES, fitted[0][2]), (DEPTH, fitted[0][3])):
+        asked.clear()
+        model = trees.fit_trees(ranked, FOLDS[:1], [settings], local_rows=0)[0][0]
+        assert all((np.asarray(p) == q).all() for x, y in zip(model.trees, want.trees) for p, q in zip(x, y))
+        assert model.n_trees == want.n_trees and model.losses == pytest.approx(want.losses)
+        assert len(asked) <= sum(t[6] + 2 for t in model.trees) + 1 and not any(last for a in asked for *_, last in a.values())
+        assert all(len({p // 2 for p in wanted}) == len(wanted) for a in asked for _, _, _, wanted, _ in a.values())
+
+
 def test_models_grown_together_are_those_grown_alone(ranked, fitted):
     alone = trees.fit_trees(ranked.repartition(3, "order_id"), FOLDS[1:], [DEPTH])[0][0]
     assert scores(alone, ranked) == pytest.approx(scores(fitted[1][3], ranked), abs=1e-6)
