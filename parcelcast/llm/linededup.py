@@ -3,7 +3,7 @@
 A line's set holds its distinct words. A line goes if the Jaccard similarity with an earlier line (by id, then by line number)
 is ``tenths`` tenths or more; lines are judged on the input. Lines without words stay and match nothing.
 
-1. Words are ordered by rarity: their counts in 2**16 hash buckets (a literal of 64 KB, whatever the input) give a level,
+1. Words are ordered by rarity: their counts in 2**16 hash buckets (a constant, whatever the input) give a level,
    and ties go by hash. A word is a 64-bit key that sorts in this order.
 2. Lines with equal sets (128-bit fingerprints) form a class, known by its first line. All but that first line go.
 3. The prefix of a class, n - ceil(t n) + 1 of its rarest words, is joined on the words' keys, shortened to 32 bits: a chance
@@ -20,6 +20,7 @@ own words. Lines may be of any length. Of ``docs`` only ``doc_id`` and ``text``
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -38,13 +39,15 @@ def lines_of(docs: DataFrame) -> DataFrame:
                        F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("l", "line"))
 
 
-def _words(line: Column) -> Column:
-    return F.array_remove(F.split(line, _SPACE), "")
+def _words(text: Column) -> Column:
+    """The words of a text; where blanks are its only white space, it is split without a pattern."""
+    others = reduce(lambda x, y: x | y, (F.contains(text, F.lit(c)) for c in "\t\n\x0b\x0c\r"))
+    return F.array_remove(F.when(others, F.split(text, _SPACE)).otherwise(F.split(text, " ")), "")
 
 
 def rarity_levels(docs: DataFrame) -> bytes:
     """A level from 1 to 127 for each hash bucket: rounded logarithm of the words in it."""
-    words = lines_of(docs).select(F.explode(_words(F.col("line"))).alias("word"))
+    words = docs.select(F.explode(_words(F.replace("text", F.lit("\n"), F.lit(" ")))).alias("word"))  # line ends are white space
     bucket = F.shiftrightunsigned(F.xxhash64("word"), 48)
     counts = words.groupBy(bucket.alias("bucket")).count().toArrow()  # at most BUCKETS rows
     levels = bytearray(b"\x01" * BUCKETS)
@@ -55,15 +58,15 @@ def rarity_levels(docs: DataFrame) -> bytes:
 
 def with_sets(lines: DataFrame, levels: bytes) -> DataFrame:
     """Adds t, the keys of a line's distinct words from the rarest on."""
-    table_of_levels = F.lit(bytearray(levels))
+    # a constant array of small numbers; functions of array elements are interpreted, so each step of them counts
+    table_of_levels = F.split(F.lit(",".join(map(str, levels))), ",").cast("array<tinyint>")
 
-    def key(word: Column) -> Column:
-        code = F.xxhash64(word)
-        at = F.shiftrightunsigned(code, 48).cast("int") + 1
-        level = F.ascii(F.substring(table_of_levels, at, F.lit(1)).cast("string")).cast("long")
+    def key(code: Column) -> Column:
+        level = F.get(table_of_levels, F.shiftrightunsigned(code, 48)).cast("long")
         return F.shiftleft(level, 56).bitwiseOR(F.shiftrightunsigned(code, 8))
 
-    return lines.withColumn("t", F.sort_array(F.array_distinct(F.transform(_words(F.col("line")), key))))
+    codes = F.transform(_words(F.col("line")), lambda word: F.xxhash64(word))
+    return lines.withColumn("t", F.sort_array(F.array_distinct(F.transform(codes, key))))
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, levels: bytes, tenths: int) -> DataFrame:

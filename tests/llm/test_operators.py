@@ -179,6 +179,16 @@ def test_lines_of_equal_ids_are_judged_by_their_own_words(spark, hot):
     assert got == [(1, False), (1, False), (2, True), (3, True), (3, True), (4, False), (5, True), (6, False)] + [(linededup.LAST, False)] * 2
 
 
+def test_words_are_hashed_once_and_split_at_any_white_space(spark):
+    docs = spark.createDataFrame([(1, " a b  c \na\tb\x0bc\x0c\r\nc b a b\n\n \t"), (2, None)], "doc_id long, text string")
+    levels = linededup.rarity_levels(docs)
+    assert sum(x > 1 for x in levels) == 3  # three words, whatever lies between them
+    sets = linededup.with_sets(linededup.lines_of(docs), levels)
+    assert sets._jdf.queryExecution().analyzed().toString().count("xxhash64(lambda") == 1
+    found = [r["t"] for r in sets.orderBy("d", "l").collect()]
+    assert found[0] == found[1] == found[2] and len(found[0]) == 3 and found[3:] == [[], [], []]
+
+
 # --- op 4
 
 
