@@ -83,3 +83,23 @@ def test_repeated_rows_change_the_fingerprint(spark):
     rows = spark.createDataFrame([(1, None, {"a": 1}), (2, [1], None)], "x int, y array<int>, z map<string,int>")
     assert content(rows)[0] == 2 and content(rows) == content(rows.orderBy(F.desc("x")))
     assert content(rows.union(rows))[1] != content(rows)[1]
+
+
+def test_the_registered_evaluation_searches_the_whole_grid_and_deploys_its_winner(spark, split, tmp_path, monkeypatch):
+    from types import SimpleNamespace
+
+    from parcelcast.plans import catalog
+
+    seen, record = {}, spark.range(1)
+    found = [(c.config_id, c.family, i, 0.9 if c.config_id == "random_forest_02" else 0.1) for c in training.search_configs() for i in (1, 2)]
+    metrics = spark.createDataFrame(found, "config_id string, model_family string, fold int, pr_auc double")
+    for name in ("roc_auc", "recall", "precision", "f1"):
+        metrics = metrics.withColumn(name, metrics["pr_auc"])
+    book = SimpleNamespace(part=lambda name: metrics, entry=lambda name: {"part": "model path"})
+    monkeypatch.setattr(catalog, "Data", lambda *_: SimpleNamespace(spark=spark, sf_dir=str(tmp_path), split=split))
+    monkeypatch.setattr(jobs, "evaluation_job", lambda split, configs, *_, **options: seen.update(configs=configs, **options) or ({"r": record}, book))
+    monkeypatch.setattr(jobs, "deployment_job", lambda spark, path, oof, rules, config: seen.update(winner=config, oof=oof) or record)
+    assert catalog.QUERIES["evaluation_job"](spark, "").count() == catalog.QUERIES["deployment_job"](spark, "").count() == 1
+    assert seen["configs"] == training.search_configs() and len(seen["configs"]) == 22
+    assert seen["winner"].config_id == "random_forest_02" and set(seen) == {"configs", "winner", "oof"}  # all folds, all repeats
+    assert {r["config_id"] for r in seen["oof"].collect()} == {"random_forest_02"}  # not the scores of the whole grid
