@@ -3,7 +3,9 @@
 A code holds the signs of an embedding (1 where a component is above 0), cut into segments. Every segment of every code is
 hashed. A query probes all buckets within radius 0 of its segments, then 1, 2, ...; the codes found are verified. After
 radius r over m segments every code within Hamming distance m * (r + 1) - 1 has been seen, so a query ends as soon as its k-th
-verified distance is no larger. A radius with more buckets than there are codes verifies the rest of the codes directly.
+verified distance is no larger. Where looking up a radius costs more than comparing all codes does (PROBE_COST compared ones for each bucket
+or candidate), they are compared, in tiles against the k-th distance so far. Queries go QUERIES_AT_ONCE at a time, so that a task
+holds a bounded number of candidates whatever its blocks hold.
 
 The rows are dealt into blocks by a hash of the id, and each block of the query set meets each block of rows in one task,
 which holds both; block sizes are bounded by parameters. Equal codes are one entry with its smallest ids, which is
@@ -26,6 +28,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from parcelcast.llm.common import store, table
 
 ROWS_PER_BLOCK, QUERIES_PER_BLOCK, LEAST_BLOCKS = 100_000, 20_000, 16
+QUERIES_AT_ONCE, PROBE_COST, QUERY_TILE, CODE_TILE = 1024, 512, 64, 8192
 
 
 def sign_codes(rows: pa.Array, bits: int) -> np.ndarray:
@@ -83,63 +86,106 @@ class MultiIndex:
 
     def nearest(self, own: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(query number, id, distance) in parts: the k nearest of each query by distance, then id."""
-        out, active = [], np.arange(len(queries))
-        seen_q, seen_c, seen_d = (np.zeros(0, np.int64) for _ in range(3))
+        out = []
+        for lo in range(0, len(queries) if len(self.codes) else 0, QUERIES_AT_ONCE):
+            q, ids, d = self._nearest(own[lo: lo + QUERIES_AT_ONCE], queries[lo: lo + QUERIES_AT_ONCE], k)
+            out.append((q + lo, ids, d))
+        return out
+
+    def _nearest(self, own: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        found, active = [], np.arange(len(queries))
+        seen = tuple(np.zeros(0, np.int64) for _ in range(3))
         for radius in range(max(hi - lo for lo, hi in self.segments) + 1):
-            if not len(active) or not len(self.codes):
+            if not len(active):
                 break
             probes = sum(math.comb(hi - lo, radius) for lo, hi in self.segments)
-            if exhaustive := probes >= len(self.codes):
-                pieces = [(np.full(len(self.codes), a), np.arange(len(self.codes))) for a in active]
-            else:
-                pieces = list(self._probe(queries, active, radius))
-            q = np.concatenate([seen_q, *(p[0] for p in pieces)])
-            c = np.concatenate([seen_c, *(p[1] for p in pieces)])
+            limit = len(active) * len(self.codes) // PROBE_COST
+            pieces = self._probed(queries, active, radius, limit - len(seen[0])) if probes * len(active) <= limit else None
+            if pieces is None:
+                found += self._compared(own, queries, active, k)
+                seen, active = tuple(x[:0] for x in seen), active[:0]
+                break
+            q = np.concatenate([seen[0], *(p[0] for p in pieces)])
+            c = np.concatenate([seen[1], *(p[1] for p in pieces)])
             both = np.unique(q * len(self.codes) + c)  # verify each pair once
             q, c = both // len(self.codes), both % len(self.codes)
-            d = np.bitwise_count(queries[q] ^ self.codes[c]).sum(axis=1).astype(np.int64)
-            order = np.lexsort((d, q))
-            q, c, d = q[order], c[order], d[order]
-            # one id more than k, as the query itself may be among them
-            ahead = np.cumsum(self.count[c]) - self.count[c]
-            start = np.searchsorted(q, active)
-            stop = np.searchsorted(q, active, side="right")
-            covered = len(self.segments) * (radius + 1) - 1
-            done = np.zeros(len(active), dtype=bool)
-            for i, (a, b) in enumerate(zip(start.tolist(), stop.tolist())):
-                within = ahead[a:b] - (ahead[a] if b > a else 0)
-                last = int(np.searchsorted(within + self.count[c[a:b]], k + 1))
-                if exhaustive or (last < b - a and d[a + last] <= covered):
-                    done[i] = True
-                    limit = d[a + last] if last < b - a else np.inf
-                    chosen = np.arange(a, a + int(np.searchsorted(d[a:b], limit, side="right")))
-                    out.append(self._members(active[i], own[active[i]], c[chosen], d[chosen], k))
-            left = np.isin(q, active[~done])
-            seen_q, seen_c, seen_d, active = q[left], c[left], d[left], active[~done]
-        if len(active) and len(self.codes):  # every bucket has been probed
-            for a in active.tolist():
-                mine = seen_q == a
-                out.append(self._members(a, own[a], seen_c[mine], seen_d[mine], k))
+            q, c, d, sure = self._best(q, c, np.bitwise_count(queries[q] ^ self.codes[c]).sum(axis=1).astype(np.int64), own, k)
+            done = np.zeros(len(queries), dtype=bool)
+            done[active] = sure[active] <= len(self.segments) * (radius + 1) - 1
+            found.append((q[done[q]], c[done[q]], d[done[q]]))
+            seen, active = (q[~done[q]], c[~done[q]], d[~done[q]]), active[~done[active]]
+        found.append(seen)  # every bucket has been probed
+        return self._members(*(np.concatenate(x) for x in zip(*found)), own, k)
+
+    def _compared(self, own: np.ndarray, queries: np.ndarray, active: np.ndarray, k: int) -> list[tuple]:
+        """The codes that can hold the k nearest, from comparing all; a tile of queries and codes at a time, growing as bounds tighten."""
+        out, kind = [], np.uint8 if self.codes.shape[1] < 4 else np.uint16
+        for lo in range(0, len(active), QUERY_TILE):
+            of = active[lo: lo + QUERY_TILE]
+            asked, bound = queries[of], np.full(len(of), np.iinfo(kind).max, dtype=kind)
+            best, at, size = tuple(np.zeros(0, np.int64) for _ in range(3)), 0, 256
+            while at < len(self.codes):
+                tile = self.codes[at: at + size]
+                d = sum((np.bitwise_count(asked[:, w, None] ^ tile[None, :, w]).astype(kind, copy=False) for w in range(1, tile.shape[1])),
+                        start=np.bitwise_count(asked[:, 0, None] ^ tile[None, :, 0]).astype(kind, copy=False))
+                near = np.flatnonzero(d <= bound[:, None])
+                new = (of[near // len(tile)], near % len(tile) + at, d.ravel()[near].astype(np.int64))
+                *best, sure = self._best(*(np.concatenate(x) for x in zip(best, new)), own, k)
+                bound = np.minimum(sure[of], np.iinfo(kind).max).astype(kind)
+                at, size = at + size, min(2 * size, CODE_TILE)
+            out.append(tuple(best))
         return out
 
-    def _members(self, q: int, own: int, c: np.ndarray, d: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _best(self, q: np.ndarray, c: np.ndarray, d: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+        """(query, code, distance) of the codes that can hold the k nearest ids, and the distance within which a query has k for sure.
+
+        A code that only the query's own id has is none of them; any other holds one id at least.
+        """
+        mine = self.ids[self.begin[c]] == own[q]
+        of_others = ~mine | (self.count[c] > 1)
+        q, c, d, mine = q[of_others], c[of_others], d[of_others], mine[of_others]
+        order = np.lexsort((self.ids[self.begin[c] + mine], d, q))
+        q, c, d = q[order], c[order], d[order]
+        held = np.maximum(1, self.count[c] - 1)
+        place = np.arange(len(q))
+        fresh = np.concatenate([[True], q[1:] != q[:-1]])[: len(q)]
+        nearer = fresh | np.concatenate([[True], d[1:] != d[:-1]])[: len(q)]
+        begin = np.maximum.accumulate(np.where(fresh, place, 0))
+        total = np.cumsum(held)
+        ahead = total - held
+        within = ahead - ahead[begin]  # ids that the codes before hold for sure
+        closer = within[np.maximum.accumulate(np.where(nearer, place, 0))]  # those at a smaller distance
+        kept = (place - begin < k) & (closer < k)
+        sure = np.full(len(own), np.iinfo(np.int64).max)
+        enough = kept & (within + held >= k)
+        np.minimum.at(sure, q[enough], d[enough])
+        return q[kept], c[kept], d[kept], sure
+
+    def _members(self, q: np.ndarray, c: np.ndarray, d: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         count = self.count[c]
         at = np.repeat(self.begin[c] - (np.cumsum(count) - count), count) + np.arange(count.sum())
-        ids, d = self.ids[at], np.repeat(d, count)
-        keep = ids != own
-        ids, d = ids[keep], d[keep]
-        best = np.lexsort((ids, d))[:k]
-        return np.full(len(best), q), ids[best], d[best]
-
-    def _probe(self, queries: np.ndarray, active: np.ndarray, radius: int):
+        q, ids, d = np.repeat(q, count), self.ids[at], np.repeat(d, count)
+        others = np.flatnonzero(ids != own[q])
+        order = others[np.lexsort((ids[others], d[others], q[others]))]
+        q, ids, d = q[order], ids[order], d[order]
+        kept = np.arange(len(q)) - np.searchsorted(q, q) < k
+        return q[kept], ids[kept], d[kept]
+
+    def _probed(self, queries: np.ndarray, active: np.ndarray, radius: int, limit: int) -> list[tuple[np.ndarray, np.ndarray]] | None:
+        """(query number, code) of all buckets within the radius; nothing if they hold more than ``limit``."""
+        out, total = [], 0
         for (lo, hi), (edges, by_value) in zip(self.segments, self.tables):
             value = segment(queries[active], lo, hi)
             for flips in itertools.combinations(range(hi - lo), radius):
                 bucket = value ^ sum(1 << f for f in flips)
                 size = edges[bucket + 1] - edges[bucket]
-                if total := int(size.sum()):
-                    at = np.repeat(edges[bucket] - (np.cumsum(size) - size), size) + np.arange(total)
-                    yield np.repeat(active, size), by_value[at]
+                if held := int(size.sum()):
+                    total += held
+                    if total > limit:
+                        return None
+                    at = np.repeat(edges[bucket] - (np.cumsum(size) - size), size) + np.arange(held)
+                    out.append((np.repeat(active, size), by_value[at]))
+        return out
 
 
 def segment(codes: np.ndarray, lo: int, hi: int) -> np.ndarray:

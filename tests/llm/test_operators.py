@@ -77,6 +77,38 @@ def test_top_k_matches_brute_force(spark, bits):
     assert got == brute_top(range(300), codes, 10)
 
 
+def test_top_k_holds_bounded_candidates():
+    import tracemalloc
+
+    rng = np.random.default_rng(1)
+    codes = rng.integers(0, 2**63, (20_000, 1), dtype=np.uint64)
+    index, asked = hamming.MultiIndex(np.arange(20_000), codes, 11), np.arange(0, 20_000, 20)
+    tracemalloc.start()
+    q, ids, d = (np.concatenate(x) for x in zip(*index.nearest(asked, codes[asked], 10)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6 < len(asked) * len(codes) * 8  # not a number for each pair of a query and a code
+    assert len(q) == 10 * len(asked)
+    for one in (0, 517, 999):
+        away = np.bitwise_count(codes[:, 0] ^ codes[asked[one], 0]).astype(int)
+        away[asked[one]] = 99
+        assert ids[q == one].tolist() == np.lexsort((np.arange(20_000), away))[:10].tolist()
+
+
+@pytest.mark.parametrize("probe_cost", [0.001, 512])
+def test_top_k_of_an_id_with_many_vectors(monkeypatch, probe_cost):
+    monkeypatch.setattr(hamming, "PROBE_COST", probe_cost)  # all radii probed, or all codes compared
+    rng = np.random.default_rng(2)
+    codes = np.concatenate([np.arange(30, dtype=np.uint64)[:, None], rng.integers(0, 2**63, (300, 1), dtype=np.uint64)])
+    ids = np.concatenate([np.zeros(30, dtype=np.int64), np.arange(300) % 150 + 1])  # id 0 is near itself 30 times
+    index = hamming.MultiIndex(ids, codes, 6)
+    q, found, d = (np.concatenate(x) for x in zip(*index.nearest(ids, codes, 5)))
+    for one in range(len(ids)):
+        away = np.bitwise_count(codes[:, 0] ^ codes[one, 0]).astype(int)
+        want = sorted((a, i) for a, i in zip(away.tolist(), ids.tolist()) if i != ids[one])[:5]
+        assert list(zip(d[q == one].tolist(), found[q == one].tolist())) == want
+
+
 def test_top_k_of_nothing(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert hamming.top_k(empty).count() == 0
