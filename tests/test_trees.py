@@ -304,3 +304,59 @@ def test_open_nodes_are_dealt_out_evenly():
     loads = np.bincount(list(places.values()), minlength=8)
     assert len(places) == 20 and loads.max() - loads.min() <= 1  # hashed, one task had up to four of them and another none
     assert sorted(places[i, 1] for i in range(12, 20)) == list(range(8))  # the largest ones in tasks of their own
+
+
+def test_features_counted_together_give_each_ones_table(monkeypatch):
+    rng = np.random.default_rng(11)
+    spec = trees.BinSpec({"a": np.arange(9.0), "b": np.arange(3.0), "c": np.arange(30.0)}, {}, ["a"], {"t": list("abcdefgh"), "u": ["x"]}, {}, 900, 200, 900)
+    bins = np.stack([rng.integers(0, s, 900) for s in spec.sizes], axis=1).astype(spec.dtype)
+    lines, place = trees.Lines(bins.T, spec), np.flatnonzero(rng.random(900) < 0.8)
+    assert len(lines.keys) < len(spec.sizes) and sorted(f for g in lines.groups for f in g) == list(range(len(spec.sizes)))
+    monkeypatch.setattr(trees, "JOINT_ROWS", 1)
+    monkeypatch.setattr(trees, "PART_ROWS", 100)
+    for second in (3, 2**45):  # the count shares the bits of the second sum, or does not fit
+        stats = np.column_stack([rng.integers(-9, 9, len(place)), rng.integers(0, second, len(place)), np.ones(len(place))]).astype(float)
+        rows = np.flatnonzero(rng.random(len(place)) < 0.5)
+        for some in (rows, np.arange(len(place))):
+            got = trees.LevelTables(None, stats, spec, lines, place).table(some).reshape(len(spec.sizes), spec.width, 3)
+            for f in range(len(spec.sizes)):
+                want = np.zeros((spec.width, 3))
+                np.add.at(want, bins[place[some], f], stats[some])
+                assert (got[f] == want).all()
+    part = trees.LevelTables(None, stats[:500], spec, lines)  # the rows held back lie last
+    assert part.table(np.arange(500))[:, 2].sum() == 500 * len(spec.sizes)
+
+
+@pytest.mark.parametrize("settings", [FOREST, LEAVES, TREE, TreeSettings(False, 1, min_rows=2)])
+def test_branches_grown_by_node_or_by_group_are_the_same(monkeypatch, settings):
+    rng = np.random.default_rng(12)
+    spec = trees.BinSpec({"a": np.arange(9.0), "b": np.arange(3.0)}, {}, ["a"], {"t": list("abcdefgh"), "u": ["x"]}, {}, 900, 200, 900)
+    bins = np.stack([rng.integers(0, s, 900) for s in spec.sizes], axis=1).astype(spec.dtype)
+    late = (bins[:, 0] < 5) ^ (rng.random(900) < 0.3)
+    stats = np.stack([late - 0.5, np.ones(900), np.ones(900)], axis=1) if settings.boosting else np.stack([late * 3, ~late * 2, np.ones(900)], axis=1)
+    stats, place = stats.astype(np.float64), np.sort(rng.permutation(900)[:700])
+    stats[:, :2] *= 2**19 if settings.boosting else 1
+    got = []
+    for large, group, cells in ((10**9, 10**9, 10**9), (1, 10**9, 10**9), (100, 50, 10**9), (100, 10**9, 200)):
+        monkeypatch.setattr(trees, "LARGE_NODE", large)
+        monkeypatch.setattr(trees, "GROUP_ROWS", group)
+        monkeypatch.setattr(trees, "TABLE_CELLS", cells)
+        for whole in (True, False):
+            rule = Rule(settings)
+            nodes = trees.grow(bins[place], stats[place], 1, rule, spec) if whole else trees.grow(bins, stats[place], 1, rule, spec, place=place)
+            got.append(trees.flat_tree(nodes, rule))
+    assert len(got[0][0]) > 5
+    assert all((np.asarray(a) == b).all() for other in got[1:] for a, b in zip(got[0], other))
+
+
+def test_rows_of_a_fold_are_sent_once_a_bundle_of_trees():
+    spec = spec_of()
+    rng = np.random.default_rng(13)
+    members = trees._members([(FOREST, 1)], {1: spec})
+    units = [trees.Unit(0, 1, Rule(FOREST, i), trees.Nodes(totals={1: np.array([0.0, 0.0, 100.0])}), {1: True}) for i in range(10)]
+    bins = np.column_stack([rng.integers(0, s, 100) for s in spec.sizes]).astype(spec.dtype)
+    row = {"fold": 1, "ids": np.arange(1, 101).tobytes(), "y": (bins[:, 0] > 2).astype(np.uint8).tobytes(), "bins": bins.tobytes(), "margins": None}
+    plan = trees.Plan(units, members, {1: spec}, bundles=3)
+    sent = list(plan.emitted([row]))
+    assert len(sent) == 3 < len(list(trees.Plan(units, members, {1: spec}).emitted([row]))) == 10
+    assert sorted(n for numbers in plan.bundles.values() for n in numbers) == list(range(10)) and len(plan.places(8)) == 3
